@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bytebpe, packing, tokencount
+from . import bytebpe, fingerprint, packing, simhash, tokencount, topk
 from .common import table
 
 END_ID = 2
@@ -16,6 +17,15 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op3_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, k=10)
+
+
+def op4_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), width=3, radius=3)
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bytebpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
@@ -24,5 +34,9 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), END_ID, CAPACITY)
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op5_byte_bpe, op7_packing)}
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.document_fingerprints(table(spark, sf_dir, "documents"), F.col("doc_id") % 20 == 0, radius=3)
+
+
+QUERIES = {f.__name__: f for f in (op1_token_counts, op3_top_k, op4_simhash_near_duplicates, op5_byte_bpe, op7_packing, op9_fingerprints)}
 ORACLE_SQL: dict[str, str] = {}
