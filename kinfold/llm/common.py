@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 #: Rows of an Arrow batch that Python keeps while it works on one piece.
@@ -50,7 +51,7 @@ def slices(batches: Iterable[pa.RecordBatch], rows: int = SLICE) -> Iterator[pa.
 def text_slices(batches: Iterable[pa.RecordBatch], column: str = "text", max_bytes: int = 1 << 21) -> Iterator[pa.RecordBatch]:
     """Slices whose texts come to about max_bytes; a longer text stands alone."""
     for batch in batches:
-        sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_pylist()
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
         start, total = 0, 0
         for i, size in enumerate(sizes):
             if i > start and total + size > max_bytes:

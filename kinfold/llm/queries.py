@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bytebpe, fingerprint, packing, simhash, tokencount, topk
+from . import bytebpe, fingerprint, packing, rlz, simhash, tokencount, topk
 from .common import table
 
 END_ID = 2
@@ -34,9 +34,13 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), END_ID, CAPACITY)
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rlz.digests(rlz.deduplicate(table(spark, sf_dir, "documents"), window=20))
+
+
 def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.document_fingerprints(table(spark, sf_dir, "documents"), F.col("doc_id") % 20 == 0, radius=3)
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op3_top_k, op4_simhash_near_duplicates, op5_byte_bpe, op7_packing, op9_fingerprints)}
+QUERIES = {f.__name__: f for f in (op1_token_counts, op3_top_k, op4_simhash_near_duplicates, op5_byte_bpe, op7_packing, op8_substring_dedup, op9_fingerprints)}
 ORACLE_SQL: dict[str, str] = {}
