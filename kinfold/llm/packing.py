@@ -145,21 +145,58 @@ def pack_ids(rows: Iterable[tuple[int, np.ndarray]], partition: int, capacity: i
 class WordTokenizer:
     """Ids of whole texts from a tokenizers file whose pre-tokens never reach over white space: each distinct word is encoded once.
 
-    Only for such files; `by_word` tells (its normaliser turns runs of white space into a space, and its pre-tokens are matches without white space). Words are parted at ASCII white space only, which every pattern's \\s has."""
+    Words are parted at ASCII white space, which every pattern's \\s has; what is left in a word of other white space is the tokenizer's business. A new word of Latin letters only (below U+0250, where lower-casing and letter classes are alike in all libraries) is parted once more, by the file's own pattern, so that case and punctuation don't make more words to encode. Files of another make are used on whole texts.
+    """
+
+    LATIN = "ɐ"
 
     def __init__(self, path: str):
+        import json
+
+        import regex
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.memo = Memo(lambda w: self.tokenizer.encode(w.decode(), add_special_tokens=False).ids, 300_000)
-        self.by_word = self.tokenizer.encode("a b", add_special_tokens=False).ids == self.memo[b"a"] + self.memo[b"b"] and self.tokenizer.encode(" \n", add_special_tokens=False).ids == []
-
-    def encode(self, text: str) -> list[int]:
+        with open(path, encoding="utf-8") as f:
+            made = json.load(f)
+        normalisers = [(n["type"], n.get("pattern"), n.get("content")) for n in (made.get("normalizer") or {}).get("normalizers", ())]
+        split = ((made.get("pre_tokenizer") or {}).get("pretokenizers") or [{}])[0]
+        self.by_word = normalisers == [("NFC", None, None), ("Replace", {"Regex": r"\s+"}, " "), ("Lowercase", None, None)] and split.get("type") == "Split" and split.get("behavior") == "Removed" and bool(split.get("invert")) and not made.get("post_processor")
+        self.parts = regex.compile(split["pattern"]["Regex"]).findall if self.by_word else None
+        self.part = Memo(self._encode, 300_000)
+        self.word = Memo(self._word, 500_000)
+
+    def _encode(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32).tobytes()
+
+    def _word(self, raw: bytes) -> bytes:
+        word, part = raw.decode(), self.part
+        if not word.isascii() and max(word) >= self.LATIN:
+            return self._encode(word)
+        stem = word.rstrip(MARKS)
+        if stem.isalpha():  # one run of letters, one of marks
+            return part[stem.lower()] + part[word[len(stem) :]] if len(stem) < len(word) else part[stem.lower()]
+        return b"".join([part[p] for p in self.parts(word.lower())])
+
+    def encode(self, text: str) -> np.ndarray:
         if not self.by_word:
-            return self.tokenizer.encode(text, add_special_tokens=False).ids
-        memo = self.memo
-        return [i for w in text.encode().split() for i in memo[w]]
+            return np.frombuffer(self._encode(text), np.uint32)
+        word = self.word
+        return np.frombuffer(b"".join([word[w] for w in text.encode().split()]), np.uint32)
+
+
+#: ASCII characters that are neither letters, digits nor white space.
+MARKS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum())
+_kept: dict[str, WordTokenizer] = {}
+
+
+def word_tokenizer(path: str) -> WordTokenizer:
+    """One for each Python worker, for its tasks one after another."""
+    if path not in _kept:
+        _kept.clear()
+        _kept[path] = WordTokenizer(path)
+    return _kept[path]
 
 
 def pack(docs: DataFrame, tokenizer_path: str, end_id: int, capacity: int = 4096, group: int = 256, linear: float = 1.0, quadratic: float = 1 / 4096, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -167,14 +204,12 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int, capacity: int = 4096
     kept = docs.select(docs[id_column].cast("long").alias("doc_id"), docs[text_column].cast("string").alias("text"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordTokenizer(tokenizer_path)
+        words = word_tokenizer(tokenizer_path)
 
         def rows() -> Iterator[tuple[int, np.ndarray]]:
             for batch in slices(batches, 128):
                 for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                    ids = words.encode(text or "")
-                    ids.append(end_id)
-                    yield doc, np.array(ids, np.uint32)
+                    yield doc, np.append(words.encode(text or ""), np.uint32(end_id))
 
         yield from pack_ids(rows(), TaskContext.get().partitionId(), capacity, group, linear, quadratic)
 

@@ -9,6 +9,10 @@ equal, and of those that follow all but a few; this gives the keys of an equalit
 join. Its candidates are then held against the whole chain of budgets, and only
 those that keep within it get the full Hamming check.
 
+One document may have several fingerprints, of the same hashes mixed with
+different seeds: documents link if any of them do, so that more of the wanted
+pairs are found at a radius that still tells texts apart.
+
 Equal fingerprints are one node before any candidate is sought, and each bucket
 yields a spanning forest of its links, not its pairs, so large groups of copies
 cost their number. Buckets are read as sorted streams.
@@ -59,16 +63,30 @@ def votes(hashes: np.ndarray) -> int:
     return int(np.packbits(2 * counts > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, width: int = 3, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """doc_id, fingerprint (long)."""
+def reseeded(hashes: np.ndarray, seed: int) -> np.ndarray:
+    """The hashes as another hash function would have them; seed 0 leaves them."""
+    if not seed:
+        return hashes
+    with np.errstate(over="ignore"):
+        x = (hashes + np.uint64(seed)) * np.uint64(0x9E3779B97F4A7C15)
+        x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return x ^ (x >> np.uint64(29))
+
+
+def fingerprints(docs: DataFrame, width: int = 3, seeds: int = 1, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """doc_id, fingerprints (array of long, by seed)."""
     kept = docs.select(docs[id_column].cast("long").alias("doc_id"), docs[text_column].cast("string").alias("text"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 256):
-            found = np.array([votes(shingle_hashes(t, width)) for t in batch.column(1).to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], names=["doc_id", "fingerprint"])
+            found = []
+            for text in batch.column(1).to_pylist():
+                hashes = shingle_hashes(text, width)
+                found += [votes(reseeded(hashes, seed)) for seed in range(seeds)]
+            values = pa.array(np.array(found, np.uint64).view(np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(np.arange(batch.num_rows + 1, dtype=np.int32) * seeds, values)], names=["doc_id", "fingerprints"])
 
-    return kept.mapInArrow(run, "doc_id long, fingerprint long").where("doc_id is not null")
+    return kept.mapInArrow(run, "doc_id long, fingerprints array<long>").where("doc_id is not null")
 
 
 def budgets(radius: int, segments: int) -> list[int]:
@@ -143,7 +161,7 @@ def bucket_links(batches: Iterable[pa.RecordBatch], radius: int, segments: int)
     def done(key: np.ndarray, fp: np.ndarray, node: np.ndarray) -> pa.RecordBatch:
         edges_at = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1], [True]))) if len(key) else np.zeros(1, np.int64)
         length = np.diff(edges_at)
-        begin = ((key.view(np.uint64) >> value_bits) // np.uint64(per_start)).astype(np.int64)
+        begin = ((key.view(np.uint64) >> value_bits) // np.uint64(per_start) % np.uint64(segments)).astype(np.int64)
         fp = fp.view(np.uint64)
         two = edges_at[:-1][length == 2]
         two = two[linked(fp[two], fp[two + 1], begin[two], radius, segments)] if len(two) else two
@@ -167,17 +185,26 @@ def bucket_links(batches: Iterable[pa.RecordBatch], radius: int, segments: int)
 
 
 def links(nodes: DataFrame, radius: int = 3, segments: int = 8) -> DataFrame:
-    """a, b: links between nodes (fingerprint, node; fingerprints distinct) that connect whatever the radius connects."""
-    rows = nodes.select(F.explode(keys(F.col("fingerprint"), radius, segments)).alias("key"), "fingerprint", "node")
+    """a, b: links between nodes (seed, fingerprint, node; fingerprints of a seed are distinct) that connect whatever the radius connects."""
+    tables = segments * len(key_choices(radius, segments))
+    value_bits = len(key_choices(radius, segments)[0]) * (BITS // segments)
+    at = F.shiftleft((F.col("seed") * tables).cast("long"), value_bits)
+    rows = nodes.select(F.explode(F.transform(keys(F.col("fingerprint"), radius, segments), lambda k: k + at)).alias("key"), "fingerprint", "node")
     return rows.repartition("key").sortWithinPartitions("key").mapInArrow(lambda batches: bucket_links(batches, radius, segments), "a long, b long").distinct()
 
 
-def near_duplicates(docs: DataFrame, width: int = 3, radius: int = 3, segments: int = 8, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """doc_id, fingerprint (long), component_id: the smallest doc_id that links reach."""
+def near_duplicates(docs: DataFrame, width: int = 3, radius: int = 3, segments: int = 8, seeds: int = 1, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """doc_id, fingerprint (long, of the first seed), component_id: the smallest doc_id that links reach."""
     if radius < 0 or BITS % segments or segments <= radius:
         raise ValueError("segments must divide 64 and be more than radius")
-    found = stored(fingerprints(docs, width, id_column, text_column))
-    nodes = stored(found.groupBy("fingerprint").agg(F.min("doc_id").alias("node")))
-    groups = components(links(nodes, radius, segments))
-    named = nodes.join(groups, "node", "left").select("fingerprint", F.coalesce("component", "node").alias("component_id"))
-    return found.join(named, "fingerprint").select("doc_id", "fingerprint", "component_id")
+    found = stored(fingerprints(docs, width, seeds, id_column, text_column))
+    # documents with the same fingerprints throughout are one from here on
+    classes = stored(found.groupBy("fingerprints").agg(F.min("doc_id").alias("class")))
+    by_seed = classes.select("class", F.posexplode("fingerprints").alias("seed", "fingerprint"))
+    nodes = stored(by_seed.groupBy("seed", "fingerprint").agg(F.min("class").alias("node"))) if seeds > 1 else by_seed.withColumnRenamed("class", "node")
+    pairs = links(nodes, radius, segments)
+    if seeds > 1:
+        pairs = pairs.unionByName(by_seed.join(nodes, ["seed", "fingerprint"]).where("class <> node").select(F.col("class").alias("a"), F.col("node").alias("b")).distinct())
+    groups = components(pairs)
+    named = classes.join(groups, F.col("class") == F.col("node"), "left").select("fingerprints", F.coalesce("component", "class").alias("component_id"))
+    return found.join(named, "fingerprints").select("doc_id", F.col("fingerprints")[0].alias("fingerprint"), "component_id")

@@ -75,6 +75,16 @@ def test_simhash_near_duplicates(spark):
     assert simhash.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_more_seeds_link_more(spark):
+    rng = random.Random(12)
+    texts = near_texts(rng)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in simhash.near_duplicates(docs, width=2, seeds=3).collect()}
+    fps = [[simhash.votes(simhash.reseeded(simhash.shingle_hashes(t, 2), s)) for s in range(3)] for t in texts]
+    linked = [(i, j) for i in range(len(texts)) for j in range(i) if any((a ^ b).bit_count() <= 3 for a, b in zip(fps[i], fps[j]))]
+    assert [got[i] for i in range(len(texts))] == union_find(len(texts), linked)
+
+
 @pytest.mark.parametrize("segments", [4, 8, 16])
 def test_pigeonring_loses_no_link(spark, segments):
     rng = random.Random(segments)
@@ -85,7 +95,7 @@ def test_pigeonring_loses_no_link(spark, segments):
             x ^= 1 << rng.randrange(64)
         fps.append(x)
     fps = sorted(set(fps))
-    nodes = spark.createDataFrame([(f - (f >> 63 << 64), i) for i, f in enumerate(fps)], "fingerprint long, node long")
+    nodes = spark.createDataFrame([(f - (f >> 63 << 64), i) for i, f in enumerate(fps)], "fingerprint long, node long").withColumn("seed", F.lit(2))
     found = [(r.a, r.b) for r in simhash.links(nodes, 3, segments).collect()]
     assert all((fps[a] ^ fps[b]).bit_count() <= 3 for a, b in found)
     want = union_find(len(fps), [(i, j) for i in range(len(fps)) for j in range(i) if (fps[i] ^ fps[j]).bit_count() <= 3])

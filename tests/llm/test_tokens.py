@@ -83,6 +83,19 @@ def test_byte_bpe_documents(spark, tik):
         assert got[i].decoded_sha256 == hashlib.sha256((text or "").encode()).hexdigest()
 
 
+def test_word_tokenizer_equals_whole_texts():
+    tokenizer = Tokenizer.from_file(P.path("word_bpe_49k.json"))
+    tokenizer.encode_special_tokens = True
+    words = packing.WordTokenizer(P.path("word_bpe_49k.json"))
+    assert words.by_word
+    latin = "".join(chr(c) for c in range(1, 0x250))
+    texts = [*ODD, latin, " ".join(latin), "The ñandú&&& isn't İ's 3rd %%% é.É!! o'CLOCK we'LL'd²½ªº", "ΣΑΣ σας ﬀ Ǆ ǅ"]
+    rng = random.Random(5)
+    texts += ["".join(rng.choices(latin + "'" * 20 + " " * 60, k=60)) for _ in range(300)]
+    for text in texts:
+        assert words.encode(text).tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text
+
+
 def check_packing(rows, expected, capacity):
     """expected: ids by document. Each id in one piece; sequences gapless; no padding but at a power of two."""
     by_doc, by_sequence = {}, {}
