@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bytebpe, fingerprint, packing, rlz, simhash, tokencount, topk
+from . import bytebpe, cotrain, fingerprint, maxent, packing, pagediff, rlz, simhash, tokencount, topk
 from .common import table
 
 END_ID = 2
@@ -17,6 +17,12 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = cotrain.fit(docs, table(spark, sf_dir, "labels"))
+    return cotrain.score(docs, model).select("doc.doc_id", "text_score", "meta_score", "quality_score", "keep")
+
+
 def op3_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, k=10)
 
@@ -30,6 +36,10 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bytebpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op6_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pagediff.extract(table(spark, sf_dir, "pages"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), END_ID, CAPACITY)
 
@@ -42,5 +52,13 @@ def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.document_fingerprints(table(spark, sf_dir, "documents"), F.col("doc_id") % 20 == 0, radius=3)
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op3_top_k, op4_simhash_near_duplicates, op5_byte_bpe, op7_packing, op8_substring_dedup, op9_fingerprints)}
+def op10_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2
+    return maxent.score(table(spark, sf_dir, "documents"), held_out)
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (op1_token_counts, op2_quality, op3_top_k, op4_simhash_near_duplicates, op5_byte_bpe, op6_main_text, op7_packing, op8_substring_dedup, op9_fingerprints, op10_language_model)
+}
 ORACLE_SQL: dict[str, str] = {}

@@ -32,6 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import stored, text_slices
 
@@ -318,12 +319,15 @@ def _covered(n_words: int, starts, ns, window: int) -> np.ndarray:
     return np.cumsum(edge[:-1]) > 0
 
 
-def deduplicate(docs: DataFrame, window: int = 20, gram: int = 8, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """doc_id, n_words, n_removed, kept (the words that stay, joined by a space; where none goes, the text itself, null included), spans (array of start, end in words)."""
+def deduplicate(docs: DataFrame, window: int = 20, gram: int = 8, id_column: str = "doc_id", text_column: str = "text", carry: bool = False) -> DataFrame:
+    """doc_id, n_words, n_removed, kept (the words that stay, joined by a space; where none goes, the text itself, null included), spans (array of start, end in words); with carry, also row, a struct of docs' other columns."""
     if not 0 < gram < window or window - gram + 1 > window:
         raise ValueError("gram must be less than window")
-    kept = docs.select(docs[id_column].cast("long").alias("doc_id"), docs[text_column].cast("string").alias("text"))
-    phrase, single = repeated_phrases(kept, window, gram)
+    others = [docs[f"`{c}`"] for c in docs.columns if c not in (id_column, text_column)] if carry else []
+    carried = ["row"] * bool(others)
+    more = [F.struct(*others).alias("row")] if others else []
+    kept = docs.select(docs[id_column].cast("long").alias("doc_id"), docs[text_column].cast("string").alias("text"), *more)
+    phrase, single = repeated_phrases(kept.select("doc_id", "text"), window, gram)
     spans = phrase.unionByName(single).groupBy("doc_id").agg(F.collect_list(F.struct("start", "n")).alias("p")).select("doc_id", F.col("p.start").alias("starts"), F.col("p.n").alias("ns"))
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -342,9 +346,10 @@ def deduplicate(docs: DataFrame, window: int = 20, gram: int = 8, id_column: str
                 texts.append(b" ".join([w for w, g in zip(words, gone.tolist()) if not g]).decode())
                 edge = np.flatnonzero(np.diff(np.concatenate(([0], gone, [0])))).tolist()
                 out.append([{"start": a, "end": b} for a, b in zip(edge[::2], edge[1::2])])
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(texts, pa.string()), pa.array(out, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))], names=["doc_id", "n_words", "n_removed", "kept", "spans"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(texts, pa.string()), pa.array(out, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))), *batch.columns[4:]], names=["doc_id", "n_words", "n_removed", "kept", "spans", *carried])
 
-    return kept.join(spans, "doc_id", "left").select("doc_id", "text", "starts", "ns").mapInArrow(cut, "doc_id long, n_words long, n_removed long, kept string, spans array<struct<start:int,end:int>>")
+    plain = T._parse_datatype_string("doc_id long, n_words long, n_removed long, kept string, spans array<struct<start:int,end:int>>")
+    return kept.join(spans, "doc_id", "left").select("doc_id", "text", "starts", "ns", *carried).mapInArrow(cut, T.StructType([*plain, *[kept.schema[c] for c in carried]]))
 
 
 def digests(found: DataFrame) -> DataFrame:
