@@ -11,6 +11,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from . import constants as C
 
@@ -50,12 +51,12 @@ def is_ascii(x: Column) -> Column:
     return x.rlike(r"^[\x00-\x7F]*$")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _nfkc(x: pd.Series) -> pd.Series:
     return x.map(lambda s: None if s is None else unicodedata.normalize("NFKC", s))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _base_letters(x: pd.Series) -> pd.Series:
     return x.map(lambda s: None if s is None else unicodedata.normalize("NFKD", s).encode("ascii", "ignore").decode())
 

@@ -87,7 +87,7 @@ def score_pairs(queries: DataFrame, keys: DataFrame, config: Blocking = V1, voca
 
 def best(pairs: DataFrame, top_k: int) -> DataFrame:
     """The top_k of each s1_id with their rank, then without pairs of S1 records; equal scores in the order of their ids."""
-    order = Window.partitionBy("s1_id").orderBy(F.desc("score"), "candidate_id")
+    order = Window.partitionBy("s1_id").orderBy(F.desc(F.round("score", 6)), "candidate_id")  # sums of doubles differ in their last digits
     ranked = pairs.withColumn("rnk", F.row_number().over(order)).where(F.col("rnk") <= top_k)
     return ranked.where((F.col("candidate_id") != F.col("s1_id")) & ~F.col("candidate_id").startswith("S1"))
 
