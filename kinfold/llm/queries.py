@@ -61,4 +61,19 @@ QUERIES = {
     f.__name__: f
     for f in (op1_token_counts, op2_quality, op3_top_k, op4_simhash_near_duplicates, op5_byte_bpe, op6_main_text, op7_packing, op8_substring_dedup, op9_fingerprints, op10_language_model)
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op3_top_k": """
+with v as (select vec_id, list_transform(embedding, lambda x: floor(1024 * cast(x as double))) as v from embeddings
+ where len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+scored as (select q.vec_id as query_id, c.vec_id, cast(list_dot_product(q.v, c.v) as bigint) as score from v q join v c on q.vec_id <> c.vec_id where q.vec_id % 100 = 0)
+select query_id, cast(r as integer) as rank, vec_id, score from (select *, row_number() over (partition by query_id order by score desc, vec_id) as r from scored) where r <= 10""",
+    "op8_substring_dedup": r"""
+with w as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as ws from documents),
+starts as (select doc_id, ws, unnest(range(1, len(ws) - 18)) as s from w where len(ws) >= 20),
+windows as (select doc_id, s, array_to_string(ws[s:s + 19], ' ') as k from starts),
+seen as (select doc_id, s, row_number() over (partition by k order by doc_id, s) as r from windows),
+gone as (select distinct doc_id, s + j as i from seen, (select unnest(range(20)) as j) where r > 1),
+words as (select doc_id, unnest(ws) as word, unnest(range(1, len(ws) + 1)) as i from w),
+kept as (select doc_id, count(*) as n, string_agg(word, ' ' order by i) as k from words anti join gone using (doc_id, i) group by doc_id)
+select w.doc_id, len(ws) as n_words, len(ws) - coalesce(n, 0) as n_removed, sha256(coalesce(k, '')) as kept_sha256 from w left join kept using (doc_id)""",
+}
