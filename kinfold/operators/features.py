@@ -101,6 +101,7 @@ def feature_columns(extended: bool = False, default: float = UNFITTED_IDF) -> di
         letters = F.regexp_replace(T.strip_accents(F.lower(stem)), "[^a-z0-9]", "")
         core = T.let(F.struct(own.alias("own"), of_stem.alias("stem"), letters.alias("letters")), lambda c: F.when(c["own"] != "", c["own"]).when(c["stem"] != "", c["stem"]).otherwise(c["letters"]))
         plain = T.strip_accents(a["name_compact"])
+        both = F.struct(core.alias("core"), plain.alias("plain"))
         is_s3 = flag((F.col("cand_source") == "S3") | F.col("candidate_id").startswith("S3"))
         number = S.number_match(a["address_norm"], b["address_norm"])
         out |= {
@@ -112,8 +113,8 @@ def feature_columns(extended: bool = False, default: float = UNFITTED_IDF) -> di
             "address_number_conflict": addressed(flag(number == 0.0)),
             "address_postal_match": addressed(F.when(number < 0, -1.0).otherwise(S.postal_match(a["address_norm"], b["address_norm"])), -1.0),
             "address_char_3gram_jaccard": addressed(S.gram_jaccard(a["address_norm"], b["address_norm"])),
-            "domain_core_exact_match": T.let(core, lambda c: flag((c != "") & (F.contains(plain, c) | F.contains(c, plain)))),
-            "domain_core_jaccard": T.let(F.struct(core.alias("core"), plain.alias("plain")), lambda c: F.when(c["core"] == "", 0.0).otherwise(S.gram_jaccard(c["plain"], c["core"]))),
+            "domain_core_exact_match": T.let(both, lambda c: flag((c["core"] != "") & (F.contains(c["plain"], c["core"]) | F.contains(c["core"], c["plain"])))),
+            "domain_core_jaccard": T.let(both, lambda c: F.when(c["core"] == "", 0.0).otherwise(S.gram_jaccard(c["plain"], c["core"]))),
             "country_one_sided_missing": flag(known[0] != known[1]),
             "source_is_s3": is_s3,
             "source_s3_domain_stem_interaction": is_s3 * stem_match,
