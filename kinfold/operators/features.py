@@ -47,7 +47,7 @@ def _text(name: str, trimmed: bool) -> Column:
 
 
 def feature_columns(extended: bool = False, default: float = UNFITTED_IDF) -> dict[str, Column]:
-    """By name. The extended ones need idf_weights."""
+    """By name. The extended ones need idf_weights and _both, which extended_features() adds."""
     side = {p: {c: _text(f"{p}_{c}", extended) for c in ("name_norm", "name_compact", "name_no_suffix", "address_norm", "country_norm")} for p in ("s1", "cand")}
     (a, b), flag = (side["s1"], side["cand"]), S.flag
     missing = F.lit(False)
@@ -97,11 +97,7 @@ def feature_columns(extended: bool = False, default: float = UNFITTED_IDF) -> di
         short = [S.acronym(w) for w in words]
         told = [F.length(s) >= 2 for s in short]
         acronym = (told[0] & ((short[0] == b["name_compact"]) | (short[0] == b["name_norm"]))) | (told[1] & ((short[1] == a["name_compact"]) | (short[1] == a["name_norm"]))) | (told[0] & told[1] & (short[0] == short[1]))
-        own, of_stem = T.core_domain(b["name_norm"])["compact"], T.core_domain(stem)["compact"]
-        letters = F.regexp_replace(T.strip_accents(F.lower(stem)), "[^a-z0-9]", "")
-        core = T.let(F.struct(own.alias("own"), of_stem.alias("stem"), letters.alias("letters")), lambda c: F.when(c["own"] != "", c["own"]).when(c["stem"] != "", c["stem"]).otherwise(c["letters"]))
-        plain = T.strip_accents(a["name_compact"])
-        both = F.struct(core.alias("core"), plain.alias("plain"))
+        both = F.col("_both")
         is_s3 = flag((F.col("cand_source") == "S3") | F.col("candidate_id").startswith("S3"))
         number = S.number_match(a["address_norm"], b["address_norm"])
         out |= {
@@ -122,6 +118,15 @@ def feature_columns(extended: bool = False, default: float = UNFITTED_IDF) -> di
     return out
 
 
+def _domain_and_name() -> Column:
+    """Struct of the candidate's domain core and the S1 name's base letters."""
+    stem = F.coalesce("cand_domain_stem", F.lit(""))
+    own, of_stem = T.core_domain(_text("cand_name_norm", True))["compact"], T.core_domain(stem)["compact"]
+    letters = F.regexp_replace(T.strip_accents(F.lower(stem)), "[^a-z0-9]", "")
+    core = T.let(F.struct(own.alias("own"), of_stem.alias("stem"), letters.alias("letters")), lambda c: F.when(c["own"] != "", c["own"]).when(c["stem"] != "", c["stem"]).otherwise(c["letters"]))
+    return F.struct(core.alias("core"), T.strip_accents(_text("s1_name_compact", True)).alias("plain"))
+
+
 def basic_features(pairs: DataFrame) -> DataFrame:
     """pairs: enriched. Its ids, label if it has one, and BASIC as doubles."""
     kept = [c for c in ("s1_id", "candidate_id", "label") if c in pairs.columns]
@@ -132,4 +137,5 @@ def extended_features(pairs: DataFrame, idf: DataFrame | None = None, default: f
     """The same with EXTENDED as floats. idf: of token_idf(); without it all tokens weigh alike."""
     kept = [c for c in ("s1_id", "candidate_id", "label") if c in pairs.columns]
     weighted = with_weights(pairs, idf) if idf is not None else pairs.withColumn("idf_weights", F.create_map().cast("map<string,double>"))
+    weighted = T.settle(weighted, _both=_domain_and_name())
     return weighted.select(*kept, *[x.cast("float").alias(n) for n, x in feature_columns(True, default).items()])
