@@ -298,13 +298,13 @@ def _sorted(rows: DataFrame) -> DataFrame:
     return rows.repartition("key").sortWithinPartitions("key", "hash", "doc_id", "start")
 
 
-def repeated_phrases(docs: DataFrame, window: int, gram: int) -> tuple[DataFrame, DataFrame]:
-    """docs: doc_id, text. Two tables of doc_id, start, n (windows): phrases and single windows that start earlier too."""
-    here = docs.where("doc_id is not null")
-    parsed = here.mapInArrow(lambda b: parse(b, window, gram), ROW)
+def repeated_phrases(here: DataFrame, window: int, gram: int) -> tuple[DataFrame, DataFrame]:
+    """here: doc_id (without nulls), text and further columns. Two tables of doc_id, start, n (windows): phrases and single windows that start earlier too."""
+    parsed = here.select("doc_id", "text").mapInArrow(lambda b: parse(b, window, gram), ROW)
     looked = stored(_sorted(parsed).mapInArrow(lambda b: look_up(b, True), ROW).select("doc_id", "start", "n", "kind"))
     to_check = looked.where(F.col("kind") == CHECK).groupBy("doc_id").agg(F.collect_list(F.struct("start", "n")).alias("p")).select("doc_id", F.col("p.start").alias("starts"), F.col("p.n").alias("ns"))
-    texts = here.join(to_check, "doc_id").select("doc_id", "text", "starts", "ns")
+    # with all columns, so that this shuffle of the texts is the one that the removal reads again
+    texts = here.join(to_check, "doc_id").select("doc_id", "text", "starts", "ns", *here.columns[2:])
     single = _sorted(texts.mapInArrow(lambda b: check_windows(b, window, gram), ROW)).mapInArrow(lambda b: look_up(b, False), ROW)
     return looked.where(F.col("kind") == KNOWN).select("doc_id", "start", "n"), single.select("doc_id", "start", "n")
 
@@ -319,6 +319,12 @@ def _covered(n_words: int, starts, ns, window: int) -> np.ndarray:
     return np.cumsum(edge[:-1]) > 0
 
 
+def _plain(docs: DataFrame, column: str, name: str, kind: str):
+    """The column under that name and type; as it is if it has both, for an alias would keep a shuffle from being read twice."""
+    has = column == name and dict(docs.dtypes)[column] == kind
+    return docs[column] if has else docs[column].cast(kind).alias(name)
+
+
 def deduplicate(docs: DataFrame, window: int = 20, gram: int = 8, id_column: str = "doc_id", text_column: str = "text", carry: bool = False) -> DataFrame:
     """doc_id, n_words, n_removed, kept (the words that stay, joined by a space; where none goes, the text itself, null included), spans (array of start, end in words); with carry, also row, a struct of docs' other columns."""
     if not 0 < gram < window or window - gram + 1 > window:
@@ -326,8 +332,9 @@ def deduplicate(docs: DataFrame, window: int = 20, gram: int = 8, id_column: str
     others = [docs[f"`{c}`"] for c in docs.columns if c not in (id_column, text_column)] if carry else []
     carried = ["row"] * bool(others)
     more = [F.struct(*others).alias("row")] if others else []
-    kept = docs.select(docs[id_column].cast("long").alias("doc_id"), docs[text_column].cast("string").alias("text"), *more)
-    phrase, single = repeated_phrases(kept.select("doc_id", "text"), window, gram)
+    kept = docs.select(_plain(docs, id_column, "doc_id", "bigint"), _plain(docs, text_column, "text", "string"), *more)
+    here = kept.where("doc_id is not null")
+    phrase, single = repeated_phrases(here, window, gram)
     spans = phrase.unionByName(single).groupBy("doc_id").agg(F.collect_list(F.struct("start", "n")).alias("p")).select("doc_id", F.col("p.start").alias("starts"), F.col("p.n").alias("ns"))
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -349,7 +356,9 @@ def deduplicate(docs: DataFrame, window: int = 20, gram: int = 8, id_column: str
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(texts, pa.string()), pa.array(out, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))), *batch.columns[4:]], names=["doc_id", "n_words", "n_removed", "kept", "spans", *carried])
 
     plain = T._parse_datatype_string("doc_id long, n_words long, n_removed long, kept string, spans array<struct<start:int,end:int>>")
-    return kept.join(spans, "doc_id", "left").select("doc_id", "text", "starts", "ns", *carried).mapInArrow(cut, T.StructType([*plain, *[kept.schema[c] for c in carried]]))
+    ints = F.lit(None).cast("array<int>")
+    aside = kept.where("doc_id is null").select("doc_id", "text", ints.alias("starts"), ints.alias("ns"), *carried)
+    return here.join(spans, "doc_id", "left").select("doc_id", "text", "starts", "ns", *carried).unionByName(aside).mapInArrow(cut, T.StructType([*plain, *[kept.schema[c] for c in carried]]))
 
 
 def digests(found: DataFrame) -> DataFrame:
