@@ -52,6 +52,8 @@ ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*(
 CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 SPLIT = re.compile(r"[^a-z]+")
 DROPPED, CONTENT, OPEN = 0, 1, 2
+#: Ids that may be sent to every task.
+SENT = 100_000
 
 
 def _named(attributes: str) -> bool:
@@ -242,8 +244,14 @@ def extract(pages: DataFrame, id_column: str = "page_id", url_column: str = "url
 
     unsure = read.where(is_open)
     places = read.where("page_id is not null").groupBy("page_id").agg(F.min_by(F.struct("host", "path"), F.struct("url", "path")).alias("at")).select("page_id", "at.host", "at.path")
-    wanted = nearest(places).join(unsure.select("page_id").distinct(), "page_id", "left_semi").select("page_id", F.posexplode("near").alias("turn", "other"))
-    one = read.select("page_id", "lines", "url").groupBy("page_id").agg(F.min_by("lines", F.struct("url", "lines")).alias("theirs"))
+    n_open = unsure.count()
+    if not n_open:
+        return closed.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+    wanted = settled(nearest(places).join(unsure.select("page_id").distinct(), "page_id", "left_semi").select("page_id", F.posexplode("near").alias("turn", "other")))
+    others = wanted.select(F.col("other").alias("page_id")).distinct()
+    # only the lines of pages that decide about others are shuffled; their ids are sent to all tasks if they are few
+    others = F.broadcast(others) if 2 * n_open <= SENT else others
+    one = read.select("page_id", "lines", "url").join(others, "page_id", "left_semi").groupBy("page_id").agg(F.min_by("lines", F.struct("url", "lines")).alias("theirs"))
     found = wanted.join(one.withColumnRenamed("page_id", "other"), "other").groupBy("page_id").agg(F.sort_array(F.collect_list(F.struct("turn", "theirs"))).alias("t")).select("page_id", F.col("t.theirs").alias("neighbours"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
