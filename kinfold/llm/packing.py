@@ -164,8 +164,8 @@ class WordTokenizer:
         split = ((made.get("pre_tokenizer") or {}).get("pretokenizers") or [{}])[0]
         self.by_word = normalisers == [("NFC", None, None), ("Replace", {"Regex": r"\s+"}, " "), ("Lowercase", None, None)] and split.get("type") == "Split" and split.get("behavior") == "Removed" and bool(split.get("invert")) and not made.get("post_processor")
         self.parts = regex.compile(split["pattern"]["Regex"]).findall if self.by_word else None
-        self.part = Memo(self._encode, 300_000)
-        self.word = Memo(self._word, 500_000)
+        self.part = Memo(self._encode, 1_000_000)
+        self.word = Memo(self._word, 300_000)
 
     def _encode(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32).tobytes()
