@@ -6,7 +6,8 @@ popped, and a number stored with the link says how many pieces those are. Each
 character is thus read once, nothing is looked at again, and no piece is built.
 
 Defined results: a null or empty text has no words and no tokens. Words are runs
-of characters that str.split() doesn't take for white space. A word that the
+of characters that str.split() doesn't take for white space, and are spelt with the
+mark before them; the mark alone may be a piece, and counts as one. A word that the
 vocabulary can't spell counts as one unknown token. Words of any length are read
 whole. Rows that repeat give rows that repeat.
 """
@@ -24,11 +25,13 @@ UNKNOWN = -1
 
 
 class LongestMatch:
-    """word_starts and continuations: the pieces that may begin a word, and those that may follow."""
+    """word_starts and continuations: the pieces that may begin a word, and those that may follow. An empty start is the mark alone: where no other start fits, it is popped and continuations follow."""
 
     def __init__(self, word_starts: Iterable[str], continuations: Iterable[str]):
         self.edges: list[dict[str, int]] = [{}, {}]
         self.first, self.later = 0, 1
+        word_starts = set(word_starts)
+        self.lone_mark = "" in word_starts
         ends = [self._insert(self.first, p) for p in word_starts if p] + [self._insert(self.later, p) for p in continuations if p]
         self._link(set(ends))
 
@@ -45,6 +48,8 @@ class LongestMatch:
         """Failure links (UNKNOWN: there is none) and the pieces popped along them, by breadth."""
         n = len(self.edges)
         self.fail, self.popped = [UNKNOWN] * n, [0] * n
+        if self.lone_mark:
+            self.fail[self.first], self.popped[self.first] = self.later, 1
         level = [self.first, self.later]
         while level:
             below = []
@@ -92,13 +97,13 @@ class LongestMatch:
 
 
 def piece_vocabulary(model_path: str) -> tuple[list[str], list[str]]:
-    """Word starts (without their mark) and continuations of a sentencepiece model's ordinary pieces."""
+    """Word starts (without their mark, "" for the mark alone) and continuations of a sentencepiece model's ordinary pieces."""
     import sentencepiece
 
     model = sentencepiece.SentencePieceProcessor(model_file=model_path)
     pieces = [model.id_to_piece(i) for i in range(model.get_piece_size()) if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i) or model.is_unused(i))]
     mark = "▁"
-    return [p[1:] for p in pieces if p[0] == mark and mark not in p[1:]], [p for p in pieces if mark not in p]
+    return [p[1:] for p in pieces if p[0] == mark], pieces
 
 
 def count_tokens(docs: DataFrame, model_path: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

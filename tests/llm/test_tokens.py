@@ -52,6 +52,22 @@ def test_count_tokens(spark):
     assert tokencount.count_tokens(frame(spark, []), P.path("piece_bpe_32k.model")).count() == 0
 
 
+def test_words_that_begin_with_the_lone_mark(spark):
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=P.path("piece_bpe_32k.model"))
+    pieces = {model.id_to_piece(i) for i in range(model.get_piece_size()) if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i) or model.is_unused(i))}
+    words = ["2024", "ñandú", "ß", "Ça", "可能", "数字", "3rd", "İstanbul", "12３４", "٣", "the", "unhappiness", "a▁b", "▁", "▁▁x"]
+    want = [naive_pieces("▁" + w, pieces, pieces) for w in words]
+    assert (want[0], want[2], want[4]) == (5, 2, 3) and -1 in want
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    texts = [*words, *(r.text for r in docs.collect())]
+    got = {r.doc_id: r for r in tokencount.count_tokens(frame(spark, texts), P.path("piece_bpe_32k.model")).collect()}
+    for i, text in enumerate(texts):
+        counts = [naive_pieces("▁" + w, pieces, pieces) for w in (text or "").split()]
+        assert (got[i].n_tokens, got[i].n_unknown) == (sum(abs(c) for c in counts), counts.count(-1)), text
+
+
 @pytest.fixture(scope="module")
 def tik():
     ranks = bytebpe.read_ranks(P.path("byte_bpe_50k.tiktoken"))
