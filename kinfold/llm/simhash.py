@@ -208,3 +208,113 @@ def near_duplicates(docs: DataFrame, width: int = 3, radius: int = 3, segments:
     groups = components(pairs)
     named = classes.join(groups, F.col("class") == F.col("node"), "left").select("fingerprints", F.coalesce("component", "class").alias("component_id"))
     return found.join(named, "fingerprints").select("doc_id", F.col("fingerprints")[0].alias("fingerprint"), "component_id")
+
+
+def bucket_pairs(batches: Iterable[pa.RecordBatch], radius: int, segments: int, least: float, reach: int | None) -> Iterator[pa.RecordBatch]:
+    """batches: key, fingerprint, node, label, size, in the order of their keys. Pairs of a bucket that link, have different labels and sizes that allow a similarity of `least`; of rows up to `reach` places apart, or of all."""
+    per_start = len(key_choices(radius, segments))
+    value_bits = np.uint64(len(key_choices(radius, segments)[0]) * (BITS // segments))
+    held: list[np.ndarray] = [np.empty(0, np.int64)] * 5
+
+    def done(key: np.ndarray, fp: np.ndarray, node: np.ndarray, label: np.ndarray, size: np.ndarray) -> Iterator[pa.RecordBatch]:
+        if len(key) < 2:
+            return
+        ends = np.flatnonzero(np.concatenate((key[1:] != key[:-1], [True]))) + 1
+        end = np.repeat(ends, np.diff(ends, prepend=0))
+        begin = ((key.view(np.uint64) >> value_bits) // np.uint64(per_start) % np.uint64(segments)).astype(np.int64)
+        fp, i, d = fp.view(np.uint64), np.arange(len(key)), 1
+        while reach is None or d <= reach:
+            i = i[end[i] > i + d]
+            if not len(i):
+                break
+            j = i + d
+            fit = (label[i] != label[j]) & (np.minimum(size[i], size[j]) >= least * np.maximum(size[i], size[j]))
+            a, b = i[fit], j[fit]
+            if len(a):
+                ok = linked(fp[a], fp[b], begin[a], radius, segments)
+                a, b = node[a[ok]], node[b[ok]]
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+            d += 1
+
+    for batch in batches:
+        now = [np.concatenate((h, c.to_numpy(zero_copy_only=False))) for h, c in zip(held, batch.columns)]
+        if not len(now[0]):
+            continue
+        cut = int(np.searchsorted(now[0], now[0][-1]))  # the last bucket may go on
+        yield from done(*(x[:cut] for x in now))
+        held = [x[cut:] for x in now]
+    yield from done(*held)
+
+
+def shingle_sets(docs: DataFrame, shingle: int) -> DataFrame:
+    """doc_id, hashes (binary: the sorted distinct hashes of the text's shingles)."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 256):
+            found = [np.unique(shingle_hashes(t, shingle)).tobytes() for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["doc_id", "hashes"])
+
+    return docs.mapInArrow(run, "doc_id long, hashes binary")
+
+
+def verified(pairs: DataFrame, docs: DataFrame, shingle: int, least: float) -> DataFrame:
+    """The pairs a, b of document ids whose texts' sets of shingles have a Jaccard similarity of `least` or more."""
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    sets = stored(shingle_sets(docs.join(ids, "doc_id", "left_semi"), shingle).groupBy("doc_id").agg(F.max("hashes").alias("hashes")))
+    both = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("hashes").alias("x")), "a").join(sets.select(F.col("doc_id").alias("b"), F.col("hashes").alias("y")), "b").select("a", "b", "x", "y")
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 256):
+            keep = []
+            for x, y in zip(batch.column(2), batch.column(3)):
+                x, y = np.frombuffer(x.as_buffer(), "<u8"), np.frombuffer(y.as_buffer(), "<u8")
+                both = np.sort(np.concatenate((x, y)), kind="stable")
+                shared = int(np.count_nonzero(both[1:] == both[:-1]))
+                keep.append(shared >= least * (len(both) - shared))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return both.mapInArrow(run, "a long, b long")
+
+
+def similar_documents(docs: DataFrame, width: int = 2, radius: int = 5, segments: int = 8, seeds: int = 12, shingle: int = 5, least: float = 0.8, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """doc_id, component_id: the smallest doc_id that links reach. Documents link if the Jaccard similarity of their sets of `shingle` words is `least` or more; the fingerprints of any seed only lead to the pairs that are held against it.
+
+    Equal sets are one node. Candidates are first the neighbours within a bucket, then all pairs of a bucket that
+    those didn't bring together, so that a large group of near copies doesn't cost its pairs. Ids are distinct;
+    of rows that share one, one set counts.
+    """
+    if radius < 0 or BITS % segments or segments <= radius:
+        raise ValueError("segments must divide 64 and be more than radius")
+    kept = docs.select(docs[id_column].cast("long").alias("doc_id"), docs[text_column].cast("string").alias("text")).where("doc_id is not null")
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from xxhash import xxh3_128_digest
+
+        for batch in slices(batches, 256):
+            digests, sizes, found = [], [], []
+            for text in batch.column(1).to_pylist():
+                own = np.unique(shingle_hashes(text, shingle))
+                digests.append(xxh3_128_digest(own.tobytes()))
+                sizes.append(len(own))
+                hashes = shingle_hashes(text, width)
+                found += [votes(reseeded(hashes, seed)) for seed in range(seeds)]
+            values = pa.array(np.array(found, np.uint64).view(np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(digests, pa.binary()), pa.array(sizes, pa.int64()), pa.ListArray.from_arrays(np.arange(batch.num_rows + 1, dtype=np.int32) * seeds, values)], names=["doc_id", "digest", "size", "fingerprints"])
+
+    found = stored(kept.mapInArrow(run, "doc_id long, digest binary, size long, fingerprints array<long>"))
+    classes = stored(found.groupBy("digest").agg(F.min("doc_id").alias("node"), F.max("size").alias("size"), F.min_by("fingerprints", "doc_id").alias("fingerprints")))
+    tables, value_bits = segments * len(key_choices(radius, segments)), len(key_choices(radius, segments)[0]) * (BITS // segments)
+
+    def candidates(labelled: DataFrame, reach: int | None) -> DataFrame:
+        by_seed = labelled.select("node", "label", "size", F.posexplode("fingerprints").alias("seed", "fingerprint"))
+        at = F.shiftleft((F.col("seed") * tables).cast("long"), value_bits)
+        rows = by_seed.select(F.explode(F.transform(keys(F.col("fingerprint"), radius, segments), lambda k: k + at)).alias("key"), "fingerprint", "node", "label", "size")
+        ordered = rows.repartition("key").sortWithinPartitions("key", "fingerprint")
+        return stored(ordered.mapInArrow(lambda batches: bucket_pairs(batches, radius, segments, least, reach), "a long, b long").distinct())
+
+    first = stored(verified(candidates(classes.withColumn("label", F.col("node")), 2), kept, shingle, least))
+    groups = stored(components(first)).select(F.col("node").alias("of"), "component")
+    labelled = classes.join(groups, F.col("node") == F.col("of"), "left").select("node", "size", "fingerprints", F.coalesce("component", "node").alias("label"))
+    groups = components(first.unionByName(verified(candidates(labelled, None), kept, shingle, least))).select(F.col("node").alias("of"), "component")
+    named = classes.join(groups, F.col("node") == F.col("of"), "left").select("digest", F.coalesce("component", "node").alias("component_id"))
+    return found.select("doc_id", "digest").join(named, "digest").select("doc_id", "component_id")
