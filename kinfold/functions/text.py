@@ -48,7 +48,7 @@ def is_missing(x: Column) -> Column:
 
 
 def is_ascii(x: Column) -> Column:
-    return x.rlike(r"^[\x00-\x7F]*$")
+    return x.rlike(r"^[\x00-\x7F]*\z")
 
 
 @F.pandas_udf(StringType())

@@ -325,9 +325,8 @@ def logistic_scores(spark, at):
 
 @query
 def normal_forms(spark, at):
-    """Compatibility forms and base letters of titles; DuckDB has neither form."""
-    start = F.substring("text", 1, 200)
-    return spark.read.parquet(f"{at}/documents.parquet").select("doc_id", X.nfkc(start).alias("nfkc"), X.strip_accents(start).alias("base_letters"))
+    """Compatibility forms and base letters of whole texts; DuckDB has neither form."""
+    return spark.read.parquet(f"{at}/documents.parquet").select("doc_id", X.nfkc(F.col("text")).alias("nfkc"), X.strip_accents(F.col("text")).alias("base_letters"))
 
 
 def queries() -> dict:
