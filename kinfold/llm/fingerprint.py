@@ -6,7 +6,9 @@ occurrence of a term adds its weight, signed by the term's hash, to each bit's
 vote. A sum of many 0/1 votes is kept in half a long, so that one addition serves
 two bits. Fingerprints are found again within a Hamming radius by block tables: of
 `blocks` blocks at least blocks - radius are equal, so for each choice of that many
-a table with those blocks in front is searched by equality.
+a table with those blocks in front is searched by equality. From a radius of `blocks`
+on, one block differs in radius // blocks bits at most: each block has its table, and
+queries look up all its values within those bits.
 
 Defined results: a null text is empty; a text without a word has fingerprint
 zero. Of rows that share an id, the greatest text counts; null ids take no part.
@@ -113,8 +115,9 @@ def fingerprint_documents(docs: DataFrame, id_column: str = "doc_id", text_colum
 
 def within_radius(queries: DataFrame, index: DataFrame, radius: int = 3, blocks: int = 6) -> DataFrame:
     """q0, q1, f0, f1: all pairs of a query fingerprint and another index fingerprint (both distinct, columns f0, f1) that differ in 1 to radius bits."""
-    if not 0 < radius < blocks:
-        raise ValueError("blocks must be more than radius")
+    if radius < 1 or not 1 < blocks <= BITS:
+        raise ValueError("radius must be 1 or more, blocks 2 to 128")
+    slack = radius // blocks
     bounds = [i * BITS // blocks for i in range(blocks + 1)]
 
     def block(i: int) -> Column:
@@ -127,27 +130,38 @@ def within_radius(queries: DataFrame, index: DataFrame, radius: int = 3, blocks:
                 value = F.shiftleft(value, high - low).bitwiseOR(part)
         return value
 
-    tables = list(combinations(range(blocks), blocks - radius))
+    tables = list(combinations(range(blocks), 1 if slack else blocks - radius))
+
+    def probed(fps: DataFrame) -> DataFrame:
+        """Entries for a block's values within slack bits of the query's own."""
+        masks = [[sum(1 << b for b in bits) for n in range(slack + 1) for bits in combinations(range(hi - lo), n)] for lo, hi in zip(bounds, bounds[1:])]
+
+        def values(i: int) -> Column:
+            return F.transform(F.array(*[F.lit(m).cast("long") for m in masks[i]]), lambda m: F.struct(F.lit(i).alias("entry"), F.xxhash64(F.lit(i), block(i).bitwiseXOR(m)).alias("front")))
+
+        entries = F.flatten(F.array(*[values(i) for i in range(blocks)]))
+        return fps.select("f0", "f1", F.inline(entries))
 
     def permuted(fps: DataFrame) -> DataFrame:
         entries = F.array(*[F.xxhash64(F.lit(t), *[block(i) for i in front]) for t, front in enumerate(tables)])
         return fps.select("f0", "f1", F.posexplode(entries).alias("entry", "front"))
 
-    q = permuted(queries).select(F.col("f0").alias("q0"), F.col("f1").alias("q1"), "entry", "front")
+    q = (probed if slack else permuted)(queries).select(F.col("f0").alias("q0"), F.col("f1").alias("q1"), "entry", "front")
     differ = F.bit_count(F.col("q0").bitwiseXOR(F.col("f0"))) + F.bit_count(F.col("q1").bitwiseXOR(F.col("f1")))
     return q.join(permuted(index), ["entry", "front"]).where(differ.between(1, radius)).select("q0", "q1", "f0", "f1").distinct()
 
 
 def document_fingerprints(docs: DataFrame, is_query: Column, radius: int = 3, blocks: int = 6, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, n_near: for documents that are queries (a condition on doc_id), how many other fingerprints of documents lie within the radius, else null."""
+    """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, n_near, n_near_docs: for documents that are queries (a condition on doc_id), how many other fingerprints of documents lie within the radius, and how many other documents have one of these or the same fingerprint; else null."""
     rows = stored(fingerprint_documents(docs, id_column, text_column))
     of_next = rows.select(F.col("doc_id").alias("next_id"), *[F.col(f"f{h}").alias(f"n{h}") for h in range(HALVES)])
-    index = rows.select("f0", "f1").distinct()
+    index = stored(rows.groupBy("f0", "f1").agg(F.count("*").alias("size")))
     pairs = within_radius(rows.where(is_query).select("f0", "f1").distinct(), index, radius, blocks)
-    near = pairs.groupBy("q0", "q1").agg(F.count("*").alias("found")).select(F.col("q0").alias("f0"), F.col("q1").alias("f1"), "found")
+    near = pairs.join(index, ["f0", "f1"]).groupBy("q0", "q1").agg(F.count("*").alias("found"), F.sum("size").alias("found_docs")).select(F.col("q0").alias("f0"), F.col("q1").alias("f1"), "found", "found_docs")
+    near = index.join(near, ["f0", "f1"], "left").select("f0", "f1", "found", (F.coalesce("found_docs", F.lit(0)) + F.col("size") - 1).cast("long").alias("found_docs"))
     own, edited, following = ([F.col(f"{c}{h}") for h in range(HALVES)] for c in "fen")
     return (
         rows.join(of_next, "next_id")
         .join(near, ["f0", "f1"], "left")
-        .select("doc_id", "n_chars", "edited_sha256", as_text(own).alias("fingerprint"), as_text(edited).alias("edited_fingerprint"), likeness(own, edited).alias("near_edited"), likeness(own, following).alias("near_next"), F.when(is_query, F.coalesce("found", F.lit(0).cast("long"))).alias("n_near"))
+        .select("doc_id", "n_chars", "edited_sha256", as_text(own).alias("fingerprint"), as_text(edited).alias("edited_fingerprint"), likeness(own, edited).alias("near_edited"), likeness(own, following).alias("near_next"), F.when(is_query, F.coalesce("found", F.lit(0).cast("long"))).alias("n_near"), F.when(is_query, F.col("found_docs")).alias("n_near_docs"))
     )

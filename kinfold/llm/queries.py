@@ -49,7 +49,7 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fingerprint.document_fingerprints(table(spark, sf_dir, "documents"), F.col("doc_id") % 20 == 0, radius=3)
+    return fingerprint.document_fingerprints(table(spark, sf_dir, "documents"), F.col("doc_id") % 20 == 0, radius=15, blocks=8)
 
 
 def op10_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -182,3 +182,26 @@ def test_block_tables_lose_no_pair(spark):
     got = {tuple(r) for r in fingerprint.within_radius(df, df, 3, 6).collect()}
     want = {(signed(a), signed(b), signed(c), signed(d)) for a, b in fps for c, d in fps if 1 <= (a ^ c).bit_count() + (b ^ d).bit_count() <= 3}
     assert got == want
+
+
+def test_wide_radius_loses_no_pair_and_counts_documents(spark):
+    rng = random.Random(10)
+    fps = [(rng.getrandbits(64), rng.getrandbits(64)) for _ in range(10)]
+    for _ in range(120):
+        x = list(rng.choice(fps))
+        for bit in rng.sample(range(128), rng.randint(1, 20)):
+            x[bit // 64] ^= 1 << bit % 64
+        fps.append(tuple(x))
+    fps = sorted(set(fps))
+    signed = lambda f: f - (f >> 63 << 64)
+    df = spark.createDataFrame([(signed(a), signed(b)) for a, b in fps], "f0 long, f1 long")
+    got = {tuple(r) for r in fingerprint.within_radius(df, df, 15, 8).collect()}
+    want = {(signed(a), signed(b), signed(c), signed(d)) for a, b in fps for c, d in fps if 1 <= (a ^ c).bit_count() + (b ^ d).bit_count() <= 15}
+    assert got == want
+    texts = [*near_texts(rng)[:40], *["the same words again"] * 5, None, ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    own = [brute_halves(t) for t in texts]
+    near = lambda i, j: sum((x ^ y).bit_count() for x, y in zip(own[i], own[j])) <= 15
+    rows = {r.doc_id: r for r in fingerprint.document_fingerprints(docs, F.col("doc_id") % 2 == 0, 15, 8).collect()}
+    for i in range(len(texts)):
+        assert rows[i].n_near_docs == (sum(near(i, j) for j in range(len(texts)) if j != i) if i % 2 == 0 else None)
