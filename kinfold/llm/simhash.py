@@ -9,21 +9,24 @@ equal, and of those that follow all but a few; this gives the keys of an equalit
 join. Its candidates are then held against the whole chain of budgets, and only
 those that keep within it get the full Hamming check.
 
-One document may have several fingerprints, of the same hashes mixed with
-different seeds: documents link if any of them do, so that more of the wanted
-pairs are found at a radius that still tells texts apart.
-
 Equal fingerprints are one node before any candidate is sought, and each bucket
 yields a spanning forest of its links, not its pairs, so large groups of copies
-cost their number. Buckets are read as sorted streams.
+cost their number. Buckets are read as sorted streams. One of more than `most` fingerprints is dealt anew: the
+bits that its key leaves open are cut into radius + 1 pieces, of which two fingerprints that link have one in common,
+so each piece gives a smaller bucket, and so on until all are small, or have so few open bits that they are. No link is lost.
+
+similar_documents() takes fingerprints for candidates only: documents link if their shingles' Jaccard similarity is high enough.
+There fingerprints are of the text's words, each weighted by the logarithm of its count, for several seeds.
 
 Defined results: a null or empty text has fingerprint zero, and such texts link
-with each other. A text of fewer words than a shingle is one shingle. Documents
-whose id is null take no part. Repeated rows repeat in the result.
+with each other. A text of fewer words than a shingle is one shingle. Every row is a document and gives a row: ids may
+be equal or null; a component is named by its smallest id that is none of the nulls, and is null without any. An
+empty table gives an empty one. Further columns, whatever their names, take no part.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterable, Iterator
 from itertools import combinations
 
@@ -32,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, stored
+from .common import Memo, slices, stored
 from .components import components
 
 SEED = 42
@@ -73,20 +76,29 @@ def reseeded(hashes: np.ndarray, seed: int) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def fingerprints(docs: DataFrame, width: int = 3, seeds: int = 1, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """doc_id, fingerprints (array of long, by seed)."""
+def weighted_votes(hashes: np.ndarray, weights: np.ndarray, seeds: int) -> list[int]:
+    """A fingerprint for each seed: bits that are set in over half of the weight."""
+    found = []
+    for seed in range(seeds):
+        counts = np.zeros(BITS, np.int64)
+        for at in range(0, len(hashes), 1 << 15):
+            part = reseeded(hashes[at : at + (1 << 15)], seed)
+            bits = np.unpackbits(part.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+            counts += weights[at : at + (1 << 15)] @ bits
+        found.append(int(np.packbits(2 * counts > weights.sum(), bitorder="little").view("<u8")[0]))
+    return found
+
+
+def fingerprints(docs: DataFrame, width: int = 3, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """doc_id, fingerprint (long)."""
     kept = docs.select(docs[id_column].cast("long").alias("doc_id"), docs[text_column].cast("string").alias("text"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 256):
-            found = []
-            for text in batch.column(1).to_pylist():
-                hashes = shingle_hashes(text, width)
-                found += [votes(reseeded(hashes, seed)) for seed in range(seeds)]
-            values = pa.array(np.array(found, np.uint64).view(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(np.arange(batch.num_rows + 1, dtype=np.int32) * seeds, values)], names=["doc_id", "fingerprints"])
+            found = np.array([votes(shingle_hashes(text, width)) for text in batch.column(1).to_pylist()], np.uint64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], names=["doc_id", "fingerprint"])
 
-    return kept.mapInArrow(run, "doc_id long, fingerprints array<long>").where("doc_id is not null")
+    return kept.mapInArrow(run, "doc_id long, fingerprint long")
 
 
 def budgets(radius: int, segments: int) -> list[int]:
@@ -121,16 +133,16 @@ def keys(fingerprint: Column, radius: int, segments: int) -> Column:
 
 
 def linked(a: np.ndarray, b: np.ndarray, start: np.ndarray, radius: int, segments: int) -> np.ndarray:
-    """Whether pairs of fingerprints keep the chain's budgets from their start segment on, and then the radius."""
+    """Whether pairs of fingerprints keep the chain's budgets from their start segment on (a start below 0 has no chain), and then the radius."""
     width = np.uint64(BITS // segments)
     differ = a ^ b
-    turn = start.astype(np.uint64) * width
+    turn = np.maximum(start, 0).astype(np.uint64) * width
     ring = (differ >> turn) | np.where(turn == 0, np.uint64(0), differ << ((np.uint64(BITS) - turn) % np.uint64(BITS)))
     ok, total = np.ones(np.broadcast(a, b).shape, bool), np.zeros(np.broadcast(a, b).shape, np.uint8)
     for j, allowed in enumerate(budgets(radius, segments)):
         part = (ring >> (np.uint64(j) * width)) & ((np.uint64(1) << width) - np.uint64(1))
         total = total + np.bitwise_count(part)
-        ok &= total <= allowed
+        ok &= (total <= allowed) | (start < 0)
         if not ok.any():
             return ok
     return ok & (np.bitwise_count(differ) <= radius)
@@ -152,116 +164,228 @@ def _forest(fps: np.ndarray, start: int, radius: int, segments: int) -> list[tup
     return found
 
 
-def bucket_links(batches: Iterable[pa.RecordBatch], radius: int, segments: int) -> Iterator[pa.RecordBatch]:
-    """batches: key, fingerprint, node, in the order of their keys. The nodes of links."""
-    per_start = len(key_choices(radius, segments))
-    value_bits = np.uint64(len(key_choices(radius, segments)[0]) * (BITS // segments))
-    held: list[np.ndarray] = [np.empty(0, np.int64)] * 3
+def tables(radius: int, segments: int) -> tuple[int, int]:
+    """The number of tables, and the bits of a key that come after its table's number."""
+    return segments * len(key_choices(radius, segments)), len(key_choices(radius, segments)[0]) * (BITS // segments)
+
+
+def open_bits(radius: int, segments: int) -> np.ndarray:
+    """By table: the bits that its keys leave open."""
+    width, out = BITS // segments, []
+    for start in range(segments):
+        for choice in key_choices(radius, segments):
+            taken = {(start + s) % segments for s in choice}
+            out.append(sum(((1 << width) - 1) << (s * width) for s in range(segments) if s not in taken))
+    return np.array(out, np.uint64)
+
+
+def smaller_buckets(key: np.ndarray, left: np.ndarray, fp: np.ndarray, pieces: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For rows of a bucket that is too large: (row, key, open bits) of the buckets that each piece of its open bits gives."""
+    rows, keys_, open_ = [], [], []
+    for mask in np.unique(left).tolist():
+        at = np.flatnonzero(left == np.uint64(mask))
+        places = [b for b in range(BITS) if mask >> b & 1]
+        for piece in range(pieces):
+            taken = sum(1 << b for b in places[piece::pieces])
+            with np.errstate(over="ignore"):
+                x = (fp[at] & np.uint64(taken)) + np.uint64(piece + 1) * np.uint64(0x9E3779B97F4A7C15)
+                x = (x ^ (x >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93) + key[at].view(np.uint64)
+                x = (x ^ (x >> np.uint64(29))) * np.uint64(0xC2B2AE3D27D4EB4F)
+            rows.append(at)
+            keys_.append((x ^ (x >> np.uint64(32))).view(np.int64))
+            open_.append(np.full(len(at), mask & ~taken, np.uint64))
+    return np.concatenate(rows), np.concatenate(keys_), np.concatenate(open_)
+
 
-    def done(key: np.ndarray, fp: np.ndarray, node: np.ndarray) -> pa.RecordBatch:
+#: Open bits that leave a bucket few fingerprints.
+FEW = 11
+LINKS = "a long, b long, key long, open long, start int"
+
+
+def bucket_links(batches: Iterable[pa.RecordBatch], radius: int, segments: int, most: int) -> Iterator[pa.RecordBatch]:
+    """batches: key, fingerprint, open, start, in the order of their keys, fingerprints distinct in each. LINKS: fingerprints a, b that link and connect a bucket; and rows (a, with key, open and start -1) of the smaller buckets that one of more than `most` falls into. start: the chain's first segment, -1 in smaller buckets."""
+    held: list[np.ndarray] = [np.empty(0, np.int64)] * 4
+    large = None  # the key of a bucket whose rows are passed on
+
+    def passed(key: np.ndarray, fp: np.ndarray, left: np.ndarray, start: np.ndarray) -> pa.RecordBatch:
+        row, key, left = smaller_buckets(key, left.view(np.uint64), fp.view(np.uint64), radius + 1)
+        return pa.RecordBatch.from_arrays([pa.array(fp[row]), pa.nulls(len(row), pa.int64()), pa.array(key), pa.array(left.view(np.int64)), pa.array(np.full(len(row), -1, np.int32))], names=["a", "b", "key", "open", "start"])
+
+    def done(key: np.ndarray, fp: np.ndarray, left: np.ndarray, start: np.ndarray) -> Iterator[pa.RecordBatch]:
         edges_at = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1], [True]))) if len(key) else np.zeros(1, np.int64)
         length = np.diff(edges_at)
-        begin = ((key.view(np.uint64) >> value_bits) // np.uint64(per_start) % np.uint64(segments)).astype(np.int64)
-        fp = fp.view(np.uint64)
+        large_ = (length > most) & (np.bitwise_count(left.view(np.uint64)[edges_at[:-1]]) > FEW)
+        over = np.repeat(large_, length)
+        if over.any():
+            yield passed(*(x[over] for x in (key, fp, left, start)))
+        bits = fp.view(np.uint64)
         two = edges_at[:-1][length == 2]
-        two = two[linked(fp[two], fp[two + 1], begin[two], radius, segments)] if len(two) else two
-        a, b = [node[two]], [node[two + 1]]
-        for at, n in zip(edges_at[:-1][length > 2].tolist(), length[length > 2].tolist()):
-            pairs = _forest(fp[at : at + n], int(begin[at]), radius, segments)
+        two = two[linked(bits[two], bits[two + 1], start[two], radius, segments)] if len(two) else two
+        a, b = [fp[two]], [fp[two + 1]]
+        some = (length > 2) & ~large_
+        for at, n in zip(edges_at[:-1][some].tolist(), length[some].tolist()):
+            pairs = _forest(bits[at : at + n], int(start[at]), radius, segments)
             if pairs:
                 i, j = np.array(pairs).T
-                a.append(node[at + i])
-                b.append(node[at + j])
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"])
+                a.append(fp[at + i])
+                b.append(fp[at + j])
+        a, b = np.concatenate(a), np.concatenate(b)
+        none = pa.nulls(len(a), pa.int64())
+        yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), none, none, pa.nulls(len(a), pa.int32())], names=["a", "b", "key", "open", "start"])
 
     for batch in batches:
-        now = [np.concatenate((h, c.to_numpy(zero_copy_only=False))) for h, c in zip(held, batch.columns)]
+        now = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+        if large is not None:
+            more = now[0] == large
+            if more.any():
+                yield passed(*(x[more] for x in now))
+            now = [x[~more] for x in now]
         if not len(now[0]):
             continue
+        large = None
+        now = [np.concatenate((h, x)) for h, x in zip(held, now)]
         cut = int(np.searchsorted(now[0], now[0][-1]))  # the last bucket may go on
-        yield done(*(x[:cut] for x in now))
+        yield from done(*(x[:cut] for x in now))
         held = [x[cut:] for x in now]
-    yield done(*held)
-
-
-def links(nodes: DataFrame, radius: int = 3, segments: int = 8) -> DataFrame:
-    """a, b: links between nodes (seed, fingerprint, node; fingerprints of a seed are distinct) that connect whatever the radius connects."""
-    tables = segments * len(key_choices(radius, segments))
-    value_bits = len(key_choices(radius, segments)[0]) * (BITS // segments)
-    at = F.shiftleft((F.col("seed") * tables).cast("long"), value_bits)
-    rows = nodes.select(F.explode(F.transform(keys(F.col("fingerprint"), radius, segments), lambda k: k + at)).alias("key"), "fingerprint", "node")
-    return rows.repartition("key").sortWithinPartitions("key").mapInArrow(lambda batches: bucket_links(batches, radius, segments), "a long, b long").distinct()
+        if len(held[0]) > most and int(held[2][0] & (2**63 - 1)).bit_count() + int(held[2][0] < 0) > FEW:
+            yield passed(*held)
+            large, held = int(held[0][0]), [x[:0] for x in held]
+    yield from done(*held)
 
 
-def near_duplicates(docs: DataFrame, width: int = 3, radius: int = 3, segments: int = 8, seeds: int = 1, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """doc_id, fingerprint (long, of the first seed), component_id: the smallest doc_id that links reach."""
+def links(nodes: DataFrame, radius: int = 3, segments: int = 8, most: int = 1024) -> DataFrame:
+    """a, b: links between fingerprints (column fingerprint, distinct) that connect whatever the radius connects."""
+    count, value_bits = tables(radius, segments)
+    table = F.shiftright("key", value_bits).cast("int")
+    masks = F.array(*[F.lit(int(m) - (1 << 64) * (int(m) >> 63)).cast("long") for m in open_bits(radius, segments)])
+    rows = nodes.select("fingerprint", F.explode(keys(F.col("fingerprint"), radius, segments)).alias("key"))
+    rows = rows.select("key", "fingerprint", F.get(masks, table).alias("open"), F.floor(table / (count // segments)).cast("int").alias("start"))
+    found = None
+    while True:
+        dealt = rows.repartition("key").sortWithinPartitions("key")
+        got = stored(dealt.mapInArrow(lambda batches: bucket_links(batches, radius, segments, most), LINKS))
+        pairs = got.where("b is not null").select("a", "b")
+        found = pairs if found is None else found.unionByName(pairs)
+        rows = got.where("key is not null").select("key", F.col("a").alias("fingerprint"), "open", "start")
+        if rows.isEmpty():
+            return found.distinct()
+
+
+def near_duplicates(docs: DataFrame, width: int = 3, radius: int = 3, segments: int = 8, most: int = 1024, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """doc_id, fingerprint (long), component_id: the smallest doc_id that links reach."""
+    _check(radius, segments)
+    found = stored(fingerprints(docs, width, id_column, text_column))
+    # documents with one fingerprint are one from here on
+    classes = stored(found.groupBy("fingerprint").agg(F.min("doc_id").alias("least")))
+    groups = components(links(classes, radius, segments, most)).withColumnRenamed("node", "fingerprint")
+    named = stored(classes.join(groups, "fingerprint", "left").withColumn("component", F.coalesce("component", "fingerprint")))
+    names = named.groupBy("component").agg(F.min("least").alias("component_id"))
+    return found.join(named.join(names, "component").select("fingerprint", "component_id"), "fingerprint").select("doc_id", "fingerprint", "component_id")
+
+
+def _check(radius: int, segments: int) -> None:
     if radius < 0 or BITS % segments or segments <= radius:
         raise ValueError("segments must divide 64 and be more than radius")
-    found = stored(fingerprints(docs, width, seeds, id_column, text_column))
-    # documents with the same fingerprints throughout are one from here on
-    classes = stored(found.groupBy("fingerprints").agg(F.min("doc_id").alias("class")))
-    by_seed = classes.select("class", F.posexplode("fingerprints").alias("seed", "fingerprint"))
-    nodes = stored(by_seed.groupBy("seed", "fingerprint").agg(F.min("class").alias("node"))) if seeds > 1 else by_seed.withColumnRenamed("class", "node")
-    pairs = links(nodes, radius, segments)
-    if seeds > 1:
-        pairs = pairs.unionByName(by_seed.join(nodes, ["seed", "fingerprint"]).where("class <> node").select(F.col("class").alias("a"), F.col("node").alias("b")).distinct())
-    groups = components(pairs)
-    named = classes.join(groups, F.col("class") == F.col("node"), "left").select("fingerprints", F.coalesce("component", "class").alias("component_id"))
-    return found.join(named, "fingerprints").select("doc_id", F.col("fingerprints")[0].alias("fingerprint"), "component_id")
-
-
-def bucket_pairs(batches: Iterable[pa.RecordBatch], radius: int, segments: int, least: float, reach: int | None) -> Iterator[pa.RecordBatch]:
-    """batches: key, fingerprint, node, label, size, in the order of their keys. Pairs of a bucket that link, have different labels and sizes that allow a similarity of `least`; of rows up to `reach` places apart, or of all."""
-    per_start = len(key_choices(radius, segments))
-    value_bits = np.uint64(len(key_choices(radius, segments)[0]) * (BITS // segments))
-    held: list[np.ndarray] = [np.empty(0, np.int64)] * 5
-
-    def done(key: np.ndarray, fp: np.ndarray, node: np.ndarray, label: np.ndarray, size: np.ndarray) -> Iterator[pa.RecordBatch]:
-        if len(key) < 2:
-            return
-        ends = np.flatnonzero(np.concatenate((key[1:] != key[:-1], [True]))) + 1
-        end = np.repeat(ends, np.diff(ends, prepend=0))
-        begin = ((key.view(np.uint64) >> value_bits) // np.uint64(per_start) % np.uint64(segments)).astype(np.int64)
-        fp, i, d = fp.view(np.uint64), np.arange(len(key)), 1
-        while reach is None or d <= reach:
-            i = i[end[i] > i + d]
-            if not len(i):
-                break
-            j = i + d
-            fit = (label[i] != label[j]) & (np.minimum(size[i], size[j]) >= least * np.maximum(size[i], size[j]))
-            a, b = i[fit], j[fit]
-            if len(a):
-                ok = linked(fp[a], fp[b], begin[a], radius, segments)
-                a, b = node[a[ok]], node[b[ok]]
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
-            d += 1
 
-    for batch in batches:
-        now = [np.concatenate((h, c.to_numpy(zero_copy_only=False))) for h, c in zip(held, batch.columns)]
-        if not len(now[0]):
-            continue
-        cut = int(np.searchsorted(now[0], now[0][-1]))  # the last bucket may go on
-        yield from done(*(x[:cut] for x in now))
-        held = [x[cut:] for x in now]
-    yield from done(*held)
 
+PAIRS = "a long, b long, key long"
 
-def shingle_sets(docs: DataFrame, shingle: int) -> DataFrame:
-    """doc_id, hashes (binary: the sorted distinct hashes of the text's shingles)."""
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 256):
-            found = [np.unique(shingle_hashes(t, shingle)).tobytes() for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["doc_id", "hashes"])
+def _pairs(a: np.ndarray, b: np.ndarray, key: np.ndarray) -> pa.RecordBatch:
+    """PAIRS: pairs, then keys."""
+    n, m = len(a), len(key)
+    columns = [pa.concat_arrays([pa.array(x, pa.int64()), pa.nulls(m, pa.int64())]) for x in (np.minimum(a, b), np.maximum(a, b))]
+    return pa.RecordBatch.from_arrays([*columns, pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array(key, pa.int64())])], names=["a", "b", "key"])
+
 
-    return docs.mapInArrow(run, "doc_id long, hashes binary")
+def _alike(sizes: tuple[np.ndarray, np.ndarray], least: float) -> np.ndarray:
+    """Whether sets of these sizes can have that similarity."""
+    return np.minimum(*sizes) >= least * np.maximum(*sizes)
 
 
-def verified(pairs: DataFrame, docs: DataFrame, shingle: int, least: float) -> DataFrame:
-    """The pairs a, b of document ids whose texts' sets of shingles have a Jaccard similarity of `least` or more."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    sets = stored(shingle_sets(docs.join(ids, "doc_id", "left_semi"), shingle).groupBy("doc_id").agg(F.max("hashes").alias("hashes")))
-    both = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("hashes").alias("x")), "a").join(sets.select(F.col("doc_id").alias("b"), F.col("hashes").alias("y")), "b").select("a", "b", "x", "y")
+def neighbour_pairs(batches: Iterable[pa.RecordBatch], radius: int, segments: int, least: float, reach: int) -> Iterator[pa.RecordBatch]:
+    """batches: key, fingerprint, node, size, in the order of key and fingerprint. PAIRS: rows of a bucket up to `reach` places apart that link; and the keys of buckets that have more pairs than these."""
+    per_start, value_bits = len(key_choices(radius, segments)), np.uint64(tables(radius, segments)[1])
+    tail: list[np.ndarray] = [np.empty(0, np.int64)] * 4
+    rank = 0  # rows of the open bucket that came before the tail's first
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        old = len(tail[0])
+        key, fp, node, size = now = [np.concatenate((t, c.to_numpy(zero_copy_only=False))) for t, c in zip(tail, batch.columns)]
+        begin = ((key.view(np.uint64) >> value_bits) // np.uint64(per_start) % np.uint64(segments)).astype(np.int64)
+        bits, a, b = fp.view(np.uint64), [], []
+        for d in range(1, reach + 1):
+            i = np.arange(max(0, old - d), len(key) - d)
+            i = i[(key[i] == key[i + d]) & _alike((size[i], size[i + d]), least)]
+            if len(i):
+                i = i[linked(bits[i], bits[i + d], begin[i], radius, segments)]
+                a.append(node[i])
+                b.append(node[i + d])
+        first = np.concatenate(([True], key[1:] != key[:-1]))
+        place = np.arange(len(key)) - np.maximum.accumulate(np.where(first, np.arange(len(key)), 0))
+        place[key == key[0]] += rank
+        new = np.arange(len(key)) >= old
+        yield _pairs(np.concatenate([*a, node[:0]]), np.concatenate([*b, node[:0]]), key[new & (place == reach + 1)])
+        keep = min(reach, len(key))
+        tail = [x[-keep:] for x in now]
+        rank = int(place[-keep]) if key[-keep] == key[-1] else 0
+        if key[-keep] != key[-1]:
+            own = tail[0] == key[-1]
+            tail = [x[own] for x in tail]
+
+
+def crossed_pairs(batches: Iterable[pa.RecordBatch], radius: int, least: float) -> Iterator[pa.RecordBatch]:
+    """batches: group, held, fingerprint, node, label, size, in the order of group and held, those held first. PAIRS: of those held with all others of another label that link."""
+    of, kept = None, None
+    for batch in batches:
+        columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+        group = columns[0]
+        edges_at = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1], [True]))) if len(group) else np.zeros(1, int)
+        for start, end in zip(edges_at[:-1].tolist(), edges_at[1:].tolist()):
+            if group[start] != of:
+                of, kept = group[start], [c[:0] for c in columns[2:]]
+            mine = columns[1][start:end] == 0
+            rows = [c[start:end] for c in columns[2:]]
+            kept = [np.concatenate((k, r[mine])) for k, r in zip(kept, rows)]
+            others = [r[~mine] for r in rows]
+            if not len(others[0]):
+                continue
+            fp, node, label, size = kept
+            a, b, n = [], [], 0
+            for k in range(len(fp)):
+                fit = (others[2] != label[k]) & _alike((others[3], size[k]), least)
+                fit &= np.bitwise_count((others[0] ^ fp[k]).view(np.uint64)) <= radius
+                found = others[1][fit]
+                a.append(np.full(len(found), node[k]))
+                b.append(found)
+                n += len(found)
+                if n > 1 << 18 or k + 1 == len(fp):
+                    yield _pairs(np.concatenate(a), np.concatenate(b), node[:0])
+                    a, b, n = [], [], 0
+
+
+def _texts(docs: DataFrame, id_column: str, text_column: str, *more) -> DataFrame:
+    """has, id, h (whether a row has an id, the id, a hash of the text: together a row's identity), text and more."""
+    id_, text = docs[id_column].cast("long"), F.coalesce(docs[text_column].cast("string"), F.lit(""))
+    return docs.select(id_.isNotNull().alias("has"), F.coalesce(id_, F.lit(0)).alias("id"), F.xxhash64(text).alias("h"), text.alias("text"), *more)
+
+
+IDENTITY = ["has", "id", "h"]
+
+
+def verified(pairs: DataFrame, texts: DataFrame, rep: DataFrame, shingle: int, least: float) -> DataFrame:
+    """The pairs a, b of nodes whose texts' sets of shingles have a Jaccard similarity of `least` or more. texts: of _texts(); rep: node and the IDENTITY of a row with its text."""
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(rep, "node")
+
+    def sets_of(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 256):
+            found = [np.unique(shingle_hashes(t, shingle)).tobytes() for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["node", "hashes"])
+
+    wanted = texts.join(nodes, IDENTITY).select("node", "text")
+    sets = stored(wanted.mapInArrow(sets_of, "node long, hashes binary").dropDuplicates(["node"]))
+    both = pairs.join(sets.select(F.col("node").alias("a"), F.col("hashes").alias("x")), "a").join(sets.select(F.col("node").alias("b"), F.col("hashes").alias("y")), "b").select("a", "b", "x", "y")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 256):
@@ -276,45 +400,84 @@ def verified(pairs: DataFrame, docs: DataFrame, shingle: int, least: float) -> D
     return both.mapInArrow(run, "a long, b long")
 
 
-def similar_documents(docs: DataFrame, width: int = 2, radius: int = 5, segments: int = 8, seeds: int = 12, shingle: int = 5, least: float = 0.8, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """doc_id, component_id: the smallest doc_id that links reach. Documents link if the Jaccard similarity of their sets of `shingle` words is `least` or more; the fingerprints of any seed only lead to the pairs that are held against it.
-
-    Equal sets are one node. Candidates are first the neighbours within a bucket, then all pairs of a bucket that
-    those didn't bring together, so that a large group of near copies doesn't cost its pairs. Ids are distinct;
-    of rows that share one, one set counts.
-    """
-    if radius < 0 or BITS % segments or segments <= radius:
-        raise ValueError("segments must divide 64 and be more than radius")
-    kept = docs.select(docs[id_column].cast("long").alias("doc_id"), docs[text_column].cast("string").alias("text")).where("doc_id is not null")
+def _profiles(texts: DataFrame, shingle: int, seeds: int) -> DataFrame:
+    """IDENTITY, digest (of the set of shingles), size (of the set), fingerprints (by seed)."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from xxhash import xxh3_128_digest
+        from xxhash import xxh3_128_digest, xxh64_intdigest
 
+        memo = Memo(lambda word: xxh64_intdigest(word, SEED))
         for batch in slices(batches, 256):
             digests, sizes, found = [], [], []
-            for text in batch.column(1).to_pylist():
+            for text in batch.column(3).to_pylist():
                 own = np.unique(shingle_hashes(text, shingle))
                 digests.append(xxh3_128_digest(own.tobytes()))
                 sizes.append(len(own))
-                hashes = shingle_hashes(text, width)
-                found += [votes(reseeded(hashes, seed)) for seed in range(seeds)]
+                counts = Counter(text.encode().lower().split())
+                hashes = np.fromiter((memo[w] for w in counts), np.uint64, len(counts))
+                found += weighted_votes(hashes, np.array([n.bit_length() for n in counts.values()], np.int64), seeds)
             values = pa.array(np.array(found, np.uint64).view(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(digests, pa.binary()), pa.array(sizes, pa.int64()), pa.ListArray.from_arrays(np.arange(batch.num_rows + 1, dtype=np.int32) * seeds, values)], names=["doc_id", "digest", "size", "fingerprints"])
-
-    found = stored(kept.mapInArrow(run, "doc_id long, digest binary, size long, fingerprints array<long>"))
-    classes = stored(found.groupBy("digest").agg(F.min("doc_id").alias("node"), F.max("size").alias("size"), F.min_by("fingerprints", "doc_id").alias("fingerprints")))
-    tables, value_bits = segments * len(key_choices(radius, segments)), len(key_choices(radius, segments)[0]) * (BITS // segments)
-
-    def candidates(labelled: DataFrame, reach: int | None) -> DataFrame:
-        by_seed = labelled.select("node", "label", "size", F.posexplode("fingerprints").alias("seed", "fingerprint"))
-        at = F.shiftleft((F.col("seed") * tables).cast("long"), value_bits)
-        rows = by_seed.select(F.explode(F.transform(keys(F.col("fingerprint"), radius, segments), lambda k: k + at)).alias("key"), "fingerprint", "node", "label", "size")
-        ordered = rows.repartition("key").sortWithinPartitions("key", "fingerprint")
-        return stored(ordered.mapInArrow(lambda batches: bucket_pairs(batches, radius, segments, least, reach), "a long, b long").distinct())
-
-    first = stored(verified(candidates(classes.withColumn("label", F.col("node")), 2), kept, shingle, least))
-    groups = stored(components(first)).select(F.col("node").alias("of"), "component")
-    labelled = classes.join(groups, F.col("node") == F.col("of"), "left").select("node", "size", "fingerprints", F.coalesce("component", "node").alias("label"))
-    groups = components(first.unionByName(verified(candidates(labelled, None), kept, shingle, least))).select(F.col("node").alias("of"), "component")
-    named = classes.join(groups, F.col("node") == F.col("of"), "left").select("digest", F.coalesce("component", "node").alias("component_id"))
-    return found.select("doc_id", "digest").join(named, "digest").select("doc_id", "component_id")
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(digests, pa.binary()), pa.array(sizes, pa.int64()), pa.ListArray.from_arrays(np.arange(batch.num_rows + 1, dtype=np.int32) * seeds, values)], names=[*IDENTITY, "digest", "size", "fingerprints"])
+
+    return texts.select(*IDENTITY, "text").mapInArrow(run, "has boolean, id long, h long, digest binary, size long, fingerprints array<long>")
+
+
+def _groups(texts: DataFrame, radius: int, segments: int, seeds: int, shingle: int, least: float, block: int) -> tuple[DataFrame, DataFrame]:
+    """texts: of _texts(). Profiles of all rows; and digest, first: the first IDENTITY (ids before nulls, then the smallest) of the group that a set of shingles belongs to."""
+    found = stored(_profiles(texts, shingle, seeds))
+    first = F.min(F.struct((~F.col("has")).alias("none"), "id", "h")).alias("first")
+    classes = found.groupBy("digest").agg(first, F.max("size").alias("size"), F.max("fingerprints").alias("fingerprints"))
+    classes = stored(classes.withColumn("node", F.monotonically_increasing_id()))
+    rep = classes.select("node", (~F.col("first.none")).alias("has"), F.col("first.id").alias("id"), F.col("first.h").alias("h"))
+    count, value_bits = tables(radius, segments)
+
+    def key_rows(of: DataFrame, *more: str) -> DataFrame:
+        by_seed = of.select("node", "size", *more, F.posexplode("fingerprints").alias("seed", "fingerprint"))
+        at = F.shiftleft((F.col("seed") * count).cast("long"), value_bits)
+        return by_seed.select(F.explode(F.transform(keys(F.col("fingerprint"), radius, segments), lambda k: k + at)).alias("key"), "fingerprint", "node", "size", *more)
+
+    # neighbours within a bucket first
+    dealt = key_rows(classes).repartition("key").sortWithinPartitions("key", "fingerprint")
+    got = stored(dealt.mapInArrow(lambda batches: neighbour_pairs(batches, radius, segments, least, 2), PAIRS))
+    near = stored(verified(got.where("a is not null").select("a", "b").distinct(), texts, rep, shingle, least))
+    large = got.where("key is not null").select("key")
+    if not large.isEmpty():
+        # then, in the buckets that have more pairs, all that these links did not join
+        groups = components(near).withColumnRenamed("node", "of")
+        labelled = classes.join(groups, F.col("node") == F.col("of"), "left").select("node", "size", "fingerprints", F.coalesce("component", "node").alias("label"))
+        rows = stored(key_rows(labelled, "label").join(large, "key", "left_semi"))
+        sizes = rows.groupBy("key", "label").agg(F.count("*").alias("n")).groupBy("key").agg(F.max_by("label", F.struct("n", "label")).alias("main"), F.max("n").alias("n_main"), F.sum("n").alias("n"), F.count("*").alias("labels"))
+        sizes = sizes.where("labels > 1").select("key", "main", F.ceil(F.col("n") / (16 * block)).cast("int").alias("parts"), F.ceil((F.col("n") - F.col("n_main")) / block).cast("int").alias("blocks"))
+        mixed = rows.join(sizes, "key")
+        at, every = F.xxhash64("node", F.lit(1)), lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+        holds = mixed.where("label <> main").select("key", F.lit(0).alias("held"), "fingerprint", "node", "label", "size", F.pmod(at, F.col("blocks")).cast("int").alias("i"), every("parts").alias("j"))
+        meets = mixed.select("key", F.lit(1).alias("held"), "fingerprint", "node", "label", "size", every("blocks").alias("i"), F.pmod(at, F.col("parts")).cast("int").alias("j"))
+        both = holds.unionByName(meets).select(F.xxhash64("key", "i", "j").alias("group"), "held", "fingerprint", "node", "label", "size")
+        dealt = both.repartition("group").sortWithinPartitions("group", "held")
+        more = stored(dealt.mapInArrow(lambda batches: crossed_pairs(batches, radius, least), PAIRS).select("a", "b").distinct())
+        near = near.unionByName(verified(more, texts, rep, shingle, least))
+    groups = components(near).withColumnRenamed("node", "of")
+    named = stored(classes.join(groups, F.col("node") == F.col("of"), "left").select("digest", "first", F.coalesce("component", "node").alias("component")))
+    firsts = named.groupBy("component").agg(F.min("first").alias("first"))
+    return found, named.select("digest", "component").join(firsts, "component").select("digest", "first")
+
+
+def similar_documents(docs: DataFrame, radius: int = 3, segments: int = 8, seeds: int = 6, shingle: int = 5, least: float = 0.8, block: int = 4096, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """doc_id, component_id: the smallest doc_id that links reach. Documents link if the Jaccard similarity of their sets of `shingle` words is `least` or more; the fingerprints of any seed only lead to the pairs that are held against it.
+
+    Equal sets are one node. Candidates are first the neighbours within a bucket, then, in larger buckets, all pairs that
+    those didn't bring together, in blocks of `block` rows, so that a large group of near copies doesn't cost its pairs.
+    """
+    _check(radius, segments)
+    found, groups = _groups(_texts(docs, id_column, text_column), radius, segments, seeds, shingle, least, block)
+    return found.join(groups, "digest").select(F.when(F.col("has"), F.col("id")).alias("doc_id"), F.when(~F.col("first.none"), F.col("first.id")).alias("component_id"))
+
+
+def first_of_each(docs: DataFrame, radius: int = 3, segments: int = 8, seeds: int = 6, shingle: int = 5, least: float = 0.8, block: int = 4096, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """The columns of docs, one row of each group of similar_documents(): the one with the smallest id (a null only where no row has an id); of rows with that id the one whose text has the smallest hash; of rows that have id and text in common, one of them."""
+    _check(radius, segments)
+    texts = _texts(docs, id_column, text_column)
+    _, groups = _groups(texts, radius, segments, seeds, shingle, least, block)
+    firsts = groups.select((~F.col("first.none")).alias("has"), F.col("first.id").alias("id"), F.col("first.h").alias("h")).distinct()
+    rows = _texts(docs, id_column, text_column, F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("doc")).select(*IDENTITY, "doc").dropDuplicates(IDENTITY)
+    return rows.join(firsts, IDENTITY, "left_semi").select("doc.*")
