@@ -20,7 +20,7 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = cotrain.fit(docs, table(spark, sf_dir, "labels"))
-    return cotrain.score(docs, model).select("doc.doc_id", "text_score", "meta_score", "quality_score", "keep")
+    return cotrain.score(docs, model).select("doc.doc_id", "text_score", "meta_score", "quality_score", "toxic_score", "keep")
 
 
 def op3_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
