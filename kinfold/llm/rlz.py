@@ -1,26 +1,29 @@
 """Substring deduplication by relative Lempel-Ziv parsing over dealt reference blocks.
 
-A document is parsed into phrases: the runs of windows (`window` consecutive
-words) that have the same anchor, which is the least hash among the window's
-`gram`-word grams. The anchor depends on the window's words alone, so all
-occurrences of a window have it. Phrases are dealt by their anchors: each shuffle
-partition is a reference block, indexed by sorting, that holds every phrase
-that any other of its anchors could equal. So each document is parsed against
-every block, but each phrase meets only the block that can hold it. A phrase that the
-block has from an earlier place is a factor: it is a duplicate as a whole. Where a
-block has different phrases with one anchor, a repeated passage begins or ends
-inside a phrase; these phrases, the factors' boundaries, are checked window by
-window. Factors that touch merge into spans.
-
-Hashes: phrases and windows are compared by their anchor and a second hash, 128
-bits together.
+Documents are cut into phrases: the runs of windows (`window` consecutive words) that have the same anchor, which
+is the least hash among the window's `gram`-word grams. The anchor depends on the window's words alone, so all
+occurrences of a window have it, and a window can repeat only where a phrase with its anchor is: the block that
+anchors are dealt to is the only one that a phrase must be parsed against.
+
+Phrases are first dealt by their anchors and compared as wholes: one that the block has from an earlier place is a
+duplicate throughout. Where an anchor has several phrases (a repeated passage begins or ends inside them), their words
+are dealt to the block, which keeps them as its reference text, in the order of their places, with an index of its windows.
+Each phrase is parsed greedily against that text: from a place on, the longest match in it is a factor; one that is a
+window or longer is a duplicate span. The next place that is looked up is the first window that reaches beyond the factor's end,
+so the windows across factors' ends are checked too.
+
+An anchor with very many phrases (`crowd` in one slice of the texts, `most` in its block) has no block of its own: its
+phrases' windows are dealt by their own words, folded in each slice first, so no task gets all of them. Either way is exact.
+
+Hashes: phrases are compared by their anchor and a second hash, single windows likewise, 128 bits together; factors are
+compared word by word, by 64-bit hashes of the words.
 
 Defined results: words are runs of bytes other than ASCII white space, case and
 punctuation unchanged. A null text has no words. A window counts as repeated if
 its words start earlier too: in a smaller id, or in the same document further to
-the front. Rows that share an id are one occurrence, and their removals are
-joined. Rows with null ids are left as they are. Texts shorter than a window are
-left as they are.
+the front. Rows that share an id are one document: a window that several of them have at one place is one
+occurrence, and what goes in one of them goes at that place in all. Rows with null ids are left as they are, as are texts shorter
+than a window. An empty table gives an empty one. Further columns take no part, whatever their names.
 """
 
 from __future__ import annotations
@@ -45,7 +48,11 @@ WHITE = np.zeros(256, bool)
 WHITE[[0x20, *range(0x09, 0x0E)]] = True
 BYTES = np.random.default_rng(20).integers(1, 1 << 63, 256, dtype=np.uint64)
 CHUNK = 1 << 20
-KNOWN, CHECK = 1, 2
+#: Crowded anchors that a task remembers.
+HOT = 1 << 18
+KNOWN, CHECK, CROWDED, MARK = 1, 2, 3, 4
+#: Comes before all hashes of a key.
+FIRST = -(1 << 63)
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -197,8 +204,9 @@ def _spread(doc: np.ndarray, start: np.ndarray) -> np.ndarray:
         return _mix(doc.view(np.uint64) * MUL_B + start.astype(np.uint64)).view(np.int64)
 
 
-def parse(batches: Iterable[pa.RecordBatch], window: int, gram: int) -> Iterator[pa.RecordBatch]:
-    """ROW for each phrase: its anchor and hash, n windows from start on; kind KNOWN (and any key) if this slice has it from an earlier place, else CHECK if it repeats itself inside, or 0."""
+def parse(batches: Iterable[pa.RecordBatch], window: int, gram: int, crowd: int) -> Iterator[pa.RecordBatch]:
+    """ROW for each phrase: its anchor and hash, n windows from start on; kind KNOWN (and any key) if this slice has it from an earlier place, CROWDED (and any key) if its anchor has more than `crowd` phrases in a slice, else CHECK if it repeats itself inside, or 0. A crowded anchor gives one more row, of kind MARK."""
+    hot = np.empty(0, np.uint64)
     for batch in text_slices(batches):
         data, offsets = _buffers(batch, 1)
         ids = batch.column(0).to_numpy(zero_copy_only=False)
@@ -208,105 +216,193 @@ def parse(batches: Iterable[pa.RecordBatch], window: int, gram: int) -> Iterator
         first, length, value, repeats = phrases(doc, start, anchor, whole, window - gram + 1)
         doc, start, anchor = ids[doc[first]].astype(np.int64), start[first], anchor[first]
         known = _earlier((anchor, value), doc, start)
-        kind = np.where(known, KNOWN, np.where(repeats, CHECK, 0)).astype(np.int32)
-        key = np.where(known, _spread(doc, start), anchor.view(np.int64))
+        names, counts = np.unique(anchor[~known], return_counts=True)
+        marked = np.setdiff1d(names[counts > crowd], hot)
+        hot = np.union1d(hot if len(hot) < HOT else hot[:0], names[counts > crowd])
+        crowded = ~known & np.isin(anchor, hot)
+        kind = np.where(known, KNOWN, np.where(crowded, CROWDED, np.where(repeats, CHECK, 0))).astype(np.int32)
+        key = np.where(known | crowded, _spread(doc, start), anchor.view(np.int64))
         yield _rows(doc, key, value.view(np.int64), start.astype(np.int32), length.astype(np.int32), kind)
+        if len(marked):
+            zero = np.zeros(len(marked), np.int32)
+            yield _rows(zero.astype(np.int64), marked.view(np.int64), np.full(len(marked), FIRST), zero, zero, zero + MARK)
 
 
 class _Stream:
-    """What is open at the end of a sorted batch: the last key and hash, where they were first, and whether the key has more than one phrase."""
+    """What is open at the end of a sorted batch: the last key and hash, where they were first, what the key's phrases are (0 while it has but one), and that one."""
 
     def __init__(self):
         self.key = self.hash = self.doc = self.start = None
-        self.several, self.pending = False, None
+        self.kind, self.pending = 0, None
 
 
-def look_up(batches: Iterable[pa.RecordBatch], check: bool) -> Iterator[pa.RecordBatch]:
-    """batches: ROW in the order of key, hash, doc_id, start. ROW for what is known to be repeated and, if check, for the phrases whose windows must be checked."""
-    open_ = _Stream()
+def _repeated(open_: _Stream, key: np.ndarray, value: np.ndarray, doc: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows that aren't the first with their key and hash, and rows whose first has another place; goes on from what is open."""
+    new = np.ones(len(key), bool)
+    new[1:] = (key[1:] != key[:-1]) | (value[1:] != value[:-1])
+    new[0] = key[0] != open_.key or value[0] != open_.hash
+    head = np.maximum.accumulate(np.where(new, np.arange(len(key)), -1))
+    inside = head >= 0
+    head_doc, head_start = np.where(inside, doc[head], open_.doc or 0), np.where(inside, start[head], open_.start or 0)
+    open_.key, open_.hash = key[-1], value[-1]
+    open_.doc, open_.start = head_doc[-1], head_start[-1]
+    return ~new, (doc != head_doc) | (start != head_start)
 
-    def out(columns: list[np.ndarray], kind: int) -> pa.RecordBatch:
-        key, value, doc, start, n = columns
-        return _rows(doc, key, value, start, n, np.full(len(key), kind, np.int32))
 
+def look_up(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """batches: ROW in the order of key, hash, doc_id, start. ROW for the phrases that are known to be repeated and for those that must be checked: of kind CHECK if their key has several, of kind CROWDED if it is crowded."""
+    open_ = _Stream()
     for batch in batches:
         columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
-        known = columns[5] == KNOWN
-        if known.any():
-            yield out([c[known] for c in columns[:5]], KNOWN)
-        kind = columns[5][~known]
-        columns = [c[~known] for c in columns[:5]]
-        key, value, doc, start, n = columns
+        through = (columns[5] == KNOWN) | (columns[5] == CROWDED)
+        if through.any():
+            key, value, doc, start, n, kind = [c[through] for c in columns]
+            yield _rows(doc, np.zeros(len(doc), np.int64), value, start, n, kind)
+        key, value, doc, start, n, kind = columns = [c[~through] for c in columns]
         if not len(key):
             continue
-        new_key = np.ones(len(key), bool)
-        new_key[1:] = key[1:] != key[:-1]
-        new = new_key.copy()
-        new[1:] |= value[1:] != value[:-1]
-        new_key[0] = key[0] != open_.key
-        new[0] = new_key[0] or value[0] != open_.hash
-        head = np.maximum.accumulate(np.where(new, np.arange(len(key)), -1))
-        inside = head >= 0
-        head_doc, head_start = np.where(inside, doc[head], open_.doc or 0), np.where(inside, start[head], open_.start or 0)
-        repeated = (doc != head_doc) | (start != head_start)
+        before = open_.key
+        again, repeated = _repeated(open_, key, value, doc, start)
         if repeated.any():
-            yield out([c[repeated] for c in columns], KNOWN)
-        if check:
-            # phrases by key: whether one repeats itself inside, or there are several
-            at = np.flatnonzero(new)
-            lead = [np.concatenate((p, c[at])) for p, c in zip(open_.pending or [c[:0] for c in columns], columns)]
-            kinds = np.concatenate((np.zeros(len(lead[0]) - len(at), np.int32), kind[at]))
-            bounds = np.flatnonzero(np.concatenate(([True], lead[0][1:] != lead[0][:-1]))) if len(lead[0]) else np.empty(0, np.int64)
-            if len(bounds):
-                group = np.cumsum(np.isin(np.arange(len(lead[0])), bounds)) - 1
-                many = (np.bincount(group) > 1) | (np.bincount(group, kinds == CHECK) > 0)
-                if lead[0][0] == open_.key and open_.several:
-                    many[0] = True
-                chosen = many[group]
-                if chosen.any():
-                    yield out([c[chosen] for c in lead], CHECK)
-                last = lead[0] == key[-1]
-                # a repeated row at the batch's start leaves the pending phrase pending
-                open_.several = bool(chosen[-1]) if last.any() else open_.several
-                open_.pending = [c[last & ~chosen] for c in lead]
-        open_.key, open_.hash = key[-1], value[-1]
-        open_.doc, open_.start = head_doc[-1], head_start[-1]
-
-
-def check_windows(batches: Iterable[pa.RecordBatch], window: int, gram: int) -> Iterator[pa.RecordBatch]:
-    """batches: doc_id, text, start and n of phrases to check (arrays). ROW for each of their windows."""
+            yield _rows(doc[repeated], np.zeros(repeated.sum(), np.int64), value[repeated], start[repeated], n[repeated], np.full(repeated.sum(), KNOWN, np.int32))
+        # one row for each phrase that differs, after the one that was left open
+        lead = [np.concatenate((p, c[~again])) for p, c in zip(open_.pending or [c[:0] for c in columns], columns)]
+        if not len(lead[0]):
+            continue  # more of the phrase that was open
+        cut = np.concatenate(([True], lead[0][1:] != lead[0][:-1]))
+        group = np.cumsum(cut) - 1
+        of = np.where((np.bincount(group) > 1) | (np.bincount(group, lead[5] == CHECK) > 0), CHECK, 0)
+        of[np.bincount(group, lead[5] == MARK) > 0] = CROWDED
+        if lead[0][0] == before:
+            of[0] = max(of[0], open_.kind)
+        told, last = of[group], lead[0] == key[-1]
+        out = (told > 0) & (lead[4] > 0)
+        if out.any():
+            yield _rows(lead[2][out], lead[0][out], *[c[out] for c in (lead[1], lead[3], lead[4])], told[out].astype(np.int32))
+        if last.any():
+            open_.kind = int(told[-1])
+            open_.pending = [c[last & (told == 0)] for c in lead]
+
+
+def check_phrases(batches: Iterable[pa.RecordBatch], window: int, gram: int) -> Iterator[pa.RecordBatch]:
+    """batches: doc_id, text, start, n and kind of phrases to check (arrays). CHECKED for each phrase of kind CHECK, with its words, under its anchor; and for each window of the others, under its own hash."""
+
+    def rows(doc, key, value, start, n, kind, words) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in (key, value, doc, start.astype(np.int32), n.astype(np.int32), kind.astype(np.int32))] + [words], names=["key", "hash", "doc_id", "start", "n", "kind", "words"])
+
     for batch in text_slices(batches):
         data, offsets = _buffers(batch, 1)
-        ids = batch.column(0).to_numpy(zero_copy_only=False)
-        doc, start, anchor, whole = windows(data, offsets, window, gram)
-        if not len(doc):
+        ids = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
+        starts, ends, before = word_bounds(data, offsets)
+        words = word_hashes(data, starts, ends)
+        row = np.repeat(np.arange(len(ids)), np.diff(batch.column(2).offsets.to_numpy()))
+        start, n, kind = (batch.column(i).flatten().to_numpy() for i in (2, 3, 4))
+        # rows that share an id may have other texts: what reaches beyond a text is none of its phrases
+        fits = start + n + window - 1 <= np.diff(before)[row]
+        row, start, n, kind = row[fits], start[fits].astype(np.int64), n[fits].astype(np.int64), kind[fits]
+        if not len(row):
+            continue
+        known: dict[int, np.ndarray] = {}
+        anchor = sliding_least(gram_hashes(words, gram, known), window - gram + 1)
+        whole = gram_hashes(words, window, known)
+        at = before[:-1][row] + start
+        some = kind == CHECK
+        if some.any():
+            size = n[some] + window - 1
+            ends_ = np.concatenate(([0], np.cumsum(size)))
+            flat = words[np.repeat(at[some] - ends_[:-1], size) + np.arange(ends_[-1])]
+            binary = pa.Array.from_buffers(pa.binary(), int(some.sum()), [None, pa.py_buffer((ends_ * 8).astype(np.int32)), pa.py_buffer(flat.astype("<u8"))])
+            yield rows(ids[row[some]], anchor[at[some]].view(np.int64), np.zeros(some.sum(), np.int64), start[some], n[some], kind[some], binary)
+        row, start, n, at = row[~some], start[~some], n[~some], at[~some]
+        if len(row):
+            step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            doc, start, at = ids[np.repeat(row, n)], np.repeat(start, n) + step, np.repeat(at, n) + step
+            repeated = _earlier((anchor[at], whole[at]), doc, start)
+            with np.errstate(over="ignore"):
+                key = np.where(repeated, _spread(doc, start), _join(anchor[at], whole[at]).view(np.int64))
+            yield rows(doc, key, whole[at].view(np.int64), start, np.ones(len(at)), repeated * KNOWN, pa.nulls(len(at), pa.binary()))
+
+
+class Block:
+    """A block's reference text, as hashes of words, with an index of its windows."""
+
+    def __init__(self, window: int):
+        self.window, self.text, self.index = window, [], {}
+
+    def factors(self, words: list[int], hashes: list[int], doc: int = 0, start: int | None = None) -> list[tuple[int, int]]:
+        """The phrase's factors of a window or more against the text, and against the phrase's own front: first word, length. What is new of the phrase is indexed; hashes are those of its windows. What the text has from the phrase's own place (doc, start) is the same occurrence."""
+        window, text, index = self.window, self.text, self.index
+        base, found, i = len(text), [], 0
+        start = base if start is None else start
+        text += words
+        text.append(-1)  # no word: matches end here
+        while i < len(hashes):
+            at, of, place = index.setdefault(hashes[i], (base + i, doc, start + i))
+            if (of, place) == (doc, start + i) or text[at : at + window] != words[i : i + window]:
+                i += 1
+                continue
+            length = window
+            while i + length < len(words) and text[at + length] == words[i + length]:
+                length += 1
+            found.append((i, length))
+            i += length - window + 1  # the first window that the factor doesn't hold
+        return found
+
+
+def factorise(batches: Iterable[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
+    """batches: CHECKED in the order of key, hash, doc_id, start. doc_id, start, n (windows) of what is repeated."""
+    open_, block, of = _Stream(), Block(window), None
+
+    def out(doc, start, n) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array(start, pa.int32()), pa.array(n, pa.int32())], names=["doc_id", "start", "n"])
+
+    for batch in batches:
+        key, value, doc, start, n, kind = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(6))
+        known = kind == KNOWN
+        if known.any():
+            yield out(doc[known], start[known], n[known])
+        single = kind == 0
+        if single.any():
+            _, repeated = _repeated(open_, key[single], value[single], doc[single], start[single])
+            yield out(doc[single][repeated], start[single][repeated], n[single][repeated])
+        phrases_ = np.flatnonzero(kind == CHECK)
+        if not len(phrases_):
             continue
-        counts = np.bincount(doc, minlength=len(ids))
-        base = np.cumsum(counts) - counts
-        phrase_doc = np.repeat(np.arange(len(ids)), np.diff(batch.column(2).offsets.to_numpy()))
-        first = base[phrase_doc] + batch.column(2).flatten().to_numpy()
-        n = batch.column(3).flatten().to_numpy()
-        at = np.repeat(first - (np.cumsum(n) - n), n) + np.arange(n.sum())
-        doc, start, anchor, whole = ids[doc[at]].astype(np.int64), start[at], anchor[at], whole[at]
-        known = _earlier((anchor, whole), doc, start)
-        with np.errstate(over="ignore"):
-            key = np.where(known, _spread(doc, start), _join(anchor, whole).view(np.int64))
-        yield _rows(doc, key, whole.view(np.int64), start.astype(np.int32), np.ones(len(at), np.int32), known.astype(np.int32) * KNOWN)
+        column = batch.column(6).take(pa.array(phrases_))
+        flat = np.frombuffer(b"".join(column.to_pylist()), "<u8")
+        sizes = n[phrases_] + window - 1
+        hashes, words = gram_hashes(flat, window, {}).tolist(), flat.tolist()
+        docs, starts, ns, at = [], [], [], 0
+        for name, d, s, size in zip(key[phrases_].tolist(), doc[phrases_].tolist(), start[phrases_].tolist(), sizes.tolist()):
+            if name != of:
+                block, of = Block(window), name
+            for i, length in block.factors(words[at : at + size], hashes[at : at + size - window + 1], d, s):
+                docs.append(d)
+                starts.append(s + i)
+                ns.append(length - window + 1)
+            at += size
+        yield out(docs, starts, ns)
+
+
+CHECKED = f"{ROW}, words binary"
 
 
 def _sorted(rows: DataFrame) -> DataFrame:
     return rows.repartition("key").sortWithinPartitions("key", "hash", "doc_id", "start")
 
 
-def repeated_phrases(here: DataFrame, window: int, gram: int) -> tuple[DataFrame, DataFrame]:
-    """here: doc_id (without nulls), text and further columns. Two tables of doc_id, start, n (windows): phrases and single windows that start earlier too."""
-    parsed = here.select("doc_id", "text").mapInArrow(lambda b: parse(b, window, gram), ROW)
-    looked = stored(_sorted(parsed).mapInArrow(lambda b: look_up(b, True), ROW).select("doc_id", "start", "n", "kind"))
-    to_check = looked.where(F.col("kind") == CHECK).groupBy("doc_id").agg(F.collect_list(F.struct("start", "n")).alias("p")).select("doc_id", F.col("p.start").alias("starts"), F.col("p.n").alias("ns"))
+def repeated_phrases(here: DataFrame, window: int, gram: int, crowd: int, most: int) -> tuple[DataFrame, DataFrame]:
+    """here: doc_id (without nulls), text and further columns. Two tables of doc_id, start, n (windows): phrases that start earlier too, and factors."""
+    parsed = here.select("doc_id", "text").mapInArrow(lambda b: parse(b, window, gram, crowd), ROW)
+    looked = stored(_sorted(parsed).mapInArrow(look_up, ROW).select("key", "doc_id", "start", "n", "kind"))
+    unsure = looked.where(F.col("kind") != KNOWN)
+    large = unsure.where(F.col("kind") == CHECK).groupBy("key").agg(F.count("*").alias("of")).where(F.col("of") > most).select("key", F.lit(CROWDED).alias("more"))
+    unsure = unsure.join(large, "key", "left").select("doc_id", F.struct("start", "n", F.coalesce("more", "kind").alias("kind")).alias("p"))
+    to_check = unsure.groupBy("doc_id").agg(F.collect_set("p").alias("p")).select("doc_id", *[F.col(f"p.{c}").alias(f"{c}s") for c in ("start", "n", "kind")])
     # with all columns, so that this shuffle of the texts is the one that the removal reads again
-    texts = here.join(to_check, "doc_id").select("doc_id", "text", "starts", "ns", *here.columns[2:])
-    single = _sorted(texts.mapInArrow(lambda b: check_windows(b, window, gram), ROW)).mapInArrow(lambda b: look_up(b, False), ROW)
-    return looked.where(F.col("kind") == KNOWN).select("doc_id", "start", "n"), single.select("doc_id", "start", "n")
+    texts = here.join(to_check, "doc_id").select("doc_id", "text", "starts", "ns", "kinds", *here.columns[2:])
+    factors = _sorted(texts.mapInArrow(lambda b: check_phrases(b, window, gram), CHECKED)).mapInArrow(lambda b: factorise(b, window), "doc_id long, start int, n int")
+    return looked.where(F.col("kind") == KNOWN).select("doc_id", "start", "n"), factors
 
 
 def _covered(n_words: int, starts, ns, window: int) -> np.ndarray:
@@ -325,7 +421,7 @@ def _plain(docs: DataFrame, column: str, name: str, kind: str):
     return docs[column] if has else docs[column].cast(kind).alias(name)
 
 
-def deduplicate(docs: DataFrame, window: int = 20, gram: int = 8, id_column: str = "doc_id", text_column: str = "text", carry: bool = False) -> DataFrame:
+def deduplicate(docs: DataFrame, window: int = 20, gram: int = 8, crowd: int = 16, most: int = 4096, id_column: str = "doc_id", text_column: str = "text", carry: bool = False) -> DataFrame:
     """doc_id, n_words, n_removed, kept (the words that stay, joined by a space; where none goes, the text itself, null included), spans (array of start, end in words); with carry, also row, a struct of docs' other columns."""
     if not 0 < gram < window or window - gram + 1 > window:
         raise ValueError("gram must be less than window")
@@ -334,8 +430,8 @@ def deduplicate(docs: DataFrame, window: int = 20, gram: int = 8, id_column: str
     more = [F.struct(*others).alias("row")] if others else []
     kept = docs.select(_plain(docs, id_column, "doc_id", "bigint"), _plain(docs, text_column, "text", "string"), *more)
     here = kept.where("doc_id is not null")
-    phrase, single = repeated_phrases(here, window, gram)
-    spans = phrase.unionByName(single).groupBy("doc_id").agg(F.collect_list(F.struct("start", "n")).alias("p")).select("doc_id", F.col("p.start").alias("starts"), F.col("p.n").alias("ns"))
+    phrase, factors = repeated_phrases(here, window, gram, crowd, most)
+    spans = phrase.unionByName(factors).groupBy("doc_id").agg(F.collect_set(F.struct("start", "n")).alias("p")).select("doc_id", F.col("p.start").alias("starts"), F.col("p.n").alias("ns"))
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches):
