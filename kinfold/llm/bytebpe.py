@@ -7,8 +7,8 @@ the pre-token pattern is encoded by itself, and ids are decoded by the inverse o
 the mapping.
 
 Defined results: a null or empty text has no ids and decodes to nothing. Strings
-that look like special tokens are ordinary text. Rows that repeat give rows that
-repeat.
+that look like special tokens are ordinary text. Every row gives a row: ids may repeat or be null, and further columns,
+whatever their names, take no part. An empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ import base64
 import hashlib
 import struct
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -74,19 +75,24 @@ class ByteBPE:
         import sentencepiece
 
         proto, self.rank_of = model_proto(ranks)
-        self.ranks = ranks
         self.tokens = {rank: token for token, rank in ranks.items()}
         self.model = sentencepiece.SentencePieceProcessor(model_proto=proto)
         self.find = regex.compile(pattern).findall
         self.table = dict(enumerate(byte_characters()))
+        # a pre-token that is in the vocabulary is its own id; this holds the entries (of usual vocabularies none) that the merges don't reach
+        entries = list(ranks)
+        spelt = self.model.encode([self._characters(token) for token in entries])
+        self.unreached = {token: ranks[token] for token, ids in zip(entries, spelt) if [self.rank_of[i] for i in ids] != [ranks[token]]}
+
+    def _characters(self, raw: bytes) -> str:
+        return raw.decode("latin-1").translate(self.table)
 
     def encode_piece(self, piece: str) -> list[int]:
-        """The ids of one pre-token; one that is in the vocabulary is its own id."""
-        raw = piece.encode("utf-8", "surrogatepass")
-        if (whole := self.ranks.get(raw)) is not None:
-            return [whole]
-        rank_of = self.rank_of
-        return [rank_of[i] for i in self.model.encode(raw.decode("latin-1").translate(self.table))]
+        """The ids of one pre-token."""
+        raw, rank_of = piece.encode("utf-8", "surrogatepass"), self.rank_of
+        if raw in self.unreached:
+            return [self.unreached[raw]]
+        return [rank_of[i] for i in self.model.encode(self._characters(raw))]
 
     def encode(self, text: str) -> list[int]:
         return [i for piece in self.find(text) for i in self.encode_piece(piece)]
@@ -96,7 +102,9 @@ class ByteBPE:
         return b"".join([tokens[i] for i in ids])
 
 
+@lru_cache(maxsize=1)
 def _worker(ranks_path: str, pattern: str) -> ByteBPE:
+    """One for each Python worker, for its tasks one after another."""
     return ByteBPE(read_ranks(ranks_path), pattern)
 
 

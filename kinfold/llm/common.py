@@ -19,10 +19,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir; one of our own where it is unset."""
-    at = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder that driver and executors share: spark.checkpoint.dir. Where it is unset, one of our own, but only under a local master: a cluster's executors would not see it."""
+    at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not at:
-        at = spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="kinfold-")
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        at = tempfile.mkdtemp(prefix="kinfold-")
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(at)
     return at
@@ -35,10 +38,12 @@ def settled(df: DataFrame) -> DataFrame:
 
 
 def stored(df: DataFrame) -> DataFrame:
-    """Like settled(), as a compressed columnar table in the shared folder; later reads take single columns."""
+    """Like settled(), as a compressed columnar table in the shared folder; later reads take single columns. It goes when the driver ends."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/kinfold-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(at)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -63,14 +68,21 @@ def text_slices(batches: Iterable[pa.RecordBatch], column: str = "text", max_byt
 
 
 class Memo(dict):
-    """A function's results by argument; emptied at a bound, so that memory stays level."""
+    """A function's results by argument (a string or bytes); emptied at a bound of entries or of their arguments' length, so that memory stays level. Long arguments are not kept."""
+
+    LONG, HELD = 256, 1 << 24
 
     def __init__(self, function, bound: int = 400_000):
         super().__init__()
-        self.function, self.bound = function, bound
+        self.function, self.bound, self.held = function, bound, 0
 
     def __missing__(self, key):
-        if len(self) >= self.bound:
+        value, size = self.function(key), len(key)
+        if size > self.LONG:
+            return value
+        if len(self) >= self.bound or self.held > self.HELD:
             self.clear()
-        value = self[key] = self.function(key)
+            self.held = 0
+        self.held += size
+        self[key] = value
         return value

@@ -9,12 +9,14 @@ Defined results: a null or empty text has no words and no tokens. Words are runs
 of characters that str.split() doesn't take for white space, and are spelt with the
 mark before them; the mark alone may be a piece, and counts as one. A word that the
 vocabulary can't spell counts as one unknown token. Words of any length are read
-whole. Rows that repeat give rows that repeat.
+whole. Every row gives a row: ids may repeat or be null, and further columns, whatever their names, take no part.
+An empty table gives an empty one.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -106,12 +108,18 @@ def piece_vocabulary(model_path: str) -> tuple[list[str], list[str]]:
     return [p[1:] for p in pieces if p[0] == mark], pieces
 
 
+@lru_cache(maxsize=1)
+def automaton_of(model_path: str) -> LongestMatch:
+    """One for each Python worker, for its tasks one after another."""
+    return LongestMatch(*piece_vocabulary(model_path))
+
+
 def count_tokens(docs: DataFrame, model_path: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """id, n_words, n_tokens (unknown words count one each), n_unknown."""
     kept = docs.select(docs[id_column].alias(id_column), docs[text_column].cast("string").alias("text"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton = LongestMatch(*piece_vocabulary(model_path))
+        automaton = automaton_of(model_path)
         memo = Memo(automaton.count)
         for batch in slices(batches):
             words, tokens, unknown = [], [], []

@@ -13,8 +13,9 @@ of the residual lengths. Only what that bound leaves is scored, in whole integer
 Defined results: vectors that are null, empty or hold a null or a component that
 isn't finite take no part, nor do null ids; vectors of another length than the
 query's aren't its candidates. Ties go to the smaller id. A query has fewer than
-k rows if it has fewer candidates. Repeated rows: of rows that share an id, the
-largest vector counts. Scores must fit 64 bits.
+k rows if it has fewer candidates, and none without any. Rows that share an id each count, as
+queries and as candidates, but not as candidates of one another. Products of lengths beyond 64
+bits raise an error. Further columns, whatever their names, take no part.
 """
 
 from __future__ import annotations
@@ -35,35 +36,38 @@ TILE = 1024
 
 
 def quantised(vectors: DataFrame, scale: float, id_column: str, vector_column: str) -> DataFrame:
-    """id, v (array of long), norm: the vectors that take part."""
+    """row (a number of its own, once it is stored), id, v (array of long), norm: the vectors that take part."""
     x = vectors[vector_column]
     kept = vectors.where(vectors[id_column].isNotNull() & (F.size(x) > 0)).select(vectors[id_column].cast("long").alias("id"), F.transform(x, lambda e: e.cast("double")).alias("x"))
     finite = F.forall("x", lambda e: e.isNotNull() & ~F.isnan(e) & (F.abs(e) < float("inf")))
     whole = kept.where(finite).select("id", F.transform("x", lambda e: F.floor(e * F.lit(float(scale)))).alias("v"))
-    return whole.groupBy("id").agg(F.max("v").alias("v")).select("id", "v", F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, e: s + e.cast("double") * e.cast("double"))).alias("norm"))
+    return whole.select(F.monotonically_increasing_id().alias("row"), "id", "v", F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, e: s + e.cast("double") * e.cast("double"))).alias("norm"))
 
 
-def rotations(vectors: DataFrame) -> dict[int, np.ndarray]:
-    """By length of the vectors: the eigenvectors of their summed outer products, by descending eigenvalue. The driver gets one row a length."""
+def rotations(vectors: DataFrame, lengths: list[int]) -> dict[int, np.ndarray]:
+    """By length of the vectors, of those asked for: the eigenvectors of their summed outer products, by descending eigenvalue. The driver gets length * length numbers each."""
 
     def partial(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             column = batch.column(0)
-            lengths = np.diff(column.offsets.to_numpy())
+            sizes = np.diff(column.offsets.to_numpy())
             flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-            ends = np.concatenate(([0], np.cumsum(lengths)))
-            for d in np.unique(lengths).tolist():
-                rows = flat[(ends[:-1][lengths == d][:, None] + np.arange(d)).ravel()].reshape(-1, d)
+            ends = np.concatenate(([0], np.cumsum(sizes)))
+            for d in np.unique(sizes).tolist():
+                rows = flat[(ends[:-1][sizes == d][:, None] + np.arange(d)).ravel()].reshape(-1, d)
                 sums[d] = sums.get(d, 0) + rows.T @ rows
         for d, s in sums.items():
             yield pa.RecordBatch.from_arrays([pa.array(np.full(d * d, d, np.int32)), pa.array(np.arange(d * d, dtype=np.int64)), pa.array(s.ravel())], names=["d", "cell", "s"])
 
-    cells = vectors.select("v").mapInArrow(partial, "d int, cell long, s double").groupBy("d", "cell").agg(F.sum("s").alias("s"))
+    some = vectors.where(F.size("v").isin(lengths)).select("v")
+    got = some.mapInArrow(partial, "d int, cell long, s double").groupBy("d", "cell").agg(F.sum("s").alias("s")).toArrow()
+    of, cell, value = (got[c].to_numpy() for c in ("d", "cell", "s"))
     out = {}
-    for d, values in ((r.d, np.array([c.s for c in sorted(r.cells, key=lambda c: c.cell)])) for r in cells.groupBy("d").agg(F.collect_list(F.struct("cell", "s")).alias("cells")).collect()):
-        _, vectors_ = np.linalg.eigh(values.reshape(d, d))
-        out[d] = vectors_[:, ::-1]
+    for d in np.unique(of).tolist():
+        moments = np.empty(d * d)
+        moments[cell[of == d]] = value[of == d]
+        out[d] = np.linalg.eigh(moments.reshape(d, d))[1][:, ::-1]
     return out
 
 
@@ -80,7 +84,10 @@ def search_block(q_ids: np.ndarray, q: np.ndarray, floor: np.ndarray, c_ids: np.
     cr, qr = c @ rotation, q @ rotation
     c_rest = np.sqrt(np.maximum(0, (cr[:, head:] ** 2).sum(1)))
     q_rest = np.sqrt(np.maximum(0, (qr[:, head:] ** 2).sum(1)))
-    small = float(qn.max(initial=0) * cn.max(initial=0)) < EXACT / 4
+    most = float(qn.max(initial=0) * cn.max(initial=0))
+    if most >= 2.0**63:
+        raise ValueError("products of these vectors can be beyond 64 bits; take a smaller scale")
+    small = most < EXACT / 4
     best = [(np.empty(0, np.int64), np.empty(0, np.int64)) for _ in q_ids]
     limit = floor.copy()
     for at in range(0, len(c_ids), TILE):
@@ -110,60 +117,60 @@ def _block_search(rotation: dict[int, np.ndarray], k: int, head_share: float):
 
         rows = []
         if len(queries) and len(candidates):
-            q = queries.drop_duplicates("id")
-            lengths = q.v.map(len)
-            of = candidates.c_v.map(len)
+            lengths, of = queries.v.map(len), candidates.c_v.map(len)
             for d in sorted(set(lengths) & set(of)):
-                qs, cs = q[lengths == d], candidates[of == d]
+                qs, cs = queries[lengths == d], candidates[of == d]
                 found = search_block(qs.id.to_numpy(), np.stack(qs.v.to_numpy()).astype(np.int64), qs.floor.to_numpy(float, na_value=-np.inf), cs.c_id.to_numpy(), np.stack(cs.c_v.to_numpy()).astype(np.int64), rotation[d], k, max(1, round(d * head_share)))
-                for query, (scores, ids) in zip(qs.id.to_numpy(), found):
-                    rows.append(pd.DataFrame({"query_id": query, "vec_id": ids, "score": scores}))
-        return pd.concat(rows) if rows else pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype("int64")
+                for row, query, (scores, ids) in zip(qs.row.to_numpy(), qs.id.to_numpy(), found):
+                    rows.append(pd.DataFrame({"row": row, "query_id": query, "vec_id": ids, "score": scores}))
+        return pd.concat(rows) if rows else pd.DataFrame({"row": [], "query_id": [], "vec_id": [], "score": []}).astype("int64")
 
     return run
 
 
-def top_k(vectors: DataFrame, is_query: Column, k: int = 10, scale: float = 1024.0, bands: int = 16, block: int = 8192, query_block: int = 1024, head_share: float = 0.25, id_column: str = "vec_id", vector_column: str = "embedding") -> DataFrame:
+def top_k(vectors: DataFrame, is_query: Column, k: int = 10, scale: float = 1024.0, bands: int = 16, block: int = 8192, query_block: int = 4096, head_share: float = 0.25, id_column: str = "vec_id", vector_column: str = "embedding") -> DataFrame:
     """query_id, rank (from 1), vec_id, score. is_query: a condition on the column `id`.
 
-    bands bounds what the driver learns of the lengths; block and query_block bound the vectors that a task holds.
+    bands bounds what the driver learns of the lengths; block and query_block bound the vectors that a task holds. The driver also
+    gets, for each band, the parts of the queries that still reach it: bands * queries / query_block numbers.
     """
     rows = stored(quantised(vectors, scale, id_column, vector_column))
     edges = sorted(set(rows.approxQuantile("norm", [i / bands for i in range(1, bands)], 0.01)), reverse=True)
     band = F.coalesce(*[F.when(F.col("norm") >= e, i) for i, e in enumerate(edges)], F.lit(len(edges)))
     dealt = rows.withColumn("band", band)
     sizes = {r.band: (r.n, r.longest) for r in dealt.groupBy("band").agg(F.count("*").alias("n"), F.max("norm").alias("longest")).collect()}
-    n_queries = rows.where(is_query).count()
-    rotation = rotations(rows)
+    by_length = {r.d: r.n for r in rows.where(is_query).groupBy(F.size("v").alias("d")).agg(F.count("*").alias("n")).collect()}
+    if not by_length:
+        return rows.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     subs = {b: -(-n // block) for b, (n, _) in sizes.items()}
-    parts = max(1, -(-n_queries // query_block))
-    search = _block_search(rotation, k, head_share)
+    parts = -(-sum(by_length.values()) // query_block)
+    search = _block_search(rotations(rows, list(by_length)), k, head_share)
 
-    def of_band(values: dict[int, float], kind: str) -> Column:
-        return F.coalesce(*[F.when(F.col("band") == b, F.lit(v).cast(kind)) for b, v in values.items()], F.lit(0).cast(kind))
+    def of_band(column: str, values: dict[int, object], kind: str) -> Column:
+        return F.coalesce(*[F.when(F.col(column) == b, F.lit(v).cast(kind)) for b, v in values.items()], F.lit(None).cast(kind))
 
     def meet(queries: DataFrame, which: list[int]) -> DataFrame:
-        """The k best of each query (id, v, norm, floor) in each block of these bands that can still hold one."""
+        """The k best of each query (row, id, v, norm, floor) in each block of these bands that can still hold one. Candidates go only to the parts of the queries that reach their band."""
         reach = [F.when(F.col("floor").isNull() | (F.col("norm") * F.lit(sizes[b][1] * (1 + 1e-9)) + 1e-6 >= F.col("floor")), F.lit(b)) for b in which]
-        q = queries.select("id", "v", "floor", F.pmod(F.xxhash64("id"), F.lit(parts)).alias("part"), F.explode(F.filter(F.array(*reach), lambda b: b.isNotNull())).alias("band"))
-        q = q.select("id", "v", "floor", "part", "band", F.explode(F.sequence(F.lit(0), of_band(subs, "int") - 1)).alias("sub"))
-        c = dealt.where(F.col("band").isin(which)).select(F.col("id").alias("c_id"), F.col("v").alias("c_v"), F.col("band").alias("c_band"), F.pmod(F.xxhash64("id"), of_band(subs, "int")).cast("int").alias("c_sub"), F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("c_part"))
-        return q.withColumn("part", F.col("part").cast("int")).groupBy("band", "sub", "part").cogroup(c.groupBy("c_band", "c_sub", "c_part")).applyInPandas(search, "query_id long, vec_id long, score long")
+        q = settled(queries.select("row", "id", "v", "floor", F.pmod(F.xxhash64("row"), F.lit(parts)).cast("int").alias("part"), F.explode(F.filter(F.array(*reach), lambda b: b.isNotNull())).alias("band")))
+        live = {r.band: sorted(r.parts) for r in q.groupBy("band").agg(F.collect_set("part").alias("parts")).collect()}
+        if not live:
+            return q.sparkSession.createDataFrame([], "row long, query_id long, vec_id long, score long")
+        q = q.select("row", "id", "v", "floor", "part", "band", F.explode(F.sequence(F.lit(0), of_band("band", subs, "int") - 1)).alias("sub"))
+        c = dealt.where(F.col("band").isin(list(live))).select(F.col("id").alias("c_id"), F.col("v").alias("c_v"), F.col("band").alias("c_band"), F.pmod(F.xxhash64("row"), of_band("band", subs, "int")).cast("int").alias("c_sub"))
+        c = c.withColumn("c_part", F.explode(of_band("c_band", live, "array<int>")))
+        return q.groupBy("band", "sub", "part").cogroup(c.groupBy("c_band", "c_sub", "c_part")).applyInPandas(search, "row long, query_id long, vec_id long, score long")
 
-    ranked = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    ranked = Window.partitionBy("row").orderBy(F.desc("score"), "vec_id")
 
     def best(found: DataFrame) -> DataFrame:
         return found.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= k)
 
-    if not sizes:
-        return rows.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     queries = rows.where(is_query)
     first, rest = min(sizes), sorted(set(sizes) - {min(sizes)})
     found = settled(best(meet(queries.withColumn("floor", F.lit(None).cast("double")), [first])).drop("rank"))
     if rest:
-        floors = found.groupBy("query_id").agg(F.count("*").alias("n"), F.min("score").cast("double").alias("low")).where(F.col("n") >= k)
-        again = queries.join(floors, F.col("id") == F.col("query_id"), "left").select("id", "v", "norm", F.col("low").alias("floor"))
-        found = best(found.unionByName(meet(again, rest)).dropDuplicates(["query_id", "vec_id"]))
-    else:
-        found = best(found)
-    return found.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+        floors = found.groupBy(F.col("row").alias("of")).agg(F.count("*").alias("n"), F.min("score").cast("double").alias("low")).where(F.col("n") >= k)
+        again = queries.join(floors, F.col("row") == F.col("of"), "left").select("row", "id", "v", "norm", F.col("low").alias("floor"))
+        found = found.unionByName(meet(again, rest))
+    return best(found).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

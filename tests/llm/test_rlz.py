@@ -45,8 +45,8 @@ def corpus(rng, n=60):
     return rows
 
 
-@pytest.mark.parametrize("seed,window,gram", [(1, 20, 8), (2, 20, 8), (3, 6, 3), (4, 5, 1)])
-def test_deduplicate(spark, seed, window, gram):
+@pytest.mark.parametrize("seed,window,gram,crowd,most", [(1, 20, 8, 16, 4096), (2, 20, 8, 1, 4096), (3, 6, 3, 16, 3), (4, 5, 1, 3, 4096), (5, 20, 8, 10**9, 10**9)])
+def test_deduplicate(spark, seed, window, gram, crowd, most):
     rng = random.Random(seed)
     texts = corpus(rng)
     texts += [None, "", " ", "a b", texts[3], texts[3], texts[5] + " " + texts[5], "same " * 400]
@@ -55,7 +55,7 @@ def test_deduplicate(spark, seed, window, gram):
     docs = spark.createDataFrame([(i, t, 1, "k") for i, t in rows], "doc_id long, text string, start int, kept string").repartition(5)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7" if seed % 2 else "10000")
     try:
-        found = rlz.deduplicate(docs, window, gram)
+        found = rlz.deduplicate(docs, window, gram, crowd, most)
         got = {r.doc_id: tuple(r)[1:] for r in rlz.digests(found).collect()}
         assert got == brute(rows, window)
         for r in found.collect():
@@ -64,6 +64,33 @@ def test_deduplicate(spark, seed, window, gram):
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
 
 
+def test_factors_are_greedy_and_checked_at_their_ends():
+    block = rlz.Block(4)
+    parsed = lambda text: block.factors(text, [hash(tuple(text[i : i + 4])) for i in range(len(text) - 3)])
+    assert parsed([1, 2, 3, 4, 5, 6, 7]) == []
+    assert parsed([9, 2, 3, 4, 5, 6, 8, 8]) == [(1, 5)]  # the longest match, from its first word
+    assert parsed([3, 4, 5, 6, 8, 8, 1, 2, 3, 4, 5]) == [(0, 4), (1, 5), (6, 5)]  # a window across a factor's end is in the text too
+    assert parsed([0] * 9) == [(1, 8)]  # the phrase's own front
+
+
+def test_common_passage_with_other_words_around(spark):
+    rng = random.Random(11)
+    words = [f"w{i}" for i in range(3000)]
+    passage = rng.choices(words, k=40)
+    rows = [(i, " ".join([*rng.choices(words, k=25), *passage[rng.randint(0, 9) :], *rng.choices(words, k=25)])) for i in range(150)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    want = brute(rows, 20)
+    for crowd, most in ((16, 4096), (2, 4096), (10**6, 20), (10**6, 10**6)):
+        assert {r.doc_id: tuple(r)[1:] for r in rlz.digests(rlz.deduplicate(docs, crowd=crowd, most=most)).collect()} == want
+
+
+def test_one_id_on_many_rows(spark):
+    passage = " ".join(f"p{i}" for i in range(40))
+    rows = [(1, f"{passage} a{i} {passage}") for i in range(60)] + [(2, passage)]
+    got = rlz.deduplicate(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {(r.doc_id, r.n_removed) for r in got.collect()} == {(1, 40), (2, 40)} and got.count() == 61
+
+
 def test_odd_tables(spark):
     text = " ".join(map(str, range(60)))
     docs = spark.createDataFrame([(7, text), (7, text), (None, text), (9, text)], "doc_id long, text string")

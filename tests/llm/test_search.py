@@ -75,14 +75,79 @@ def test_simhash_near_duplicates(spark):
     assert simhash.near_duplicates(docs.limit(0)).count() == 0
 
 
-def test_more_seeds_link_more(spark):
-    rng = random.Random(12)
-    texts = near_texts(rng)
-    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    got = {r.doc_id: r.component_id for r in simhash.near_duplicates(docs, width=2, seeds=3).collect()}
-    fps = [[simhash.votes(simhash.reseeded(simhash.shingle_hashes(t, 2), s)) for s in range(3)] for t in texts]
-    linked = [(i, j) for i in range(len(texts)) for j in range(i) if any((a ^ b).bit_count() <= 3 for a, b in zip(fps[i], fps[j]))]
-    assert [got[i] for i in range(len(texts))] == union_find(len(texts), linked)
+def test_simhash_repeated_rows_and_null_ids(spark):
+    rows = [(5, "one two three four"), (5, "one two three four"), (5, "something else entirely"), (None, "one two three four"), (3, "ONE two three four"), (None, "only here without id"), (None, None), (9, "")]
+    docs = spark.createDataFrame([(i, t, 1) for i, t in rows], "doc_id long, text string, node int")
+    got = sorted((r.doc_id or 0, r.fingerprint % (1 << 64), r.component_id or 0) for r in simhash.near_duplicates(docs).collect())
+    f = lambda t: brute_fingerprint(t, 3)
+    a, b, c = f(rows[0][1]), f(rows[2][1]), f(rows[5][1])
+    assert got == sorted([(5, a, 3), (5, a, 3), (5, b, 5), (0, a, 3), (3, a, 3), (0, c, 0), (0, 0, 9), (9, 0, 9)])
+
+
+@pytest.mark.parametrize("most", [60, 1024])
+def test_large_buckets_lose_no_link(spark, most):
+    """Fingerprints that all share most of their bits: buckets of any size are cut into smaller ones."""
+    rng = random.Random(most)
+    base, fps = rng.getrandbits(64), set()
+    for _ in range(260):
+        x = base
+        for bit in rng.sample(range(24), rng.randint(0, 9)):
+            x ^= 1 << (2 * bit + 9)
+        fps.add(x)
+    fps = sorted(fps)
+    nodes = spark.createDataFrame([(f - (f >> 63 << 64),) for f in fps], "fingerprint long")
+    found = [(r.a % (1 << 64), r.b % (1 << 64)) for r in simhash.links(nodes, 3, 8, most).collect()]
+    assert all((a ^ b).bit_count() <= 3 for a, b in found)
+    place = {f: i for i, f in enumerate(fps)}
+    want = union_find(len(fps), [(i, j) for i in range(len(fps)) for j in range(i) if (fps[i] ^ fps[j]).bit_count() <= 3])
+    assert union_find(len(fps), [(place[a], place[b]) for a, b in found]) == want
+
+
+def shingle_sets(texts, width=5):
+    out = []
+    for t in texts:
+        words = (t or "").lower().split()
+        out.append({" ".join(words[i : i + width]) for i in range(max(1, len(words) - width + 1))} if words else set())
+    return out
+
+
+def similar(a, b, least=0.8):
+    return len(a & b) >= least * len(a | b)
+
+
+@pytest.mark.parametrize("block", [2, 4096])
+def test_similar_documents_equal_brute_force(spark, block):
+    """A group in which everything lies in the same buckets, and its neighbours by fingerprint don't join it all."""
+    rng = random.Random(21)
+    words = [f"w{i}" for i in range(60)]
+    texts = []
+    for _ in range(12):
+        base = rng.choices(words, k=90)
+        for edits in (0, 1, 2, 3, 4, 5, 8):
+            copy = list(base)
+            for at in rng.sample(range(5, 85), edits):
+                copy[at] = rng.choice(words)
+            texts.append(" ".join(copy))
+    base = [f"v{i}" for i in range(80)]
+    for i in range(40):  # the same words in other orders: equal fingerprints, other shingles
+        order = list(base)
+        rng.shuffle(order)
+        texts += [" ".join(order), " ".join([*order[:40], f"x{i}", *order[40:]])]
+    texts += [None, "", " ", "one", "One", "one two"]
+    docs = spark.createDataFrame([(7 * i, t, 3, "z") for i, t in enumerate(texts)], "doc_id long, text string, node int, component_id string").repartition(3)
+    got = {r.doc_id: r.component_id for r in simhash.similar_documents(docs, seeds=8, block=block).collect()}
+    sets = shingle_sets(texts)
+    want = union_find(len(texts), [(i, j) for i in range(len(texts)) for j in range(i) if similar(sets[i], sets[j])])
+    assert got == {7 * i: 7 * w for i, w in enumerate(want)}
+    assert simhash.similar_documents(docs.limit(0)).count() == 0
+
+
+def test_first_of_each_goes_by_row(spark):
+    rows = [(5, "a b c d e f", "x"), (5, "something else", "y"), (1, "a b c d e f", "z"), (1, "a b c d e f", "z2"), (None, "a b c d e f", "n"), (None, "alone without id", "m"), (None, "alone without id", "m"), (8, None, "p"), (7, "", "q")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, doc string")
+    left = [tuple(r) for r in simhash.first_of_each(docs).collect()]
+    assert sorted((i or 0, t) for i, t, _ in left) == [(0, "alone without id"), (1, "a b c d e f"), (5, "something else"), (7, "")]
+    assert simhash.first_of_each(docs.limit(0)).columns == docs.columns and simhash.first_of_each(docs.limit(0)).count() == 0
 
 
 @pytest.mark.parametrize("segments", [4, 8, 16])
@@ -95,8 +160,9 @@ def test_pigeonring_loses_no_link(spark, segments):
             x ^= 1 << rng.randrange(64)
         fps.append(x)
     fps = sorted(set(fps))
-    nodes = spark.createDataFrame([(f - (f >> 63 << 64), i) for i, f in enumerate(fps)], "fingerprint long, node long").withColumn("seed", F.lit(2))
-    found = [(r.a, r.b) for r in simhash.links(nodes, 3, segments).collect()]
+    place = {f: i for i, f in enumerate(fps)}
+    nodes = spark.createDataFrame([(f - (f >> 63 << 64),) for f in fps], "fingerprint long")
+    found = [(place[r.a % (1 << 64)], place[r.b % (1 << 64)]) for r in simhash.links(nodes, 3, segments).collect()]
     assert all((fps[a] ^ fps[b]).bit_count() <= 3 for a, b in found)
     want = union_find(len(fps), [(i, j) for i in range(len(fps)) for j in range(i) if (fps[i] ^ fps[j]).bit_count() <= 3])
     assert union_find(len(fps), found) == want
@@ -123,6 +189,26 @@ def test_top_k(spark, block):
     assert topk.top_k(df.limit(0), F.col("id") % 20 == 0, 10).count() == 0
 
 
+def test_top_k_of_repeated_rows_and_null_ids(spark):
+    rows = [(0, [1.0, 2.0]), (0, [1.0, 2.0]), (0, [3.0, 0.0]), (7, [1.0, 1.0]), (7, [1.0, 1.0]), (8, [0.5, 0.5]), (None, [9.0, 9.0]), (20, [1.0])]
+    df = spark.createDataFrame([(i, v, 1) for i, v in rows], "vec_id long, embedding array<double>, row int")
+    got = sorted(tuple(r) for r in topk.top_k(df, F.col("id") % 20 == 0, 2, block=1, query_block=1).collect())
+    k = 1024 * 1024
+    twice = [(0, 1, 7, 3 * k), (0, 2, 7, 3 * k)]
+    assert got == sorted([*twice, *twice, *twice])
+    with pytest.raises(Exception, match="64 bits"):
+        topk.top_k(spark.createDataFrame([(0, [1e8, 1e8]), (1, [1e8, 1e8])], "vec_id long, embedding array<double>"), F.col("id") == 0).collect()
+
+
+def test_top_k_sends_candidates_only_where_they_can_count(spark):
+    rng = np.random.default_rng(16)
+    vectors = {i: (rng.normal(size=8) * (5 if i < 100 else 0.01)).astype("f4").tolist() for i in range(400)}
+    df = spark.createDataFrame(list(vectors.items()), "vec_id long, embedding array<float>")
+    got = {tuple(r) for r in topk.top_k(df, F.col("id") % 10 == 0, 5, bands=8, block=16, query_block=3).collect()}
+    stored = {r.vec_id: r.embedding for r in df.collect()}
+    assert got == brute_top_k(stored, {i for i in vectors if i % 10 == 0}, 5)
+
+
 def brute_halves(text):
     from xxhash import xxh64_intdigest as x
 
@@ -168,6 +254,22 @@ def test_document_fingerprints(spark):
     assert alone[0].near_next == 1.0
 
 
+def test_document_fingerprints_of_repeated_rows_and_null_ids(spark):
+    rows = [(4, "the same text twice"), (4, "the same text twice"), (4, "the same text twice"), (4, "another text with this id"), (9, "last of them"), (None, "no id at all here"), (None, None), (2, "first of the ids")]
+    docs = spark.createDataFrame([(i, t, 1) for i, t in rows], "doc_id long, text string, times int")
+    hashes = {r.text: r.h for r in docs.select("text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("h")).collect()}
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, hashes[r[1]]), reverse=True)
+    want = []
+    for (i, t), (_, n) in zip(order, order[1:] + order[:1]):
+        t, n = t or "", n or ""
+        k = len(t) // 3
+        edited = t[: len(t) - k] + n[:k]
+        want.append((str(i), len(t), hashlib.sha256(edited.encode()).hexdigest(), "".join(f"{h:016x}" for h in brute_halves(edited))))
+    got = fingerprint.document_fingerprints(docs, F.col("doc_id") % 2 == 0).collect()
+    assert sorted((str(r.doc_id), r.n_chars, r.edited_sha256, r.edited_fingerprint) for r in got) == sorted(want)
+    assert all(r.n_near_docs >= 2 for r in got if r.n_chars == 19) and all(r.n_near is None for r in got if r.doc_id is None)
+
+
 def test_block_tables_lose_no_pair(spark):
     rng = random.Random(9)
     fps = [(rng.getrandbits(64), rng.getrandbits(64)) for _ in range(10)]
@@ -179,7 +281,9 @@ def test_block_tables_lose_no_pair(spark):
     fps = sorted(set(fps))
     signed = lambda f: f - (f >> 63 << 64)
     df = spark.createDataFrame([(signed(a), signed(b)) for a, b in fps], "f0 long, f1 long")
-    got = {tuple(r) for r in fingerprint.within_radius(df, df, 3, 6).collect()}
+    rows = [tuple(r) for r in fingerprint.within_radius(df, df, 3, 6, most=7).collect()]
+    got = set(rows)
+    assert len(rows) == len(got)
     want = {(signed(a), signed(b), signed(c), signed(d)) for a, b in fps for c, d in fps if 1 <= (a ^ c).bit_count() + (b ^ d).bit_count() <= 3}
     assert got == want
 
@@ -195,7 +299,9 @@ def test_wide_radius_loses_no_pair_and_counts_documents(spark):
     fps = sorted(set(fps))
     signed = lambda f: f - (f >> 63 << 64)
     df = spark.createDataFrame([(signed(a), signed(b)) for a, b in fps], "f0 long, f1 long")
-    got = {tuple(r) for r in fingerprint.within_radius(df, df, 15, 8).collect()}
+    rows = [tuple(r) for r in fingerprint.within_radius(df, df, 15, 8, most=5).collect()]
+    got = set(rows)
+    assert len(rows) == len(got)
     want = {(signed(a), signed(b), signed(c), signed(d)) for a, b in fps for c, d in fps if 1 <= (a ^ c).bit_count() + (b ^ d).bit_count() <= 15}
     assert got == want
     texts = [*near_texts(rng)[:40], *["the same words again"] * 5, None, ""]

@@ -41,22 +41,49 @@ def test_longest_match_equals_naive_greedy():
             assert automaton.count(word) == naive_pieces(word, starts, later), (word, starts, later)
 
 
+def ordinary_pieces():
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=P.path("piece_bpe_32k.model"))
+    return {model.id_to_piece(i) for i in range(model.get_piece_size()) if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i) or model.is_unused(i))}
+
+
 def test_count_tokens(spark):
-    starts, later = map(set, tokencount.piece_vocabulary(P.path("piece_bpe_32k.model")))
-    texts = [*ODD, None, "unhappiness reconsidered " * 50]
+    """Against greedy matching of the mark and the word; the mark alone is a piece."""
+    pieces = ordinary_pieces()
+    texts = [*ODD, None, "unhappiness reconsidered " * 50, "x" * 200_000]
     got = {r.doc_id: r for r in tokencount.count_tokens(frame(spark, texts), P.path("piece_bpe_32k.model")).collect()}
-    for i, text in enumerate(texts):
-        words = (text or "").split()
-        counts = [naive_pieces(w, starts, later) for w in words]
-        assert (got[i].n_words, got[i].n_tokens, got[i].n_unknown) == (len(words), sum(abs(c) for c in counts), counts.count(-1))
+    for i, text in enumerate(texts[:-1]):
+        counts = [naive_pieces("▁" + w, pieces, pieces) for w in (text or "").split()]
+        assert (got[i].n_words, got[i].n_tokens, got[i].n_unknown) == (len(counts), sum(abs(c) for c in counts), counts.count(-1))
+    assert got[len(texts) - 1].n_words == 1 and got[len(texts) - 1].n_tokens > 10_000
     assert tokencount.count_tokens(frame(spark, []), P.path("piece_bpe_32k.model")).count() == 0
 
 
-def test_words_that_begin_with_the_lone_mark(spark):
-    import sentencepiece
+@pytest.fixture
+def repeated(spark):
+    """Rows that repeat, ids that repeat with other texts, and null ids."""
+    rows = [(1, "some words here"), (1, "some words here"), (1, "other words"), (None, "some words here"), (None, None), (2, ""), (None, "some words here")]
+    return spark.createDataFrame([(i, t, "x", 1) for i, t in rows], "doc_id long, text string, ids string, n_tokens int")
 
-    model = sentencepiece.SentencePieceProcessor(model_file=P.path("piece_bpe_32k.model"))
-    pieces = {model.id_to_piece(i) for i in range(model.get_piece_size()) if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i) or model.is_unused(i))}
+
+def by_row(rows, *columns):
+    return sorted(tuple(str(r[c]) for c in ("doc_id", *columns)) for r in rows)
+
+
+def test_every_row_gives_a_row(repeated):
+    counts = by_row(tokencount.count_tokens(repeated, P.path("piece_bpe_32k.model")).collect(), "n_words")
+    assert counts == sorted([("1", "3"), ("1", "3"), ("1", "2"), ("None", "3"), ("None", "0"), ("2", "0"), ("None", "3")])
+    trips = bytebpe.round_trip(repeated, P.path("byte_bpe_50k.tiktoken"), P.PATTERN).collect()
+    assert by_row(trips, "decoded_sha256") == sorted((str(r.doc_id), hashlib.sha256((r.text or "").encode()).hexdigest()) for r in repeated.collect())
+    packed = packing.pack(repeated, P.path("word_bpe_49k.json"), 2, capacity=16).collect()
+    tokenizer = Tokenizer.from_file(P.path("word_bpe_49k.json"))
+    sizes = [len(tokenizer.encode(r.text or "", add_special_tokens=False).ids) + 1 for r in repeated.collect()]
+    assert sum(r.length for r in packed) == sum(sizes) and sorted(r.doc_id is None for r in packed if r.start == 0) == [False] * 4 + [True] * 3
+
+
+def test_words_that_begin_with_the_lone_mark(spark):
+    pieces = ordinary_pieces()
     words = ["2024", "ñandú", "ß", "Ça", "可能", "数字", "3rd", "İstanbul", "12３４", "٣", "the", "unhappiness", "a▁b", "▁", "▁▁x"]
     want = [naive_pieces("▁" + w, pieces, pieces) for w in words]
     assert (want[0], want[2], want[4]) == (5, 2, 3) and -1 in want
@@ -84,6 +111,17 @@ def test_byte_bpe_spells_the_whole_vocabulary(tik):
         assert bpe.decode(ids) == text.encode()
 
 
+def test_byte_bpe_spells_its_entries_by_merging():
+    """Pre-tokens that are entries go through the model too; only those that no merges reach are looked up."""
+    assert bytebpe.ByteBPE(bytebpe.read_ranks(P.path("byte_bpe_50k.tiktoken")), P.PATTERN).unreached == {}
+    ranks = {bytes([b]): b for b in range(256)} | {b"ab": 256, b"xyz": 257}  # nothing merges to xyz
+    bpe = bytebpe.ByteBPE(ranks, P.PATTERN)
+    assert bpe.unreached == {b"xyz": 257}
+    tik = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    for text in ("xyz", "ab xyz", "xyzxyz abab", "é"):
+        assert bpe.encode(text) == tik.encode_ordinary(text)
+
+
 def test_byte_bpe_documents(spark, tik):
     texts = [*ODD, None, "word " * 20000]
     docs = frame(spark, texts)
