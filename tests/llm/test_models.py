@@ -19,7 +19,7 @@ def test_language_model_counts_and_base(spark):
     words = ["The", "cat", "sat", "on", "mats.", "Überall", "x", "runs", "running", "jumped"]
     texts = [None, "", "\n", *(" ".join(rng.choices(words + [f"rare{i}"], k=rng.randint(1, 40))) for i in range(60)), "never seen before " * 3, "long " * 30000]
     docs = spark.createDataFrame([(i, t, 1.0, "c") for i, t in enumerate(texts)], "doc_id long, text string, score double, token string")
-    got = {r.doc_id: r for r in maxent.score(docs, held("doc_id"), common=6, own=4, endings=5, rounds=4).collect()}
+    got = {r.doc_id: r for r in maxent.score(docs, held("doc_id"), common=6, own=4, rounds=2).collect()}
     split = lambda t: [*"".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or "").split(), ""]
     counts = {}
     for i, t in enumerate(texts):
@@ -39,24 +39,108 @@ def test_language_model_counts_and_base(spark):
     assert all(r.n_known == 0 and r.train_tokens == 0 for r in untrained)
 
 
+def plain_mix(step, kind, one, two=None):
+    m = 2**64 - 1
+    x = (step * 8 + kind) * 0x9E3779B97F4A7C15 + one * 0xC2B2AE3D27D4EB4F & m
+    if two is not None:
+        x = (x ^ x >> 29) * 0xD6E8FEB86659FD93 + two & m
+    return (x ^ x >> 32) * 0xD6E8FEB86659FD93 % 2**64 >> 33
+
+
+def plain_log(weights, rows, choice):
+    scores = [sum(float(weights[r][k]) for r in rows) for k in range(maxent.WIDTH)]
+    top = max(scores)
+    return scores[choice] - top - math.log(sum(math.exp(x - top) for x in scores))
+
+
+def plain_features(language, words, i):
+    """Rows of both steps for the token at i, by loops."""
+    h = lambda k: zlib.crc32(words[k]) + 1 if k >= 0 else 0
+    place = language.classes.of(words[i])
+    c, buckets, first = place // maxent.WIDTH, len(language.model.weights) - maxent.WIDTH - 1, maxent.WIDTH + 1
+    last, before = h(i - 1), h(i - 2)
+    tops = [0, first + plain_mix(0, 1, last) % buckets, first + plain_mix(0, 2, before) % buckets, first + plain_mix(0, 3, last, before) % buckets]
+    return place, tops, [1 + c, first + plain_mix(1 + c, 1, last) % buckets, first + plain_mix(1 + c, 2, before) % buckets]
+
+
+def small_corpus(rng, n=50):
+    words = ["der", "die", "katze", "the", "a", "cat", "sat", "runs", "running", "jumped"]
+    return [" ".join(rng.choices(words[:3] if i % 2 else words[3:], k=rng.randint(1, 30)) + [f"rare{i % 17}"] * (i % 3 == 0)) for i in range(n)]
+
+
+def test_language_model_scores_equal_a_plain_loop(spark):
+    texts = [*small_corpus(random.Random(31)), "", "never seen before", "The CAT"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    counts = {}
+    for t in texts[:50]:
+        for w in maxent.tokens(t):
+            counts[w] = counts.get(w, 0) + 1
+    for common, own in ((3, 5), (1 << 16, 992), (1 << 16, 4)):
+        language = maxent.fit(docs.where("doc_id < 50"), common=common, own=own, buckets=64, rounds=3)
+        got = {r.doc_id: r.score for r in maxent.score_with(docs, language, F.col("doc_id") >= 50).collect()}
+        sizes = {}
+        for w, c in counts.items():
+            if w not in language.classes.places:
+                place = language.classes.of(w)
+                sizes[place] = sizes.get(place, 0) + c + 1
+        assert sizes == language.sizes
+        for i, t in enumerate(texts):
+            words, want = maxent.tokens(t), 0.0
+            for k, w in enumerate(words):
+                place, tops, members = plain_features(language, words, k)
+                want += plain_log(language.model.weights, tops, place // maxent.WIDTH) + plain_log(language.model.weights, members, place % maxent.WIDTH)
+                if w not in language.classes.places:
+                    want += math.log((counts.get(w, 0) + 1) / (sizes.get(place, 0) + 1))
+            assert abs(got[i] - want / math.log(10)) < 1e-4 * max(1, abs(want)), (i, got[i], want)
+
+
+def test_language_model_gradient_is_that_of_the_likelihood():
+    rng = np.random.default_rng(12)
+    model = maxent.Model(rng.normal(size=(maxent.WIDTH + 1 + 40, maxent.WIDTH)).astype(np.float64))
+    n = 300
+    place = rng.integers(0, maxent.WIDTH**2, n)
+    before, last = (rng.integers(0, 5, n).astype(np.uint64) for _ in range(2))
+    sums, active = np.zeros_like(model.weights), np.zeros(len(model.weights), np.int64)
+    value = model.gradient(place, before, last, sums, active)
+    assert abs(value - model.score(place, before, last).sum()) < 1e-6 and active[0] == n and active.sum() == 7 * n
+    for _ in range(40):
+        r, k = rng.integers(len(model.weights)), rng.integers(maxent.WIDTH)
+        model.weights[r, k] += 1e-5
+        up = model.score(place, before, last).sum()
+        model.weights[r, k] -= 1e-5
+        assert abs((up - value) / 1e-5 - sums[r, k]) < 1e-2
+
+
 def test_language_model_is_a_distribution():
-    classes = maxent.Classes(["a", "b"], ["ng", "ed"], 2)
+    """Over all places, after any history."""
     rng = np.random.default_rng(2)
-    model = maxent.Softmax(classes.size, 16)
-    model.weights = rng.normal(size=model.weights.shape)
-    logs = model.log_probabilities(np.arange(classes.size**2))
-    assert np.allclose(np.exp(logs).sum(1), 1)
-    assert [classes.of(w) for w in ("", "a", "b", "sing", "led", "zz")] == [0, 1, 2, 3, 4, 5]
+    model = maxent.Model(rng.normal(size=(maxent.WIDTH + 1 + 16, maxent.WIDTH)).astype(np.float32))
+    every = np.arange(maxent.WIDTH**2)
+    for before, last in ((0, 0), (0, 7), (9, 7)):
+        same = lambda x: np.full(len(every), x, np.uint64)
+        assert abs(np.exp(model.score(every, same(before), same(last))).sum() - 1) < 1e-4
+    classes = maxent.Classes(["", "a", "b"], ["ng", "ed"])
+    last = maxent.WIDTH * (maxent.WIDTH - 1)
+    assert [classes.of(w) for w in (b"", b"a", b"b", b"sing", b"led", b"zz")] == [0, 1, 2, last, last + 1, maxent.WIDTH**2 - 1]
 
 
 def test_language_model_rounds_raise_likelihood(spark):
-    rng = random.Random(3)
-    docs = spark.createDataFrame([(i, " ".join(rng.choice(["a b c", "c b a", "d d"]) for _ in range(30))) for i in range(40)], "doc_id long, text string")
-    classes = maxent.Classes(["a", "b", "c", "d"], [], 2)
-    counts = maxent.count_histories(docs, classes)
-    assert counts.agg(F.sum("n")).first()[0] == maxent.count_tokens(docs).agg(F.sum("c")).first()[0]
-    _, likelihood = maxent.train(counts, classes, 64, 7)
-    assert all(b >= a - 1e-6 for a, b in zip(likelihood, likelihood[1:])) and likelihood[-1] > likelihood[1] + 0.05
+    docs = spark.createDataFrame(list(enumerate(small_corpus(random.Random(3), 400))), "doc_id long, text string").repartition(2)
+    few, more = (maxent.fit(docs, rounds=r, buckets=1 << 10) for r in (1, 8))
+    # each round's likelihood is of documents that it hasn't learnt from
+    assert more.likelihood[-1] > more.likelihood[0] + 0.3 and abs(few.likelihood[0] - more.likelihood[0]) < 0.2
+
+
+def test_language_model_of_repeated_rows_and_ties(spark):
+    rows = [(1, "a b a"), (1, "a b a"), (1, "other words"), (None, "a b"), (None, "a b"), (None, None), (2, "c d e f")]
+    docs = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, row string")
+    got = maxent.score(docs, held("doc_id"), common=2, own=3, rounds=1).collect()
+    assert sorted((r.doc_id or 0, r.n_tokens) for r in got) == [(0, 1), (0, 3), (0, 3), (1, 3), (1, 4), (1, 4), (2, 5)]
+    assert all(r.held_out for r in got if r.doc_id is None) and len({r.train_tokens for r in got}) == 1
+    tied = spark.createDataFrame([(1, " ".join(f"t{i:02d}" for i in range(40)))], "doc_id long, text string")
+    language = maxent.fit(tied, common=10, own=8, rounds=1)  # all counts alike: the smaller tokens are the common ones
+    assert sorted(language.top) == [b"", *(b"t%02d" % i for i in range(9))]
+    assert language.classes.own == ["", *(f"t{i:02d}" for i in range(7))]
 
 
 def test_language_model_beats_base_on_held_out(spark):
