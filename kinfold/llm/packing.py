@@ -2,16 +2,17 @@
 
 A sequence's cost is estimated as linear * tokens + quadratic * (sum of its
 pieces' squared lengths), for attention stays within a document. Documents longer
-than a sequence are cut into whole sequences first. What remains is collected until
-`group` sequences can be filled; then, in descending order, each piece goes to
+than `longest` are cut into equal pieces of at most that length first, so that no sequence's cost is one long piece's. Pieces are
+collected until `group` sequences can be filled; then, in descending order, each goes to
 the sequence of lowest cost that has room for it. A piece for which no sequence
 has room is cut along the room that the cheapest ones have. So every sequence of
 a group is full, and only what a partition has left at its end is shorter: it is
-cut into lengths that are powers of two, which need no padding.
+cut into lengths that are powers of two, which need no padding. The order is descending within a group (what that loses against
+the whole table's is in the README); what a group has no room for, the last that came, waits for the next.
 
 Defined results: a null or empty text is its end token alone. Ties go to the
-earlier sequence. Sequence ids are unique over partitions. Rows that repeat are
-packed as often as they come.
+earlier sequence. Sequence ids are unique over partitions. Every row is packed, as often as it comes, with equal or null ids
+too. An empty table gives no pieces. Further columns, whatever their names, take no part.
 """
 
 from __future__ import annotations
@@ -84,8 +85,9 @@ class _Writer:
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=[x.split()[0] for x in SCHEMA.split(", ")])
 
 
-def pack_ids(rows: Iterable[tuple[int, np.ndarray]], partition: int, capacity: int = 4096, group: int = 256, linear: float = 1.0, quadratic: float = 1 / 4096) -> Iterator[pa.RecordBatch]:
-    """rows: a document's id and its token ids; SCHEMA's rows, in batches. Holds a group's tokens at most, and one document's."""
+def pack_ids(rows: Iterable[tuple[int, np.ndarray]], partition: int, capacity: int = 4096, group: int = 256, longest: int | None = None, linear: float = 1.0, quadratic: float = 1 / 4096) -> Iterator[pa.RecordBatch]:
+    """rows: a document's id and its token ids; SCHEMA's rows, in batches. Holds a group's tokens at most, and one document's. longest: half of capacity, if none is given."""
+    longest = min(longest or max(1, capacity // 2), capacity)
     out = _Writer(partition)
     waiting: list[tuple] = []  # (length, doc, start, ids, whole)
     held = 0
@@ -111,16 +113,13 @@ def pack_ids(rows: Iterable[tuple[int, np.ndarray]], partition: int, capacity: i
         held = sum(p[0] for p in waiting)
 
     for doc, ids in rows:
-        whole, start = len(ids), 0
-        while whole - start >= capacity:
-            out.add(out.next, 0, doc, start, ids[start : start + capacity], whole)
-            out.next += 1
-            start += capacity
-        if whole > start:
-            waiting.append((whole - start, doc, start, ids[start:].copy(), whole))
-            held += whole - start
-        if held >= group * capacity:
-            flush(held // capacity)
+        whole, n = len(ids), -(-len(ids) // longest)
+        for k in range(n):
+            start, end = whole * k // n, whole * (k + 1) // n
+            waiting.append((end - start, doc, start, ids[start:end].copy() if n > 1 else ids, whole))
+            held += end - start
+            if held >= group * capacity:
+                flush(held // capacity)
         if len(out.rows) >= 4096:
             yield out.take()
     if held >= capacity:
@@ -199,7 +198,7 @@ def word_tokenizer(path: str) -> WordTokenizer:
     return _kept[path]
 
 
-def pack(docs: DataFrame, tokenizer_path: str, end_id: int, capacity: int = 4096, group: int = 256, linear: float = 1.0, quadratic: float = 1 / 4096, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def pack(docs: DataFrame, tokenizer_path: str, end_id: int, capacity: int = 4096, group: int = 256, longest: int | None = None, linear: float = 1.0, quadratic: float = 1 / 4096, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """SCHEMA's row for each piece of each document; a document is its tokens and end_id."""
     kept = docs.select(docs[id_column].cast("long").alias("doc_id"), docs[text_column].cast("string").alias("text"))
 
@@ -211,6 +210,6 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int, capacity: int = 4096
                 for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                     yield doc, np.append(words.encode(text or ""), np.uint32(end_id))
 
-        yield from pack_ids(rows(), TaskContext.get().partitionId(), capacity, group, linear, quadratic)
+        yield from pack_ids(rows(), TaskContext.get().partitionId(), capacity, group, longest, linear, quadratic)
 
     return kept.mapInArrow(run, SCHEMA)

@@ -218,3 +218,14 @@ def test_queries_cover_all_rows(spark):
     assert queries.op1_token_counts(spark, at).count() == n
     assert queries.op5_byte_bpe(spark, at).count() == n
     assert queries.op7_packing(spark, at).select(F.countDistinct("doc_id")).first()[0] == n
+
+
+def test_long_documents_are_balanced_too():
+    rng = np.random.default_rng(4)
+    rows = [(i, np.arange(n, dtype=np.uint32)) for i, n in enumerate([*rng.integers(5000, 30000, 40), *rng.integers(1, 900, 2000)])]
+    cost, used = {}, {}
+    for batch in packing.pack_ids(rows, 3, capacity=4096, group=64):
+        for n, s in zip(batch.column(2).to_pylist(), batch.column(5).to_pylist()):
+            cost[s], used[s] = cost.get(s, 0) + n + n * n / 4096, used.get(s, 0) + n
+    full = [cost[s] for s in cost if used[s] == 4096]
+    assert max(full) < 1.35 * np.median(full) and sum(used.values()) == sum(len(x) for _, x in rows)
