@@ -66,17 +66,17 @@ class Texts:
     def of(cls, rows: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> Texts:
         sizes = [len(r[1]) for r in rows]
         flat = lambda k, kind: np.concatenate([np.empty(0, kind), *(r[k] for r in rows)])
-        return cls(np.array([r[0] for r in rows], float).reshape(len(rows), MEASURES), np.repeat(np.arange(len(rows)), sizes), flat(1, np.int64), flat(2, np.float64))
+        return cls(np.array([r[0] for r in rows], float).reshape(len(rows), MEASURES), np.repeat(np.arange(len(rows), dtype=np.int32), sizes), flat(1, np.int32), flat(2, np.float32))
 
     def take(self, rows: np.ndarray) -> Texts:
         at = np.searchsorted(self.row, rows)
         size = np.searchsorted(self.row, rows, "right") - at
         cells = np.repeat(at - (np.cumsum(size) - size), size) + np.arange(size.sum())
-        return Texts(self.measures[rows], np.repeat(np.arange(len(rows)), size), self.place[cells], self.value[cells])
+        return Texts(self.measures[rows], np.repeat(np.arange(len(rows), dtype=np.int32), size), self.place[cells], self.value[cells])
 
     def __add__(self, other: Texts) -> Texts:
         both = lambda a, b: np.concatenate((a, b))
-        return Texts(both(self.measures, other.measures), both(self.row, other.row + len(self)), both(self.place, other.place), both(self.value, other.value))
+        return Texts(both(self.measures, other.measures), both(self.row, other.row + np.int32(len(self))), both(self.place, other.place), both(self.value, other.value))
 
 
 def text_row(text: str | None, memo: Memo) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -218,7 +218,10 @@ class TextLogistic:
         scale = np.where(scale > 1e-9, scale, 1.0)
         z = np.column_stack(((x.measures - mean) / scale, np.ones(len(x))))
         each = np.where(y > 0, 0.5 / max(1, y.sum()), 0.5 / max(1, (1 - y).sum())) * len(y)
-        used, place = np.unique(x.place, return_inverse=True)
+        used = np.flatnonzero(np.bincount(x.place, minlength=PLACES))
+        number = np.zeros(PLACES, np.int32)
+        number[used] = np.arange(len(used))
+        place = number[x.place]
         ridge = np.concatenate((np.full(MEASURES, penalty), [1e-6], np.full(len(used), word_penalty)))
         k = MEASURES + 1
 
@@ -261,6 +264,18 @@ def probability(odds: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-odds))
 
 
+@dataclass
+class Judge:
+    """Both views' models with their calibrations, without what they were fitted on."""
+
+    models: tuple[TextLogistic, Logistic]
+    scales: list[tuple[float, float]]
+
+    def sure(self, text: Texts, meta: np.ndarray) -> list[np.ndarray]:
+        """Each view's calibrated probability of class 1."""
+        return [probability(m.odds(x) * a + b) for m, x, (a, b) in zip(self.models, (text, meta), self.scales)]
+
+
 class CoTraining:
     """One target's two views over the rounds. y: 0 or 1. A fifth of the labelled rows is kept for calibration."""
 
@@ -282,9 +297,8 @@ class CoTraining:
         self.models = TextLogistic.fit(*with_given[0]), Logistic.fit(*with_given[1])
         self.scales = [calibration(m.odds(x), self.held[2]) for m, x in zip(self.models, self.held)]
 
-    def sure(self, text: Texts, meta: np.ndarray) -> list[np.ndarray]:
-        """Each view's calibrated probability of class 1."""
-        return [probability(m.odds(x) * a + b) for m, x, (a, b) in zip(self.models, (text, meta), self.scales)]
+    def judge(self) -> Judge:
+        return Judge(self.models, self.scales)
 
     def give(self, view: int, text: Texts, meta: np.ndarray, y: np.ndarray) -> None:
         """Examples for a view, from the other one."""
@@ -335,11 +349,12 @@ def _read(batch, at: int) -> tuple[Texts, np.ndarray]:
     n = len(dense)
     x = np.frombuffer(b"".join(dense), "<f4").reshape(n, MEASURES + META).astype(float)
     tops = np.frombuffer(b"".join(upper), "<u4").reshape(n, UPPER).astype(np.int64)
-    place = np.frombuffer(b"".join(lower), "<u2").astype(np.int64) + np.repeat(np.tile(np.arange(UPPER) << 16, n), tops.ravel())
-    return Texts(x[:, :MEASURES], np.repeat(np.arange(n), tops.sum(1)), place, np.frombuffer(b"".join(steps), np.uint8) / STEPS), x[:, MEASURES:]
+    place = np.frombuffer(b"".join(lower), "<u2").astype(np.int32) + np.repeat(np.tile(np.arange(UPPER, dtype=np.int32) << 16, n), tops.ravel())
+    value = np.frombuffer(b"".join(steps), np.uint8).astype(np.float32) / np.float32(STEPS)
+    return Texts(x[:, :MEASURES], np.repeat(np.arange(n, dtype=np.int32), tops.sum(1)), place, value), x[:, MEASURES:]
 
 
-def fit(docs: DataFrame, labels: DataFrame, labelled: int = 16384, rounds: int = 3, share: float = 0.05, sure: float = 0.95, seed: int = 7, id_column: str = "doc_id", targets: tuple[str, ...] = TARGETS) -> dict[str, Views]:
+def fit(docs: DataFrame, labels: DataFrame, labelled: int = 8192, rounds: int = 3, share: float = 0.05, sure: float = 0.95, seed: int = 7, id_column: str = "doc_id", targets: tuple[str, ...] = TARGETS) -> dict[str, Views]:
     """By target, of those for which there are labels of both classes: the fitted views. labels: id and a column of 0 or 1 for each target."""
     targets = tuple(t for t in targets if t in labels.columns)
     at = F.xxhash64("doc_id", F.lit(seed))
@@ -364,9 +379,11 @@ def fit(docs: DataFrame, labels: DataFrame, labelled: int = 16384, rounds: int =
     if not training:
         return {}
     spark, names = docs.sparkSession, list(training)
-    sample, handed = frozenset(got["doc_id"].to_pylist()), [set() for _ in range(2 * len(names))]  # rows by the view that has them
+    sample = frozenset(got["doc_id"].to_pylist())
+    del got, text, meta
+    handed = [set() for _ in range(2 * len(names))]  # rows by the view that has them
     for _ in range(rounds):
-        state = spark.sparkContext.broadcast((sample, handed, [training[t] for t in names]))
+        state = spark.sparkContext.broadcast((sample, handed, [training[t].judge() for t in names]))
 
         def ask(batches: Iterable[pa.RecordBatch], state=state) -> Iterator[pa.RecordBatch]:
             sample, handed, models = state.value
@@ -400,6 +417,7 @@ def fit(docs: DataFrame, labels: DataFrame, labelled: int = 16384, rounds: int =
                     training[n].give(1 - view, text.take(some), meta[some], (part[some] % 2).astype(float))
                     handed[2 * t + 1 - view] |= set(row[some].tolist())
             training[n].fit()
+        state.unpersist()
         if not new.num_rows:
             break
     return {t: x.views() for t, x in training.items()}

@@ -278,7 +278,7 @@ def test_co_training_hands_labels_to_the_other_view():
     right = lambda: ((training.models[1].odds(x) > 0) == fresh).mean()
     alone = right()
     pool_text, pool_meta = words(see(truth, 0.2)), meta(see(truth, 0.6))
-    p = training.sure(pool_text, pool_meta)[0]
+    p = training.judge().sure(pool_text, pool_meta)[0]
     some = np.flatnonzero((p > 0.7) | (p < 0.3))
     training.give(1, pool_text.take(some), pool_meta[some], (p[some] > 0.5).astype(float))
     training.fit()
