@@ -47,11 +47,11 @@ def gram_jaccard(a: Column, b: Column, n: int = 3) -> Column:
     return F.when(a == b, 1.0).when((a == "") | (b == ""), 0.0).otherwise(jaccard(grams(a, n), grams(b, n)))
 
 
-def weighted_jaccard(a: Column, b: Column, weights: Column, default: float) -> Column:
-    """Weight of the shared over that of all tokens; weights: a map by token."""
+def weighted_jaccard(a: Column, b: Column, weights: list[Column], default: float) -> Column:
+    """Weight of the shared over that of all tokens; weights: maps by token, the first that has it counts."""
 
     def total(x: Column) -> Column:
-        return F.aggregate(F.array_sort(x), F.lit(0.0), lambda s, t: s + F.coalesce(F.try_element_at(weights, t), F.lit(default)))
+        return F.aggregate(F.array_sort(x), F.lit(0.0), lambda s, t: s + F.coalesce(*[F.try_element_at(w, t) for w in weights], F.lit(default)))
 
     union = F.array_union(a, b)
     return F.when(F.size(union) == 0, 1.0).when((F.size(a) == 0) | (F.size(b) == 0), 0.0).otherwise(total(F.array_intersect(a, b)) / total(union))

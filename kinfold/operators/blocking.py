@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import constants as C
+from ..sources.staging import stored
 from .keys import V1, Blocking, blocking_keys, token_vocabulary
 from .preprocess import DERIVED, preprocess
 
@@ -76,6 +77,8 @@ def score_pairs(queries: DataFrame, keys: DataFrame, config: Blocking = V1, voca
     weight = F.coalesce(*[F.when(F.col("tag") == t, w) for t, w in weights.items()])
     asked = queries.groupBy("key", "tag", F.col("entity_id").alias("s1_id")).agg(F.count("*").alias("asked"))
     found = postings(keys, config)
+    if config.profile != "v1":
+        asked, found = stored(asked), stored(found)  # read for the discounts, then for the pairs
     met = asked.join(found, "key")
     if config.profile != "v1":
         met = met.join(discounts(found.join(asked.select("key").distinct(), "key", "left_semi"), config, vocabulary), ["key", "length"])
@@ -92,8 +95,19 @@ def best(pairs: DataFrame, top_k: int) -> DataFrame:
     return ranked.where((F.col("candidate_id") != F.col("s1_id")) & ~F.col("candidate_id").startswith("S1"))
 
 
-def candidates(s1: DataFrame, pool: DataFrame, config: Blocking = V1) -> DataFrame:
-    """s1_id, candidate_id, score, rnk. s1, pool: raw or preprocessed records; the pool is S2 and S3 together."""
-    s1, pool = (df if set(DERIVED) <= set(df.columns) else preprocess(df) for df in (s1, pool))
-    vocabulary = token_vocabulary(s1.select("name_norm").unionByName(pool.select("name_norm")), config) if config.profile == "v2" else None
-    return best(score_pairs(blocking_keys(s1, config, vocabulary), blocking_keys(pool, config, vocabulary), config, vocabulary), config.top_k)
+def prepared(records: DataFrame) -> DataFrame:
+    """Preprocessed records, stored; those that are preprocessed already, as they are."""
+    return records if set(DERIVED) <= set(records.columns) else stored(preprocess(records))
+
+
+def candidates(s1: DataFrame, pool: DataFrame, config: Blocking = V1, vocabulary: DataFrame | None = None) -> DataFrame:
+    """s1_id, candidate_id, score, rnk. s1, pool: raw or preprocessed records; the pool is S2 and S3 together. Keys are made once and stored, for hot keys and pairs both read them."""
+    s1, pool = prepared(s1), prepared(pool)
+    if vocabulary is None and config.profile == "v2":
+        vocabulary = stored(token_vocabulary(s1.select("name_norm").unionByName(pool.select("name_norm")), config))
+    return best(score_pairs(stored(blocking_keys(s1, config, vocabulary)), stored(blocking_keys(pool, config, vocabulary)), config, vocabulary), config.top_k)
+
+
+def candidates_from_index(s1: DataFrame, index: DataFrame, config: Blocking = V1, vocabulary: DataFrame | None = None) -> DataFrame:
+    """The same against a pool's finished key table, of sinks.read_index(); vocabulary: the one that it was made with."""
+    return best(score_pairs(stored(blocking_keys(prepared(s1), config, vocabulary)), index, config, vocabulary), config.top_k)

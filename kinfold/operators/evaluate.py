@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..sources.staging import stored
 from .pairs import expand_ground_truth, parse_ground_truth, true_pairs
 
 
@@ -133,13 +134,22 @@ def margin_filter(scored: DataFrame, threshold: float, margin: float, probabilit
 
 
 def threshold_sweep(scored: DataFrame, gt: DataFrame, thresholds: list[float], probability: str = "p") -> DataFrame:
-    """threshold, macro_f05, mean_precision, mean_recall, in one pass over the pairs. scored: s1_id, candidate_id, p, label."""
-    grid = F.explode(F.array(*[F.lit(float(t)) for t in thresholds])).alias("threshold")
+    """threshold, macro_f05, mean_precision, mean_recall, in one pass over the pairs. scored: s1_id, candidate_id, p, label.
+
+    A pair counts once, under the last threshold that it reaches; an entity's counts at a threshold are added up from the top, in a
+    row of its own of as many numbers as there are thresholds."""
+    grid = sorted({float(t) for t in thresholds})
+    p = F.col(probability).cast("float")
+    reached = sum((F.when(p >= F.lit(t).cast("float"), 1).otherwise(0) for t in grid), F.lit(0))
     truth = parse_ground_truth(gt).select("s1_id", F.size("true_ids").alias("n_true"))
-    # an entity's counts at a threshold are those of its pairs that reach it: each pair counts for all thresholds up to its own
-    reach = scored.select("s1_id", "label", probability, grid).where(F.col(probability).cast("float") >= F.col("threshold").cast("float"))
-    counts = reach.groupBy("s1_id", "threshold").agg(F.count("*").alias("n_pred"), F.sum("label").alias("n_hit"))
-    every = truth.select("s1_id", "n_true", grid).join(counts, ["s1_id", "threshold"], "left").select("threshold", "n_true", F.coalesce("n_pred", F.lit(0)).alias("n_pred"), F.coalesce("n_hit", F.lit(0)).alias("n_hit"))
+    each = scored.select("s1_id", "label", reached.alias("at")).where(F.col("at") > 0).groupBy("s1_id", "at").agg(F.count("*").alias("n"), F.sum("label").alias("hits"))
+    entities = each.groupBy("s1_id").agg(F.collect_list(F.struct("at", "n", "hits")).alias("by"))
+
+    def above(field: str) -> Column:
+        return F.coalesce(F.aggregate("by", F.lit(0).cast("long"), lambda s, x: s + F.when(x["at"] > F.col("i"), x[field]).otherwise(0)), F.lit(0).cast("long"))
+
+    rows = truth.join(entities, "s1_id", "left").select("n_true", "by", F.posexplode(F.array(*map(F.lit, grid))).alias("i", "threshold"))
+    every = rows.select("threshold", "n_true", above("n").alias("n_pred"), above("hits").alias("n_hit"))
     c = [F.col(x) for x in COUNTS]
     return every.groupBy("threshold").agg(F.avg(f05(*c)).alias("macro_f05"), F.avg(precision(*c)).alias("mean_precision"), F.avg(recall(*c)).alias("mean_recall"))
 
@@ -173,16 +183,27 @@ def _by_score(scored: DataFrame, probability: str) -> DataFrame:
     return scored.groupBy(F.col(probability).alias("p")).agg(F.count("*").alias("n"), F.sum("label").alias("pos"))
 
 
+def _running(scored: DataFrame, probability: str) -> DataFrame:
+    """p, n, pos and, of the scores above, n_above and pos_above. Scores are dealt into ranges; each range is added up in a task, and starts from the sums of the ranges above it, a row each."""
+    scores = _by_score(scored, probability)
+    ranged = stored(scores.repartitionByRange("p").withColumn("range", F.spark_partition_id()))
+    sums = ranged.groupBy("range").agg(F.sum("n").alias("n_"), F.sum("pos").alias("pos_"))
+    over = Window.orderBy(F.desc("range")).rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select("range", F.coalesce(F.sum("n_").over(over), F.lit(0)).alias("n_"), F.coalesce(F.sum("pos_").over(over), F.lit(0)).alias("pos_"))
+    within = Window.partitionBy("range").orderBy(F.desc("p")).rowsBetween(Window.unboundedPreceding, -1)
+    above = lambda c: (F.coalesce(F.sum(c).over(within), F.lit(0)) + F.col(f"{c}_")).alias(f"{c}_above")
+    return ranged.join(F.broadcast(sums), "range").select("p", "n", "pos", above("n"), above("pos"))
+
+
 def average_precision(scored: DataFrame, probability: str = "p") -> DataFrame:
     """One row: the sum of precision times the gain in recall, by descending score."""
-    down = Window.orderBy(F.desc("p")).rowsBetween(Window.unboundedPreceding, 0)
-    steps = _by_score(scored, probability).select("pos", F.sum("n").over(down).alias("seen"), F.sum("pos").over(down).alias("hits"))
-    return steps.agg(_share(F.sum(F.col("pos") * F.col("hits") / F.col("seen")), F.sum("pos"), 0.0).alias("average_precision"))
+    steps = _running(scored, probability)
+    hits, seen = F.col("pos") + F.col("pos_above"), F.col("n") + F.col("n_above")
+    return steps.agg(_share(F.sum(F.col("pos") * hits / seen), F.sum("pos"), 0.0).alias("average_precision"))
 
 
 def roc_auc(scored: DataFrame, probability: str = "p") -> DataFrame:
     """One row: the share of pairs of a positive and a negative in the right order, ties as halves; null if there is only one class."""
-    up = Window.orderBy("p").rowsBetween(Window.unboundedPreceding, -1)
-    steps = _by_score(scored, probability).withColumn("neg", F.col("n") - F.col("pos")).withColumn("below", F.coalesce(F.sum("neg").over(up), F.lit(0)))
-    right = F.sum(F.col("pos") * (F.col("below") + F.col("neg") / 2.0))
+    steps = _running(scored, probability).withColumn("neg", F.col("n") - F.col("pos"))
+    right = F.sum(F.col("neg") * (F.col("pos_above") + F.col("pos") / 2.0))
     return steps.agg(F.try_divide(right, F.sum("pos").cast("double") * F.sum("neg")).alias("roc_auc"))

@@ -34,11 +34,11 @@ def default_idf(n_records: int) -> float:
     return math.log(1 + (n_records + 1))
 
 
-def with_weights(pairs: DataFrame, idf: DataFrame) -> DataFrame:
-    """pairs with idf_weights: a map of the weights of both names' tokens, joined by token."""
-    both = pairs.select("s1_id", "candidate_id", F.explode(F.array_union(T.tokens(F.coalesce("s1_name_norm", F.lit(""))), T.tokens(F.coalesce("cand_name_norm", F.lit(""))))).alias("token"))
-    found = both.join(idf.select("token", "idf"), "token").groupBy("s1_id", "candidate_id").agg(F.map_from_entries(F.collect_list(F.struct("token", "idf"))).alias("idf_weights"))
-    return pairs.join(found, ["s1_id", "candidate_id"], "left").withColumn("idf_weights", F.coalesce("idf_weights", F.create_map().cast("map<string,double>")))
+def with_weights(records: DataFrame, idf: DataFrame, id_column: str = "entity_id", name_column: str = "name_norm") -> DataFrame:
+    """records with idf_weights: a map of the weights of the name's tokens. Each record's tokens meet the table once, however many pairs the record is in."""
+    words = records.select(id_column, F.explode(F.array_distinct(T.tokens(F.coalesce(name_column, F.lit(""))))).alias("token"))
+    found = words.join(idf.select("token", "idf"), "token").groupBy(id_column).agg(F.map_from_entries(F.collect_list(F.struct("token", "idf"))).alias("idf_weights"))
+    return records.join(found, id_column, "left").withColumn("idf_weights", F.coalesce("idf_weights", F.create_map().cast("map<string,double>")))
 
 
 def _text(name: str, trimmed: bool) -> Column:
@@ -47,7 +47,7 @@ def _text(name: str, trimmed: bool) -> Column:
 
 
 def feature_columns(extended: bool = False, default: float = UNFITTED_IDF) -> dict[str, Column]:
-    """By name. The extended ones need idf_weights and _both, which extended_features() adds."""
+    """By name. The extended ones need what extended_records() adds to both sides."""
     side = {p: {c: _text(f"{p}_{c}", extended) for c in ("name_norm", "name_compact", "name_no_suffix", "address_norm", "country_norm")} for p in ("s1", "cand")}
     (a, b), flag = (side["s1"], side["cand"]), S.flag
     missing = F.lit(False)
@@ -97,20 +97,20 @@ def feature_columns(extended: bool = False, default: float = UNFITTED_IDF) -> di
         short = [S.acronym(w) for w in words]
         told = [F.length(s) >= 2 for s in short]
         acronym = (told[0] & ((short[0] == b["name_compact"]) | (short[0] == b["name_norm"]))) | (told[1] & ((short[1] == a["name_compact"]) | (short[1] == a["name_norm"]))) | (told[0] & told[1] & (short[0] == short[1]))
-        both = F.col("_both")
+        core, plain = F.col("cand_domain_core"), F.col("s1_plain_compact")
         is_s3 = flag((F.col("cand_source") == "S3") | F.col("candidate_id").startswith("S3"))
         number = S.number_match(a["address_norm"], b["address_norm"])
         out |= {
             "name_token_count_diff": F.abs(F.size(words[0]) - F.size(words[1])),
             "name_token_containment": flag((F.size(words[0]) > 0) & (F.size(words[1]) > 0) & ((F.size(F.array_except(*words)) == 0) | (F.size(F.array_except(*words[::-1])) == 0))),
-            "name_idf_jaccard": S.weighted_jaccard(F.array_distinct(words[0]), F.array_distinct(words[1]), F.col("idf_weights"), default),
+            "name_idf_jaccard": S.weighted_jaccard(F.array_distinct(words[0]), F.array_distinct(words[1]), [F.col("s1_idf_weights"), F.col("cand_idf_weights")], default),
             "name_char_3gram_jaccard": S.gram_jaccard(a["name_compact"], b["name_compact"]),
             "name_acronym_match": flag(acronym),
             "address_number_conflict": addressed(flag(number == 0.0)),
             "address_postal_match": addressed(F.when(number < 0, -1.0).otherwise(S.postal_match(a["address_norm"], b["address_norm"])), -1.0),
             "address_char_3gram_jaccard": addressed(S.gram_jaccard(a["address_norm"], b["address_norm"])),
-            "domain_core_exact_match": T.let(both, lambda c: flag((c["core"] != "") & (F.contains(c["plain"], c["core"]) | F.contains(c["core"], c["plain"])))),
-            "domain_core_jaccard": T.let(both, lambda c: F.when(c["core"] == "", 0.0).otherwise(S.gram_jaccard(c["plain"], c["core"]))),
+            "domain_core_exact_match": flag((core != "") & (F.contains(plain, core) | F.contains(core, plain))),
+            "domain_core_jaccard": F.when(core == "", 0.0).otherwise(S.gram_jaccard(plain, core)),
             "country_one_sided_missing": flag(known[0] != known[1]),
             "source_is_s3": is_s3,
             "source_s3_domain_stem_interaction": is_s3 * stem_match,
@@ -118,13 +118,19 @@ def feature_columns(extended: bool = False, default: float = UNFITTED_IDF) -> di
     return out
 
 
-def _domain_and_name() -> Column:
-    """Struct of the candidate's domain core and the S1 name's base letters."""
-    stem = F.coalesce("cand_domain_stem", F.lit(""))
-    own, of_stem = T.core_domain(_text("cand_name_norm", True))["compact"], T.core_domain(stem)["compact"]
+def with_cores(records: DataFrame) -> DataFrame:
+    """records with domain_core (of the name or the domain's stem) and plain_compact (the compact name's base letters), once a record."""
+    stem, name = F.coalesce("domain_stem", F.lit("")), T.strip(F.coalesce("name_norm", F.lit("")))
     letters = F.regexp_replace(T.strip_accents(F.lower(stem)), "[^a-z0-9]", "")
-    core = T.let(F.struct(own.alias("own"), of_stem.alias("stem"), letters.alias("letters")), lambda c: F.when(c["own"] != "", c["own"]).when(c["stem"] != "", c["stem"]).otherwise(c["letters"]))
-    return F.struct(core.alias("core"), T.strip_accents(_text("s1_name_compact", True)).alias("plain"))
+    rows = T.settle(records, _own=T.core_domain(name)["compact"], _stem=T.core_domain(stem)["compact"], _letters=letters, plain_compact=T.strip_accents(T.strip(F.coalesce("name_compact", F.lit("")))))
+    core = F.when(F.col("_own") != "", F.col("_own")).when(F.col("_stem") != "", F.col("_stem")).otherwise(F.col("_letters"))
+    return rows.withColumn("domain_core", core).drop("_own", "_stem", "_letters")
+
+
+def extended_records(records: DataFrame, idf: DataFrame | None = None) -> DataFrame:
+    """records with what the extended features need of each side; idf: token weights, without which all tokens weigh alike."""
+    rows = with_cores(records)
+    return rows if idf is None else with_weights(rows, idf)
 
 
 def basic_features(pairs: DataFrame) -> DataFrame:
@@ -133,9 +139,10 @@ def basic_features(pairs: DataFrame) -> DataFrame:
     return pairs.select(*kept, *[x.cast("double").alias(n) for n, x in feature_columns().items()])
 
 
-def extended_features(pairs: DataFrame, idf: DataFrame | None = None, default: float = UNFITTED_IDF) -> DataFrame:
-    """The same with EXTENDED as floats. idf: of token_idf(); without it all tokens weigh alike."""
+def extended_features(pairs: DataFrame, default: float = UNFITTED_IDF) -> DataFrame:
+    """The same with EXTENDED as floats. pairs: enriched from extended_records() of both sides. Tokens weigh what their record's idf_weights say, or `default`."""
     kept = [c for c in ("s1_id", "candidate_id", "label") if c in pairs.columns]
-    weighted = with_weights(pairs, idf) if idf is not None else pairs.withColumn("idf_weights", F.create_map().cast("map<string,double>"))
-    weighted = T.settle(weighted, _both=_domain_and_name())
-    return weighted.select(*kept, *[x.cast("float").alias(n) for n, x in feature_columns(True, default).items()])
+    for c in ("s1_idf_weights", "cand_idf_weights"):
+        if c not in pairs.columns:
+            pairs = pairs.withColumn(c, F.create_map().cast("map<string,double>"))
+    return pairs.select(*kept, *[x.cast("float").alias(n) for n, x in feature_columns(True, default).items()])

@@ -128,13 +128,19 @@ def key_array(config: Blocking) -> Column:
     return F.concat(*keys)
 
 
+def _clean_tokens(records: DataFrame, config: Blocking) -> DataFrame:
+    """entity_id, pos, token: what _fields() calls _clean, without its other columns."""
+    words = F.filter(T.tokens(F.coalesce(F.trim("name_norm"), F.lit(""))), lambda t: (F.length(t) >= config.min_token) & ~t.isin(*config.name_stopwords))
+    return records.select("entity_id", F.posexplode(words).alias("pos", "token"))
+
+
 def blocking_keys(records: DataFrame, config: Blocking = V1, vocabulary: DataFrame | None = None) -> DataFrame:
     """entity_id, tag (the key's family), key, pos. records: preprocessed. vocabulary: token, n; without it no record has rare-token keys."""
     fields = _fields(records, config)
     every = fields.select("entity_id", F.posexplode(key_array(config)).alias("pos", "key"))
     if config.extended and config.rare_tokens and "B" in config.families and vocabulary is not None:
         rare = vocabulary.where((F.col("n") > 1) & (F.col("n") <= config.rare_most)).select("token")
-        found = fields.select("entity_id", F.posexplode("_clean").alias("pos", "token")).join(rare, "token")
+        found = _clean_tokens(records, config).join(rare, "token")
         every = every.unionByName(found.select("entity_id", (F.col("pos") + 1000).alias("pos"), F.concat(F.lit(RARE), "token").alias("key")))
     if config.drop_blank_keys:
         every = every.where(F.trim(F.substring_index("key", ":", -1)) != "")

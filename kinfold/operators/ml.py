@@ -8,20 +8,22 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .features import BASIC
+from .features import BASIC, UNFITTED_IDF
 
 
 @dataclass
 class Matcher:
-    """fit(), score(), importances(), save() and load() of a model over feature_names; nulls and NaN count as 0."""
+    """fit(), score(), importances(), save() and load() of a model over feature_names; nulls and NaN count as 0. idf, default_idf: the token weights that its features were made with."""
 
     feature_names: list[str] = field(default_factory=lambda: list(BASIC))
     balanced: bool = True
     seed: int = 42
     model: PipelineModel | None = None
+    idf: DataFrame | None = None
+    default_idf: float = UNFITTED_IDF
 
     def _filled(self, df: DataFrame) -> DataFrame:
         missing = [c for c in self.feature_names if c not in df.columns]
@@ -54,11 +56,20 @@ class Matcher:
         return dict(sorted(zip(self.feature_names, (float(v) / total for v in values)), key=lambda x: -x[1]))
 
     def save(self, path: str, overwrite: bool = False) -> None:
-        writer = self.model.write()
-        (writer.overwrite() if overwrite else writer).save(path)
+        """The model, the token weights, and a row with the names of the features; a folder that exists stays unless it is to be overwritten."""
+        writer, mode = self.model.write(), "overwrite" if overwrite else "errorifexists"
+        (writer.overwrite() if overwrite else writer).save(f"{path}/model")
+        spark = SparkSession.getActiveSession()
+        spark.createDataFrame([(self.feature_names, float(self.default_idf), self.idf is not None)], "feature_names array<string>, default_idf double, has_idf boolean").coalesce(1).write.mode(mode).json(f"{path}/about")
+        if self.idf is not None:
+            self.idf.write.mode(mode).parquet(f"{path}/idf")
 
     def load(self, path: str) -> Matcher:
-        self.model = PipelineModel.load(path)
+        spark = SparkSession.getActiveSession()
+        self.model = PipelineModel.load(f"{path}/model")
+        about = spark.read.schema("feature_names array<string>, default_idf double, has_idf boolean").json(f"{path}/about").first()
+        self.feature_names, self.default_idf = list(about.feature_names), about.default_idf
+        self.idf = spark.read.parquet(f"{path}/idf") if about.has_idf else None
         return self
 
 

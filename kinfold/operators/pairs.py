@@ -11,7 +11,7 @@ from .blocking import source_of
 #: Columns of a record that a pair carries, by the name they have there.
 CARRIED = {
     "name_norm": "name_norm", "name_compact": "name_compact", "name_no_suffix": "name_no_suffix", "address_norm": "address_norm", "address_is_missing": "address_is_missing",
-    "country_norm": "country_norm", "name_script": "script", "is_domain": "is_domain", "domain_stem": "domain_stem", "legal_suffix": "legal_suffix",
+    "country_norm": "country_norm", "name_script": "script", "is_domain": "is_domain", "domain_stem": "domain_stem", "legal_suffix": "legal_suffix", "idf_weights": "idf_weights", "domain_core": "domain_core", "plain_compact": "plain_compact",
 }
 
 
@@ -35,7 +35,7 @@ def enrich(pairs: DataFrame, s1: DataFrame, pool: DataFrame, how: str = "inner")
     """pairs with both records' columns; with "inner" a pair of an unknown id goes, with "left" its columns are null."""
 
     def side(df: DataFrame, key: str, prefix: str) -> DataFrame:
-        return df.select(F.col("entity_id").alias(key), *[F.col(c).alias(f"{prefix}_{as_}") for c, as_ in CARRIED.items()])
+        return df.select(F.col("entity_id").alias(key), *[F.col(c).alias(f"{prefix}_{as_}") for c, as_ in CARRIED.items() if c in df.columns])
 
     joined = pairs.join(side(s1, "s1_id", "s1"), "s1_id", how).join(side(pool, "candidate_id", "cand"), "candidate_id", how)
     return joined.withColumn("cand_source", source_of(F.col("candidate_id")))

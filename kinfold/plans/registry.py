@@ -11,6 +11,7 @@ from ..functions import constants as C
 from ..functions import text as X
 from ..operators import blocking, evaluate, features, keys, ml, pairs, preprocess, profile
 from ..sources import sinks, tables
+from ..sources.staging import stored
 from . import linkage, oracle
 
 FOUND: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,7 +31,8 @@ def ready(spark: SparkSession, at: str) -> DataFrame:
 
 
 def sides(spark: SparkSession, at: str) -> tuple[DataFrame, DataFrame]:
-    return preprocess.preprocess(tables.view(spark, at, "s1")), preprocess.preprocess(tables.pool(spark, at))
+    """Both sides' records, preprocessed once."""
+    return blocking.prepared(tables.view(spark, at, "s1")), blocking.prepared(tables.pool(spark, at))
 
 
 def truth(spark: SparkSession, at: str) -> DataFrame:
@@ -42,7 +44,10 @@ def found(spark: SparkSession, at: str, config: keys.Blocking = keys.V1) -> Data
 
 
 def enriched(spark: SparkSession, at: str) -> DataFrame:
-    return pairs.label(pairs.enrich(found(spark, at).select("s1_id", "candidate_id"), *sides(spark, at)), truth(spark, at))
+    """Labelled candidates with both records' columns."""
+    s1, pool = sides(spark, at)
+    chosen = blocking.candidates(s1, pool).select("s1_id", "candidate_id")
+    return pairs.label(pairs.enrich(chosen, s1, pool), truth(spark, at))
 
 
 def rule(spark: SparkSession, at: str) -> DataFrame:
@@ -154,7 +159,7 @@ def candidates_v2_disk(spark, at):
     s1, pool = sides(spark, at)
     config = keys.Blocking(profile="v2_disk", cap=150, top_k=120)
     vocabulary = keys.token_vocabulary(s1.select("name_norm").unionByName(pool.select("name_norm")))
-    return rounded(blocking.best(blocking.score_pairs(keys.blocking_keys(s1, config, vocabulary), keys.blocking_keys(pool, config, vocabulary), config), config.top_k), 6)
+    return rounded(blocking.best(blocking.score_pairs(stored(keys.blocking_keys(s1, config, vocabulary)), stored(keys.blocking_keys(pool, config, vocabulary)), config), config.top_k), 6)
 
 
 @query
@@ -174,7 +179,8 @@ def recall_at_k(spark, at):
 
 @query
 def blocker_ablation(spark, at):
-    return rounded(evaluate.blocker_ablation({f: found(spark, at, keys.V1.only(f)) for f in ("A", "AB", "ABC", "ABCD")}, truth(spark, at)))
+    s1, pool = sides(spark, at)
+    return rounded(evaluate.blocker_ablation({f: stored(blocking.candidates(s1, pool, keys.V1.only(f))) for f in ("A", "AB", "ABC", "ABCD")}, truth(spark, at)))
 
 
 @query
@@ -235,8 +241,12 @@ def features_21(spark, at):
 
 @query
 def features_34(spark, at):
-    records = ready(spark, at)
-    return rounded(features.extended_features(enriched(spark, at), features.token_idf(records), features.default_idf(records.count())), 5)
+    s1, pool = sides(spark, at)
+    names = s1.select("name_norm").unionByName(pool.select("name_norm"))
+    idf, default = stored(features.token_idf(names)), features.default_idf(names.count())
+    sides_ = [features.extended_records(x, idf) for x in (s1, pool)]
+    full = pairs.label(pairs.enrich(blocking.candidates(s1, pool).select("s1_id", "candidate_id"), *sides_), truth(spark, at))
+    return rounded(features.extended_features(full, default), 5)
 
 
 @query
@@ -286,7 +296,8 @@ def roc_auc(spark, at):
 
 @query
 def error_analysis(spark, at):
-    return rounded(evaluate.error_analysis(found(spark, at), said(spark, at), truth(spark, at)))
+    scored = stored(rule(spark, at))
+    return rounded(evaluate.error_analysis(scored, evaluate.predict(scored, oracle.T), truth(spark, at)))
 
 
 @query
@@ -313,7 +324,7 @@ def distractor_sample(spark, at):
 @query
 def miss_causes(spark, at):
     s1, pool = sides(spark, at)
-    return profile.miss_causes(found(spark, at), truth(spark, at), keys.blocking_keys(s1), keys.blocking_keys(pool))
+    return profile.miss_causes(blocking.candidates(s1, pool), truth(spark, at), keys.blocking_keys(s1), keys.blocking_keys(pool))
 
 
 @query
