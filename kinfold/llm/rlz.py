@@ -395,9 +395,10 @@ def repeated_phrases(here: DataFrame, window: int, gram: int, crowd: int, most:
     """here: doc_id (without nulls), text and further columns. Two tables of doc_id, start, n (windows): phrases that start earlier too, and factors."""
     parsed = here.select("doc_id", "text").mapInArrow(lambda b: parse(b, window, gram, crowd), ROW)
     looked = stored(_sorted(parsed).mapInArrow(look_up, ROW).select("key", "doc_id", "start", "n", "kind"))
-    unsure = looked.where(F.col("kind") != KNOWN)
-    large = unsure.where(F.col("kind") == CHECK).groupBy("key").agg(F.count("*").alias("of")).where(F.col("of") > most).select("key", F.lit(CROWDED).alias("more"))
-    unsure = unsure.join(large, "key", "left").select("doc_id", F.struct("start", "n", F.coalesce("more", "kind").alias("kind")).alias("p"))
+    check, crowded = looked.where(F.col("kind") == CHECK), looked.where(F.col("kind") == CROWDED)
+    large = check.groupBy("key").agg(F.count("*").alias("of")).where(F.col("of") > most).select("key", F.lit(CROWDED).alias("more"))
+    check = check.join(large, "key", "left").select("doc_id", "start", "n", F.coalesce("more", "kind").alias("kind"))
+    unsure = check.unionByName(crowded.select("doc_id", "start", "n", "kind")).select("doc_id", F.struct("start", "n", "kind").alias("p"))
     to_check = unsure.groupBy("doc_id").agg(F.collect_set("p").alias("p")).select("doc_id", *[F.col(f"p.{c}").alias(f"{c}s") for c in ("start", "n", "kind")])
     # with all columns, so that this shuffle of the texts is the one that the removal reads again
     texts = here.join(to_check, "doc_id").select("doc_id", "text", "starts", "ns", "kinds", *here.columns[2:])
