@@ -23,6 +23,11 @@ def country_counts(records: DataFrame, by: str = "source") -> DataFrame:
     return records.groupBy(by, T.normalise_country(F.col("country")).alias("country_norm")).agg(F.count("*").alias("n"))
 
 
+def script_counts(records: DataFrame, by: str = "source") -> DataFrame:
+    """Names by the script that they are in."""
+    return records.groupBy(by, T.detect_script(F.col("business_name")).alias("script")).agg(F.count("*").alias("n"))
+
+
 def match_cardinality(gt: DataFrame) -> DataFrame:
     """n_matches, n_entities, and how many of these have matches in S2, in S3, in both."""
     has = lambda s: F.exists("true_ids", lambda x: x.startswith(s))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import tempfile
 import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,6 +34,31 @@ def read_back(spark: SparkSession, path: str) -> bytes:
     return b"".join(bytes(f.content) for f in files)
 
 
+def write_archive(path: str, results: DataFrame, candidates: DataFrame) -> None:
+    """A zip of both tables at a local path, as archive() has it. Rows come to the driver in order, a partition at a time, and go straight into the file."""
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for name, rows in (("matching_results.tsv", results), ("candidate_pairs.tsv", candidates)):
+            with z.open(name, "w", force_zip64=True) as out:
+                out.write(("\t".join(rows.columns) + "\n").encode())
+                for row in rows.orderBy("source1_entity_id").toLocalIterator(prefetchPartitions=True):
+                    out.write(("\t".join(map(_field, row)) + "\n").encode())
+
+
+def store_archive(spark: SparkSession, path: str, results: DataFrame, candidates: DataFrame, overwrite: bool = False) -> str:
+    """write_archive() to a path on any of Spark's file systems, by a file of the driver's own that is copied there."""
+    with tempfile.TemporaryDirectory() as own:
+        write_archive(f"{own}/results.zip", results, candidates)
+        paths = spark._jvm.org.apache.hadoop.fs.Path
+        at = paths(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).copyFromLocalFile(False, overwrite, paths(f"file://{own}/results.zip"), at)
+    return path
+
+
+def _field(value: str | None) -> str:
+    value = value or ""
+    return '"' + value.replace('"', '""') + '"' if any(c in value for c in '"\t\n\r') else value
+
+
 def archive(spark: SparkSession, matching_path: str, candidate_path: str) -> bytes:
     """A zip of both files, as the submission format wants it."""
     out = io.BytesIO()
@@ -56,9 +82,49 @@ def write_features(features: DataFrame, path: str) -> None:
     features.write.mode("errorifexists").partitionBy("split").parquet(path)
 
 
-def write_index(keys: DataFrame, path: str, overwrite: bool = False) -> None:
-    """A key table; an existing one stays unless it is to be overwritten."""
-    keys.write.mode("overwrite" if overwrite else "errorifexists").parquet(path)
+def write_index(keys: DataFrame, path: str, overwrite: bool = False, vocabulary: DataFrame | None = None, sources: DataFrame | None = None) -> None:
+    """A key table, with the vocabulary that it was made with and the number of records by source; an existing one stays unless it is to be overwritten. The counts come last, so an index that has them is whole."""
+    mode = "overwrite" if overwrite else "errorifexists"
+    keys.write.mode(mode).parquet(f"{path}/keys")
+    if vocabulary is not None:
+        vocabulary.write.mode(mode).parquet(f"{path}/vocabulary")
+    counts = keys.select("entity_id").distinct() if sources is None else sources.select("entity_id")
+    counts.groupBy(F.substring("entity_id", 1, 2).alias("source")).agg(F.count("*").alias("n")).write.mode(mode).parquet(f"{path}/sources")
+
+
+def is_there(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, on any of Spark's file systems."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
+def index_is_whole(spark: SparkSession, path: str) -> bool:
+    return is_there(spark, f"{path}/sources/_SUCCESS")
+
+
+def read_index(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame | None, DataFrame]:
+    """Keys, vocabulary (or None) and records by source of a finished index; raises for one that was cut off."""
+    if not index_is_whole(spark, path):
+        raise ValueError(f"no finished index at {path}")
+    vocabulary = spark.read.parquet(f"{path}/vocabulary") if is_there(spark, f"{path}/vocabulary/_SUCCESS") else None
+    return spark.read.parquet(f"{path}/keys"), vocabulary, spark.read.parquet(f"{path}/sources")
+
+
+def remove_index(spark: SparkSession, path: str) -> bool:
+    """Deletes an index, whole or not; tells whether there was one."""
+    if not any(is_there(spark, f"{path}/{part}") for part in ("keys", "vocabulary", "sources")):
+        return False
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def write_shards(records: DataFrame, path: str, shards: int, id_column: str = "entity_id") -> DataFrame:
+    """Records in as many folders by a hash of their ids, and what each holds: shard, source, n. A later read of one shard leaves the others out."""
+    shard = F.pmod(F.xxhash64(id_column), F.lit(shards)).cast("int")
+    rows = records.withColumn("shard", shard)
+    rows.repartition("shard").write.mode("errorifexists").partitionBy("shard").parquet(path)
+    back = records.sparkSession.read.schema(rows.schema).parquet(path)
+    return back.groupBy("shard", F.substring(id_column, 1, 2).alias("source")).agg(F.count("*").alias("n"))
 
 
 def last_of_each(records: DataFrame, order: str, id_column: str = "entity_id") -> DataFrame:

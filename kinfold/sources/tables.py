@@ -10,14 +10,39 @@ RECORD = T.StructType([T.StructField(c, T.StringType()) for c in ("entity_id", "
 GROUND_TRUTH = T.StructType([T.StructField(c, T.StringType()) for c in ("source1_entity_id", "matched_entity_ids")])
 
 
-def read_tsv(spark: SparkSession, path: str, schema: T.StructType = RECORD) -> DataFrame:
-    """A tab-separated file with a header, all columns strings, empty strings as nulls. Raises if a column of the schema is missing; further columns are read too."""
-    reader = spark.read.option("sep", "\t").option("header", True).option("quote", '"').option("escape", '"').option("multiLine", True).option("nullValue", "").option("inferSchema", False)
-    found = reader.csv(path)
+#: How tab-separated files are written, for readers of tables and of streams alike.
+TSV = {"sep": "\t", "header": "true", "quote": '"', "escape": '"', "nullValue": "", "inferSchema": "false"}
+
+
+def broken_lines(spark: SparkSession, path: str) -> int:
+    """Lines with an odd number of quotes: values that go on in the next line. By such files read_tsv() needs multi_line."""
+    return spark.read.text(path).where("((length(value) - length(replace(value, '\"', ''))) & 1) = 1").count()
+
+
+def read_tsv(spark: SparkSession, path: str, schema: T.StructType = RECORD, multi_line: bool = False, strict: bool = True) -> DataFrame:
+    """A tab-separated file with a header, all columns strings, empty strings as nulls; further columns than the schema's are read too. Where one of these is missing it raises, or, if not strict, is null.
+
+    Files are read by lines, in as many tasks as their size asks for. multi_line: values may hold line breaks, and each file is one task."""
+    found = spark.read.options(**TSV).option("multiLine", multi_line).csv(path)
     missing = [f.name for f in schema if f.name not in found.columns]
-    if missing:
+    if missing and strict:
         raise ValueError(f"{path} has no columns {missing}")
-    return found
+    return found.withColumns({c: F.lit(None).cast("string") for c in missing}) if missing else found
+
+
+def read_source(spark: SparkSession, root: str, split: str, number: int, multi_line: bool = False) -> DataFrame:
+    """One of the three sources of a split."""
+    return read_tsv(spark, f"{root}/{split}/source{number}.tsv", multi_line=multi_line)
+
+
+def read_ground_truth(spark: SparkSession, root: str, split: str = "train") -> DataFrame:
+    return read_tsv(spark, f"{root}/{split}/ground_truth.tsv", GROUND_TRUTH)
+
+
+def record_of(records: DataFrame, entity_id: str, id_column: str = "entity_id") -> dict | None:
+    """One record by its id, None if there is none; of several the first by all columns."""
+    row = records.where(F.col(id_column) == entity_id).orderBy(*records.columns).first()
+    return row.asDict() if row else None
 
 
 def read_parquet(spark: SparkSession, path: str, columns: list[str] | None = None, where: str | None = None) -> DataFrame:
@@ -27,14 +52,19 @@ def read_parquet(spark: SparkSession, path: str, columns: list[str] | None = Non
     return found.select(*columns) if columns else found
 
 
-def load_sources(spark: SparkSession, root: str, split: str = "train") -> dict[str, DataFrame]:
+def load_sources(spark: SparkSession, root: str, split: str = "train", multi_line: bool = False) -> dict[str, DataFrame]:
     """source1, source2, source3 and, of a training split, ground_truth, lazily."""
-    found = {f"source{i}": read_tsv(spark, f"{root}/{split}/source{i}.tsv") for i in (1, 2, 3)}
+    found = {f"source{i}": read_source(spark, root, split, i, multi_line) for i in (1, 2, 3)}
     if split == "train":
-        found["ground_truth"] = read_tsv(spark, f"{root}/{split}/ground_truth.tsv", GROUND_TRUTH)
+        found["ground_truth"] = read_ground_truth(spark, root, split)
     return found
 
 
+def random_sample(df: DataFrame, n: int, seed: int = 42, id_column: str = "entity_id") -> DataFrame:
+    """n rows by the order of a hash of their ids, so the same ones whatever the partitions."""
+    return df.orderBy(F.xxhash64(F.col(id_column), F.lit(seed)), id_column).limit(n)
+
+
 def first_rows(df: DataFrame, n: int, id_column: str = "entity_id") -> DataFrame:
     """The n first rows by id."""
     return df.orderBy(id_column).limit(n)
