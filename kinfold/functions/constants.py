@@ -39,17 +39,20 @@ COUNTRIES = {
     "ca": "Canada", "can": "Canada", "canada": "Canada",
 }
 
-NAME_STOPWORDS = tuple(
-    "the and of for in at to a an on "
-    "company co corporation corp incorporated inc limited ltd llc llp pllc private pvt group services service enterprises enterprise solutions solution international global holdings holding consulting technologies technology industries industry systems system associates agency center centre care management foundation trust club store shop mart market products ventures properties india us usa "
-    "sarl sas sasu sci eurl sa snc de du des la le les et "
-    "प्राइवेट लिमिटेड प्रा लि कंपनी एंटरप्राइजेज பிரைவேட் லிமிடெட் પ્રાઇવેટ લિમિટેડ".split()
-)
+NAME_STOPWORDS = (
+    "the", "and", "of", "for", "in", "at", "to", "a", "an", "on", "company", "co", "corporation", "corp", "incorporated", "inc", "limited", "ltd",
+    "llc", "llp", "pllc", "private", "pvt", "group", "services", "service", "enterprises", "enterprise", "solutions", "solution", "international",
+    "global", "holdings", "holding", "consulting", "technologies", "technology", "industries", "industry", "systems", "system", "associates",
+    "agency", "center", "centre", "care", "management", "foundation", "trust", "club", "store", "shop", "mart", "market", "products", "ventures",
+    "properties", "india", "us", "usa", "sarl", "sas", "sasu", "sci", "eurl", "sa", "snc", "de", "du", "des", "la", "le", "les", "et", "प्राइवेट",
+    "लिमिटेड", "प्रा", "लि", "कंपनी", "एंटरप्राइजेज", "பிரைவேட்", "லிமிடெட்", "પ્રાઇવેટ", "લિમિટેડ",
+)
 
-ADDRESS_STOPWORDS = tuple(
-    "street road avenue drive lane court boulevard place way highway parkway circle suite ste apartment apt unit floor fl building bldg pobox box po "
-    "near opp opposite behind block sector plot door no kh cross main null none nan rue".split()
-)
+ADDRESS_STOPWORDS = (
+    "street", "road", "avenue", "drive", "lane", "court", "boulevard", "place", "way", "highway", "parkway", "circle", "suite", "ste", "apartment",
+    "apt", "unit", "floor", "fl", "building", "bldg", "pobox", "box", "po", "near", "opp", "opposite", "behind", "block", "sector", "plot", "door",
+    "no", "kh", "cross", "main", "null", "none", "nan", "rue",
+)
 
 # Top-level domains of the basic and of the extended profile.
 TLDS = r"com|org|net|in|co\.in|co|io|fr|biz|info|us|gov|edu|online|store|shop|tech|ai|de|uk|eu"
@@ -57,7 +60,10 @@ EXTENDED_TLDS = (
     r"co\.uk|co\.in|org\.uk|gov\.in|net\.in|ac\.in|com\.au|co\.nz|co\.za|com|org|net|in|io|co|biz|info|us|gov|edu|online|store|shop|tech|ai|de|uk|eu|"
     r"ca|fr|ch|nl|se|no|es|it|ru|jp|cn|br|mx|app|club|global|ltd|xyz|site|website|c0m"
 )
-SUBDOMAINS = tuple("www www1 www2 shop store mail app api web dev portal secure en fr de es it mobile m my login admin beta corp support help static cdn".split())
+SUBDOMAINS = (
+    "www", "www1", "www2", "shop", "store", "mail", "app", "api", "web", "dev", "portal", "secure", "en", "fr", "de", "es", "it", "mobile", "m",
+    "my", "login", "admin", "beta", "corp", "support", "help", "static", "cdn",
+)
 
 # Scripts by code points (hexadecimal, inclusive), in the order that ties are broken by; what is elsewhere is "other".
 SCRIPTS = (

@@ -70,10 +70,10 @@ def distractor_sample(gt: DataFrame, s1: DataFrame, s2: DataFrame, s3: DataFrame
     return picked, pool.dropDuplicates(["entity_id"])
 
 
-def split_entities(ids: DataFrame, share: float = 0.2, seed: int = 42, id_column: str = "s1_id") -> DataFrame:
-    """id, split ("train" or "val"): by the order of a hash, max(1, int(n * share)) of the distinct ids in "val". The place of an id is the number of hashes before it, counted by ranges of the hash, so no task orders all ids."""
-    h = F.xxhash64(F.col(id_column), F.lit(seed))
-    rows = ids.select(id_column).distinct().withColumn("_h", h).withColumn("_b", F.shiftright("_h", 48))
+def split_entities(ids: DataFrame, share: float = 0.2, seed: int = 42, id_column: str = "s1_id", order: Column | None = None, bits: int = 48) -> DataFrame:
+    """id, split ("train" or "val"): by the order of a hash (or of a number of the id, whose lower `bits` don't tell its range), max(1, int(n * share)) of the distinct ids in "val". The place of an id is the number of hashes before it, counted by ranges of the hash, so no task orders all ids."""
+    h = F.xxhash64(F.col(id_column), F.lit(seed)) if order is None else order
+    rows = ids.select(id_column).distinct().withColumn("_h", h).withColumn("_b", F.shiftright("_h", bits))
     n = rows.count()
     most = max(1, int(n * share)) if n else 0
     buckets = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)

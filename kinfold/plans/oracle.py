@@ -304,6 +304,14 @@ SWEEP = "select cast(t as double) as threshold, round(avg(f), 9) as macro_f05, r
 RECALL_OF = "select coalesce(avg(cast(c.s1_id is not null as integer)), 1.0) from truth t left join cand c on c.s1_id = t.s1_id and c.candidate_id = t.candidate_id"
 
 
+WEIGHTS = ("weights_", "select map_from_entries(list(struct_pack(k := token, v := idf))) as ws, ln(1 + (select count(*) from pre) + 1) as dflt from idf")
+
+
+def _extended(*names: str) -> str:
+    found = feature_sql(True)
+    return ", ".join(f"round(cast(cast({found[n]} as float) as double), 5) as {n}" for n in names)
+
+
 def sql() -> dict[str, str]:
     script = {name: f"length(regexp_replace(letters, '[^{''.join(chr(int(a, 16)) + '-' + chr(int(b, 16)) for a, b in ranges)}]', '', 'g'))" for name, ranges in C.SCRIPTS}
     url = core_domain("url")
@@ -379,7 +387,34 @@ def sql() -> dict[str, str]:
             "select entity_id from s1 where entity_id in (select s1_id from chosen) union all select entity_id from need union all (select entity_id from s2 where entity_id not in (select entity_id from need) order by 1 limit 25) union all (select entity_id from s3 where entity_id not in (select entity_id from need) order by 1 limit 25)",
         ),
         "miss_causes": build([*V1, ("missed", "select t.* from truth t left join cand c on c.s1_id = t.s1_id and c.candidate_id = t.candidate_id where c.s1_id is null"), ("both_", "select distinct m.s1_id, m.candidate_id, a.key from missed m join keys a on a.entity_id = m.s1_id join keys b on b.entity_id = m.candidate_id and b.key = a.key")], "select m.s1_id, m.candidate_id, coalesce(string_agg(key, ' ' order by key), '') as shared from missed m left join both_ using (s1_id, candidate_id) group by all"),
-        "label_quality_by_source": "select source, count(*) as n, cast(sum(quality) as bigint) as n_good from labels join documents using (doc_id) group by source",
+        "name_similarity": build([*V1, *ENRICHED], "select s1_id, candidate_id, " + ", ".join(f"round(cast({feature_sql()[n]} as double), 9) as {n}" for n in ("name_token_jaccard", "name_levenshtein_sim", "name_compact_levenshtein_sim")) + " from nums_"),
+        "trigram_jaccard": build([*V1, *ENRICHED], f"select s1_id, candidate_id, {_extended('name_char_3gram_jaccard', 'address_char_3gram_jaccard', 'domain_core_jaccard')} from nums_"),
+        "idf_jaccard": build([*V1, *ENRICHED, *IDF, WEIGHTS], f"select s1_id, candidate_id, {_extended('name_idf_jaccard')} from nums_ cross join weights_"),
+        "extended_inference": build(
+            [*V1, *ENRICHED, *IDF, WEIGHTS, ("f_", f"select s1_id, candidate_id, {_extended('name_idf_jaccard', 'name_char_3gram_jaccard', 'address_char_3gram_jaccard')} from nums_ cross join weights_"), ("said", f"select s1_id, candidate_id from f_ where cast(round((name_idf_jaccard + name_char_3gram_jaccard + address_char_3gram_jaccard) / 3, 4) as float) >= cast({T} as float)")],
+            "select s1.entity_id as source1_entity_id, coalesce(string_agg(candidate_id, ',' order by candidate_id), '') as matched_entity_ids from s1 left join said on said.s1_id = s1.entity_id group by s1.entity_id",
+        ),
+        "displacement": build([*BASE, *keys_v1(), *CANDIDATES_V1[:2], ("place_", "select s1_id, candidate_id, cast(row_number() over (partition by s1_id order by score desc, candidate_id) as integer) as rnk from scored"), ("r_", "select rnk from truth join place_ using (s1_id, candidate_id)")], "select count(*) as n_found, quantile_cont(rnk, 0.5) as median_rank, round(quantile_cont(rnk, 0.99), 9) as p99_rank, max(rnk) as max_rank, count(*) filter (rnk > 5) as n_displaced from r_"),
+        "split_entities": build(BASE, "select s1_id, case when row_number() over (order by (cast(s1_id[4:] as bigint) * 7919) % 65537, s1_id) <= greatest(1, floor(count(*) over () * 0.2)) then 'val' else 'train' end as split from gt1"),
+        "detect_script": f"""with l as (select doc_id, text, regexp_replace(text, '[^\\p{{L}}\\p{{M}}]', '', 'g') as letters from documents),
+ n as (select doc_id, text, length(letters) as total, {', '.join(f'{x} as n_{n}' for n, x in script.items())} from l),
+ o as (select *, [n_latin, n_devanagari, n_tamil, n_kannada, n_gujarati, n_other_indic, total - n_latin - n_devanagari - n_tamil - n_kannada - n_gujarati - n_other_indic] as c from n),
+ d as (select *, list_max(c) as most, list_position(c, list_max(c)) as place from o)
+ select doc_id, case when {MISSING.format('text')} or total = 0 then 'unknown' when most < 0.7 * total or len(list_filter(c, lambda x, i: i <> place and x >= 2 and (x >= 0.05 * total or x >= 3))) > 0 then 'mixed' else ['latin', 'devanagari', 'tamil', 'kannada', 'gujarati', 'other_indic', 'other'][place] end as script from d""",
+        # written by hand
+        "odd_records": """select * from (values
+ ('O-01', 'tamsin s bicycle repair llc', 'llc', 'tamsin s bicycle repair', null, 'latin', '12 elm street apartment 4', '12 4 apartment elm street', 'US'),
+ ('O-02', 'pvt qrt lantern works ltd', 'pvt_ltd', 'qrt lantern works', null, 'latin', 'pobox 7', '7 pobox', 'US'),
+ ('O-03', 'llc quillback pottery studio', 'llc', 'quillback pottery studio', null, 'latin', null, null, 'India'),
+ ('O-04', 'driftmoor bay inc carpets', 'inc', 'driftmoor bay carpets', null, 'latin', null, null, 'Brazil'),
+ ('O-05', 'राम प्राइवेट लिमिटेड', 'pvt_ltd', 'राम', null, 'devanagari', null, null, 'JPN'),
+ ('O-06', 'acme ltd', 'ltd', 'acme', null, 'latin', null, null, ''),
+ ('O-07', 'https www quiet harbour com about', null, 'https www quiet harbour com about', 'quiet-harbour', 'latin', '4 apartment elm street 12', '12 4 apartment elm street', ''),
+ ('O-08', 'velmora tiles www velmoratl com', null, 'velmora tiles', 'velmoratl', 'latin', '9 rue de l église', '9 de l rue église', 'New Zealand'),
+ ('O-09', 'acme हिन्दी', null, 'acme हिन्दी', null, 'mixed', 'ünter weg 5', '5 weg ünter', 'France'),
+ ('O-10', null, null, null, null, 'unknown', '१२ मार्ग', 'मार्ग १२', 'United Kingdom'),
+ ('O-11', 'müller and söhne co', 'co', 'müller and söhne', null, 'latin', '5 oak road', '5 oak road', 'Germany'),
+ ('O-12', '123 45', null, '123 45', null, 'unknown', '5 6', '5 6', 'Canada'))
+ t(entity_id, name_norm, legal_suffix, name_no_suffix, domain_stem, name_script, address_norm, address_order_indep, country_norm)""",
     }
-    out.pop("label_quality_by_source")
     return out
