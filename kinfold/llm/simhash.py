@@ -289,6 +289,8 @@ def _check(radius: int, segments: int) -> None:
 
 
 PAIRS = "a long, b long, key long"
+#: Places between the neighbours of a bucket that are compared first.
+REACH = 2
 
 
 def _pairs(a: np.ndarray, b: np.ndarray, key: np.ndarray) -> pa.RecordBatch:
@@ -335,34 +337,85 @@ def neighbour_pairs(batches: Iterable[pa.RecordBatch], radius: int, segments: in
             tail = [x[own] for x in tail]
 
 
+#: Bytes of a sketch.
+SKETCH = 128
+
+
+def sketch(shingles: np.ndarray) -> bytes:
+    """One bit for each place: whether an odd number of the set's shingles falls there. Two sketches differ in at most as many bits as their sets differ in shingles."""
+    return np.packbits(np.bincount((shingles & np.uint64(8 * SKETCH - 1)).astype(np.int64), minlength=8 * SKETCH).astype(np.uint8) & 1).tobytes()
+
+
+def _sketches(column) -> np.ndarray:
+    return np.frombuffer(b"".join(column), np.uint64).reshape(-1, SKETCH // 8)
+
+
+def _may_be_similar(a: np.ndarray, b: np.ndarray, sizes: tuple[np.ndarray, np.ndarray], least: float) -> np.ndarray:
+    """Whether sets with these sketches and sizes can have that similarity."""
+    return np.bitwise_count(a ^ b).sum(-1) <= (sizes[0] + sizes[1]) * ((1 - least) / (1 + least)) + 1e-9
+
+
+def label_runs(batches: Iterable[pa.RecordBatch], least_rows: int) -> Iterator[pa.RecordBatch]:
+    """batches: key, label, in their order. key, label, n: of buckets of `least_rows` or more that have several labels, how many rows each label has."""
+    of, runs = None, []
+
+    def done() -> list[tuple]:
+        return [(of, label, n) for label, n in runs] if len(runs) > 1 and sum(n for _, n in runs) >= least_rows else []
+
+    for batch in batches:
+        key, label = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+        if not len(key):
+            continue
+        first = np.flatnonzero(np.concatenate(([True], (key[1:] != key[:-1]) | (label[1:] != label[:-1]))))
+        length = np.diff(np.append(first, len(key)))
+        # rows alone in their bucket, and not at the batch's ends, are passed by
+        keys_ = key[first]
+        new = np.concatenate(([True], keys_[1:] != keys_[:-1]))
+        last = np.concatenate((new[1:], [True]))
+        some = ~(new & last)
+        some[[0, -1]] = True
+        out = []
+        for k, x, n in zip(keys_[some].tolist(), label[first][some].tolist(), length[some].tolist()):
+            if k != of:
+                out += done()
+                of, runs = k, []
+            if runs and runs[-1][0] == x:
+                runs[-1] = (x, runs[-1][1] + n)
+            else:
+                runs.append((x, n))
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out)], names=["key", "label", "n"])
+    if out := done():
+        yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out)], names=["key", "label", "n"])
+
+
 def crossed_pairs(batches: Iterable[pa.RecordBatch], radius: int, least: float) -> Iterator[pa.RecordBatch]:
-    """batches: group, held, fingerprint, node, label, size, in the order of group and held, those held first. PAIRS: of those held with all others of another label that link."""
+    """batches: group, held, node, label, size, fingerprints, sketch, in the order of group and held, those held first. a, b: of those held with all others of another label, the pairs of which any fingerprints link and whose sketches allow the similarity."""
     of, kept = None, None
     for batch in batches:
-        columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
-        group = columns[0]
-        edges_at = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1], [True]))) if len(group) else np.zeros(1, int)
+        if not batch.num_rows:
+            continue
+        group, mine, node, label, size = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(5))
+        prints = batch.column(5).flatten().to_numpy(zero_copy_only=False).view(np.uint64).reshape(len(node), -1)
+        columns = [node, label, size, prints, _sketches(batch.column(6).to_pylist())]
+        edges_at = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1], [True])))
         for start, end in zip(edges_at[:-1].tolist(), edges_at[1:].tolist()):
             if group[start] != of:
-                of, kept = group[start], [c[:0] for c in columns[2:]]
-            mine = columns[1][start:end] == 0
-            rows = [c[start:end] for c in columns[2:]]
-            kept = [np.concatenate((k, r[mine])) for k, r in zip(kept, rows)]
-            others = [r[~mine] for r in rows]
-            if not len(others[0]):
-                continue
-            fp, node, label, size = kept
-            a, b, n = [], [], 0
-            for k in range(len(fp)):
-                fit = (others[2] != label[k]) & _alike((others[3], size[k]), least)
-                fit &= np.bitwise_count((others[0] ^ fp[k]).view(np.uint64)) <= radius
-                found = others[1][fit]
-                a.append(np.full(len(found), node[k]))
-                b.append(found)
-                n += len(found)
-                if n > 1 << 18 or k + 1 == len(fp):
-                    yield _pairs(np.concatenate(a), np.concatenate(b), node[:0])
-                    a, b, n = [], [], 0
+                of, kept = group[start], [c[:0] for c in columns]
+            own = mine[start:end] == 0
+            rows = [c[start:end] for c in columns]
+            kept = [np.concatenate((k, r[own])) for k, r in zip(kept, rows)]
+            others = [r[~own] for r in rows]
+            a, b = [], []
+            for k in range(len(kept[0])) if len(others[0]) else ():
+                fit = np.flatnonzero((others[1] != kept[1][k]) & _alike((others[2], kept[2][k]), least))
+                fit = fit[(np.bitwise_count(others[3][fit] ^ kept[3][k]) <= radius).any(1)]
+                fit = fit[_may_be_similar(others[4][fit], kept[4][k], (others[2][fit], kept[2][k]), least)]
+                a.append(np.full(len(fit), kept[0][k]))
+                b.append(others[0][fit])
+            if a:
+                a, b = np.concatenate(a), np.concatenate(b)
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
 
 
 def _texts(docs: DataFrame, id_column: str, text_column: str, *more) -> DataFrame:
@@ -401,60 +454,79 @@ def verified(pairs: DataFrame, texts: DataFrame, rep: DataFrame, shingle: int, l
 
 
 def _profiles(texts: DataFrame, shingle: int, seeds: int) -> DataFrame:
-    """IDENTITY, digest (of the set of shingles), size (of the set), fingerprints (by seed)."""
+    """IDENTITY, digest (of the set of shingles), size (of the set), sketch (of the set), fingerprints (by seed)."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from xxhash import xxh3_128_digest, xxh64_intdigest
 
         memo = Memo(lambda word: xxh64_intdigest(word, SEED))
         for batch in slices(batches, 256):
-            digests, sizes, found = [], [], []
+            digests, sizes, sketches, found = [], [], [], []
             for text in batch.column(3).to_pylist():
                 own = np.unique(shingle_hashes(text, shingle))
                 digests.append(xxh3_128_digest(own.tobytes()))
+                sketches.append(sketch(own))
                 sizes.append(len(own))
                 counts = Counter(text.encode().lower().split())
                 hashes = np.fromiter((memo[w] for w in counts), np.uint64, len(counts))
                 found += weighted_votes(hashes, np.array([n.bit_length() for n in counts.values()], np.int64), seeds)
             values = pa.array(np.array(found, np.uint64).view(np.int64))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(digests, pa.binary()), pa.array(sizes, pa.int64()), pa.ListArray.from_arrays(np.arange(batch.num_rows + 1, dtype=np.int32) * seeds, values)], names=[*IDENTITY, "digest", "size", "fingerprints"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(digests, pa.binary()), pa.array(sizes, pa.int64()), pa.array(sketches, pa.binary()), pa.ListArray.from_arrays(np.arange(batch.num_rows + 1, dtype=np.int32) * seeds, values)], names=[*IDENTITY, "digest", "size", "sketch", "fingerprints"])
 
-    return texts.select(*IDENTITY, "text").mapInArrow(run, "has boolean, id long, h long, digest binary, size long, fingerprints array<long>")
+    return texts.select(*IDENTITY, "text").mapInArrow(run, "has boolean, id long, h long, digest binary, size long, sketch binary, fingerprints array<long>")
 
 
 def _groups(texts: DataFrame, radius: int, segments: int, seeds: int, shingle: int, least: float, block: int) -> tuple[DataFrame, DataFrame]:
     """texts: of _texts(). Profiles of all rows; and digest, first: the first IDENTITY (ids before nulls, then the smallest) of the group that a set of shingles belongs to."""
     found = stored(_profiles(texts, shingle, seeds))
     first = F.min(F.struct((~F.col("has")).alias("none"), "id", "h")).alias("first")
-    classes = found.groupBy("digest").agg(first, F.max("size").alias("size"), F.max("fingerprints").alias("fingerprints"))
+    classes = found.groupBy("digest").agg(first, F.max("size").alias("size"), F.max("sketch").alias("sketch"), F.max("fingerprints").alias("fingerprints"))
     classes = stored(classes.withColumn("node", F.monotonically_increasing_id()))
     rep = classes.select("node", (~F.col("first.none")).alias("has"), F.col("first.id").alias("id"), F.col("first.h").alias("h"))
     count, value_bits = tables(radius, segments)
 
-    def key_rows(of: DataFrame, *more: str) -> DataFrame:
-        by_seed = of.select("node", "size", *more, F.posexplode("fingerprints").alias("seed", "fingerprint"))
+    def key_rows(of: DataFrame, *columns: str) -> DataFrame:
+        """key, fingerprint and the columns: a row for each table and seed."""
+        by_seed = of.select(*columns, F.posexplode("fingerprints").alias("seed", "fingerprint"))
         at = F.shiftleft((F.col("seed") * count).cast("long"), value_bits)
-        return by_seed.select(F.explode(F.transform(keys(F.col("fingerprint"), radius, segments), lambda k: k + at)).alias("key"), "fingerprint", "node", "size", *more)
+        return by_seed.select(F.explode(F.transform(keys(F.col("fingerprint"), radius, segments), lambda k: k + at)).alias("key"), "fingerprint", *columns)
+
+    def sketched(pairs: DataFrame) -> DataFrame:
+        """Pairs whose sketches allow the similarity."""
+        side = lambda c, x: classes.select(F.col("node").alias(c), F.col("size").alias(f"{x}n"), F.col("sketch").alias(f"{x}s"))
+
+        def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                n, m = (batch.column(i).to_numpy() for i in (2, 4))
+                keep = _may_be_similar(_sketches(batch.column(3).to_pylist()), _sketches(batch.column(5).to_pylist()), (n, m), least)
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep))
+
+        return pairs.join(side("a", "x"), "a").join(side("b", "y"), "b").select("a", "b", "xn", "xs", "yn", "ys").mapInArrow(run, "a long, b long")
 
     # neighbours within a bucket first
-    dealt = key_rows(classes).repartition("key").sortWithinPartitions("key", "fingerprint")
-    got = stored(dealt.mapInArrow(lambda batches: neighbour_pairs(batches, radius, segments, least, 2), PAIRS))
-    near = stored(verified(got.where("a is not null").select("a", "b").distinct(), texts, rep, shingle, least))
-    large = got.where("key is not null").select("key")
-    if not large.isEmpty():
-        # then, in the buckets that have more pairs, all that these links did not join
+    dealt = key_rows(classes, "node", "size").select("key", "fingerprint", "node", "size").repartition("key").sortWithinPartitions("key", "fingerprint")
+    got = stored(dealt.mapInArrow(lambda batches: neighbour_pairs(batches, radius, segments, least, REACH), PAIRS))
+    near = stored(verified(stored(sketched(got.where("a is not null").select("a", "b").distinct())), texts, rep, shingle, least))
+    if not got.where("key is not null").isEmpty():
+        # then what larger buckets hold besides: their labels, the groups so far, are held against the one that has most of the bucket
         groups = components(near).withColumnRenamed("node", "of")
-        labelled = classes.join(groups, F.col("node") == F.col("of"), "left").select("node", "size", "fingerprints", F.coalesce("component", "node").alias("label"))
-        rows = stored(key_rows(labelled, "label").join(large, "key", "left_semi"))
-        sizes = rows.groupBy("key", "label").agg(F.count("*").alias("n")).groupBy("key").agg(F.max_by("label", F.struct("n", "label")).alias("main"), F.max("n").alias("n_main"), F.sum("n").alias("n"), F.count("*").alias("labels"))
-        sizes = sizes.where("labels > 1").select("key", "main", F.ceil(F.col("n") / (16 * block)).cast("int").alias("parts"), F.ceil((F.col("n") - F.col("n_main")) / block).cast("int").alias("blocks"))
-        mixed = rows.join(sizes, "key")
+        labelled = stored(classes.join(groups, F.col("node") == F.col("of"), "left").select("node", F.coalesce("component", "node").alias("label"), "size", "fingerprints", "sketch"))
+        dealt = key_rows(labelled, "label").select("key", "label").repartition("key").sortWithinPartitions("key", "label")
+        runs = stored(dealt.mapInArrow(lambda batches: label_runs(batches, REACH + 2), "key long, label long, n long"))
+        mains = runs.groupBy("key").agg(F.max_by("label", F.struct("n", "label")).alias("main"))
+        met = stored(runs.join(mains, "key").where("label <> main").select("label", "main").distinct())
+        aside = met.join(labelled, "label").select("main", "node", "label", "size", "fingerprints", "sketch")
+        own = met.select("main").distinct().join(labelled, F.col("main") == F.col("label")).select("main", "node", "label", "size", "fingerprints", "sketch")
+        rows = stored(aside.withColumn("held", F.lit(0)).unionByName(own.withColumn("held", F.lit(1))))
+        sizes = rows.groupBy("main").agg(F.ceil(F.count("*") / (16 * block)).cast("int").alias("parts"), F.ceil(F.count_if(F.col("held") == 0) / block).cast("int").alias("blocks"))
+        mixed = rows.join(sizes, "main")
         at, every = F.xxhash64("node", F.lit(1)), lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-        holds = mixed.where("label <> main").select("key", F.lit(0).alias("held"), "fingerprint", "node", "label", "size", F.pmod(at, F.col("blocks")).cast("int").alias("i"), every("parts").alias("j"))
-        meets = mixed.select("key", F.lit(1).alias("held"), "fingerprint", "node", "label", "size", every("blocks").alias("i"), F.pmod(at, F.col("parts")).cast("int").alias("j"))
-        both = holds.unionByName(meets).select(F.xxhash64("key", "i", "j").alias("group"), "held", "fingerprint", "node", "label", "size")
+        columns = ["node", "label", "size", "fingerprints", "sketch"]
+        holds = mixed.where("held = 0").select("main", F.lit(0).alias("held"), *columns, F.pmod(at, F.col("blocks")).cast("int").alias("i"), every("parts").alias("j"))
+        meets = mixed.select("main", F.lit(1).alias("held"), *columns, every("blocks").alias("i"), F.pmod(at, F.col("parts")).cast("int").alias("j"))
+        both = holds.unionByName(meets).select(F.xxhash64("main", "i", "j").alias("group"), "held", *columns)
         dealt = both.repartition("group").sortWithinPartitions("group", "held")
-        more = stored(dealt.mapInArrow(lambda batches: crossed_pairs(batches, radius, least), PAIRS).select("a", "b").distinct())
+        more = stored(dealt.mapInArrow(lambda batches: crossed_pairs(batches, radius, least), "a long, b long").distinct())
         near = near.unionByName(verified(more, texts, rep, shingle, least))
     groups = components(near).withColumnRenamed("node", "of")
     named = stored(classes.join(groups, F.col("node") == F.col("of"), "left").select("digest", "first", F.coalesce("component", "node").alias("component")))
@@ -465,8 +537,9 @@ def _groups(texts: DataFrame, radius: int, segments: int, seeds: int, shingle: i
 def similar_documents(docs: DataFrame, radius: int = 3, segments: int = 8, seeds: int = 6, shingle: int = 5, least: float = 0.8, block: int = 4096, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """doc_id, component_id: the smallest doc_id that links reach. Documents link if the Jaccard similarity of their sets of `shingle` words is `least` or more; the fingerprints of any seed only lead to the pairs that are held against it.
 
-    Equal sets are one node. Candidates are first the neighbours within a bucket, then, in larger buckets, all pairs that
-    those didn't bring together, in blocks of `block` rows, so that a large group of near copies doesn't cost its pairs.
+    Equal sets are one node. Candidates are first the neighbours within a bucket. Then, where a larger bucket still has several
+    groups, the documents of all but its main one are held against all of these, in blocks of `block` rows, so that a large group of
+    near copies doesn't cost its pairs. Sketches of the sets drop pairs that can't be similar enough, before their sets are compared.
     """
     _check(radius, segments)
     found, groups = _groups(_texts(docs, id_column, text_column), radius, segments, seeds, shingle, least, block)
