@@ -23,7 +23,7 @@ one. Further columns take no part and stay in doc, whatever their names.
 from __future__ import annotations
 
 import zlib
-from collections import Counter
+from array import array
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from .common import Memo, slices, stored, text_slices
+from .common import slices, stored, text_slices
 
 #: Places of hashed words; their numbers are kept as the lower 16 bits, by the upper ones.
 PLACES = 1 << 18
@@ -47,6 +47,7 @@ MEASURES = 18
 META_HASHED = 48
 META = META_HASHED + 4
 MARKS = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+HIGH = bytes(range(128, 256))
 TARGETS = ("quality", "toxic")
 
 
@@ -79,7 +80,41 @@ class Texts:
         return Texts(both(self.measures, other.measures), both(self.row, other.row + np.int32(len(self))), both(self.place, other.place), both(self.value, other.value))
 
 
-def text_row(text: str | None, memo: Memo) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+class Words(dict):
+    """Numbers of words, and by number their places (of the word, and of its start or -1) and lengths."""
+
+    BOUND, HELD = 400_000, 1 << 25
+
+    def __init__(self):
+        super().__init__()
+        self.reset()
+
+    def reset(self) -> None:
+        self.clear()
+        self.known, self.held = array("q"), 0
+
+    def __missing__(self, word: bytes) -> int:
+        number = self[word] = len(self)
+        self.known.extend(word_places(word))
+        self.known.append(len(word))
+        self.held += len(word)
+        return number
+
+    def read(self, words: list[bytes]) -> np.ndarray:
+        """Each word's number. Empties itself between texts, so that memory stays level."""
+        if len(self) > self.BOUND or self.held > self.HELD:
+            self.reset()
+        return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+
+
+def word_places(word: bytes) -> tuple[int, int]:
+    """Of the word without marks at its ends, and of its start (-1 where that is all of it)."""
+    bare = word.lower().strip(MARKS)
+    start = bare.decode("utf-8", "ignore")[:START].encode()
+    return zlib.crc32(bare) % PLACES, zlib.crc32(b"^" + start) % PLACES if len(start) < len(bare) else -1
+
+
+def text_row(text: str | None, known: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Measures of the writing; places of its words; steps of the logarithms of their counts."""
     out = np.zeros(MEASURES)
     raw = (text or "").encode()
@@ -87,36 +122,25 @@ def text_row(text: str | None, memo: Memo) -> tuple[np.ndarray, np.ndarray, np.n
     n, size = len(words), len(raw)
     if not n:
         return out, np.empty(0, np.int64), np.empty(0, np.uint8)
-    counts = Counter(words)
-    distinct = len(counts)
+    numbers = known.read(words)
+    own = np.frombuffer(known.known, np.int64).reshape(-1, 3)[numbers]
+    distinct = len(set(words))
     letters = size - len(raw.translate(None, b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"))
     upper = size - len(raw.translate(None, b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"))
     digits = size - len(raw.translate(None, b"0123456789"))
     marks = size - len(raw.translate(None, MARKS))
     plain = raw.count(b".") + raw.count(b",")
-    wide = size - sum(map(len, (raw.translate(None, bytes(range(128, 256))),)))
-    same = sum(map(bytes.__eq__, words, words[1:]))
-    lengths = np.fromiter(map(len, words), float, n)
+    wide = size - len(raw.translate(None, HIGH))
+    same = int((numbers[1:] == numbers[:-1]).sum())
+    lengths = own[:, 2]
     lines = raw.split(b"\n")
     out[:] = (
         np.log1p(size), np.log1p(n), lengths.mean() / 10, lengths.std() / 10, distinct / n, np.log1p(distinct) / np.log1p(n), same / n, letters / size,
         upper / size, digits / size, marks / size, (marks - plain) / size, plain / n, wide / size, words.count(b"|") / n, raw.count(b"!") / n, len(set(lines)) / len(lines), len(lines) / n,
     )
-    times: dict[int, int] = {}
-    for word, k in counts.items():
-        for place in memo[word]:
-            times[place] = times.get(place, 0) + k
-    places = np.fromiter(sorted(times), np.int64, len(times))
-    steps = np.round(np.log1p(np.fromiter((times[p] for p in places.tolist()), float, len(times))) * STEPS)
-    return out, places, np.minimum(steps, 255).astype(np.uint8)
-
-
-def word_places(word: bytes) -> tuple[int, ...]:
-    """Of the word without marks at its ends, and of its start."""
-    bare = word.lower().strip(MARKS)
-    start = bare.decode("utf-8", "ignore")[:START].encode()
-    own = zlib.crc32(bare) % PLACES
-    return (own, zlib.crc32(b"^" + start) % PLACES) if len(start) < len(bare) else (own,)
+    every = own[:, :2].ravel()
+    places, times = np.unique(every[every >= 0], return_counts=True)
+    return out, places, np.minimum(np.round(np.log1p(times) * STEPS), 255).astype(np.uint8)
 
 
 def meta_view(lang: str | None, source: str | None, n_chars: int | None) -> np.ndarray:
@@ -314,7 +338,7 @@ def _seen(docs: DataFrame) -> list:
     return [docs["text"].cast("string").alias("text"), docs["lang"].cast("string").alias("lang"), docs["source"].cast("string").alias("source"), docs["n_chars"].cast("long").alias("n_chars")]
 
 
-def _views(batch: pa.RecordBatch, at: int, memo: Memo) -> tuple[Texts, np.ndarray]:
+def _views(batch: pa.RecordBatch, at: int, memo: Words) -> tuple[Texts, np.ndarray]:
     """Of the columns text, lang, source, n_chars from at on."""
     text = [text_row(t, memo) for t in batch.column(at).to_pylist()]
     meta = [meta_view(*x) for x in zip(*(batch.column(i).to_pylist() for i in (at + 1, at + 2, at + 3)))]
@@ -329,7 +353,7 @@ def features(docs: DataFrame, id_column: str) -> DataFrame:
     rows = docs.select(docs[id_column].alias("doc_id"), *_seen(docs))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = Memo(word_places)
+        memo = Words()
         for batch in text_slices(batches):
             out: list[list[bytes]] = [[], [], [], []]
             for text, lang, source, n_chars in zip(*(batch.column(i).to_pylist() for i in range(1, 5))):
@@ -430,7 +454,7 @@ def score(docs: DataFrame, models: dict[str, Views], threshold: float = 0.5, tox
     sent = docs.sparkSession.sparkContext.broadcast(models)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo, models = Memo(word_places), sent.value
+        memo, models = Words(), sent.value
         for batch in text_slices(batches):
             views = _views(batch, 1, memo)
             found = {t: [probability(odds) for odds in m.odds(*views)] for t, m in models.items()}

@@ -196,7 +196,7 @@ def plain_places(text):
 
 
 def plain_text_odds(model, text):
-    measures = cotrain.text_row(text, cotrain.Memo(cotrain.word_places))[0].astype("f4").astype(float)
+    measures = cotrain.text_row(text, cotrain.Words())[0].astype("f4").astype(float)
     k = cotrain.MEASURES + 1
     odds = sum((m - a) / b * w for m, a, b, w in zip(measures, model.mean, model.scale, model.weights)) + model.weights[k - 1]
     return max(-30.0, min(30.0, odds + sum(v * model.weights[k + p] for p, v in plain_places(text).items())))
@@ -215,7 +215,7 @@ def test_rounds_equal_a_plain_loop(spark):
     at = {r.doc_id: (r.h, r.doc_id) for r in docs.select("doc_id", F.xxhash64("doc_id", F.lit(7)).alias("h")).collect()}
     got = cotrain.fit(docs, labels, rounds=2, share=0.1, sure=0.7)["quality"]
     # the same by a loop over plain rows
-    memo = cotrain.Memo(cotrain.word_places)
+    memo = cotrain.Words()
     view = {i: (cotrain.text_row(t, memo), cotrain.meta_view(lang, source, n).astype("f4").astype(float)) for i, t, lang, source, n in rows}
     texts = lambda ids: cotrain.Texts.of([(view[i][0][0].astype("f4").astype(float), view[i][0][1], view[i][0][2] / cotrain.STEPS) for i in ids])
     metas = lambda ids: np.array([view[i][1] for i in ids]).reshape(len(ids), cotrain.META)
