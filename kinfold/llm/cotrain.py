@@ -83,7 +83,7 @@ class Texts:
 class Words(dict):
     """Numbers of words, and by number their places (of the word, and of its start or -1) and lengths."""
 
-    BOUND, HELD = 400_000, 1 << 25
+    BOUND, HELD = 200_000, 1 << 24
 
     def __init__(self):
         super().__init__()

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import stored, text_slices
+from .common import slices, stored, text_slices
 
 U = np.uint64
 #: Odd multipliers of the hashes.
@@ -356,7 +356,7 @@ def factorise(batches: Iterable[pa.RecordBatch], window: int) -> Iterator[pa.Rec
     def out(doc, start, n) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array(start, pa.int32()), pa.array(n, pa.int32())], names=["doc_id", "start", "n"])
 
-    for batch in batches:
+    for batch in slices(batches, 1024):
         key, value, doc, start, n, kind = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(6))
         known = kind == KNOWN
         if known.any():
