@@ -65,6 +65,15 @@ SUBDOMAINS = (
     "my", "login", "admin", "beta", "corp", "support", "help", "static", "cdn",
 )
 
+# Patterns of legal forms: split around the name, and, with {0} for a form's spellings, at the end, at the start and inside; groups hold what is left of the name.
+SPLIT_FORM = r"(?iuU)^\s*(?:pvt\.?|private)\s+(.*?)\s+(?:ltd\.?|limited)\.?\s*$"
+FORM_AT = (r"^(.*?)[\s,]+(?:{0})\.?\s*$", r"^\s*(?:{0})\.?[\s,]+(.*)$", r"^(.*?)(?:^|[\s,]+)(?:{0})\.?(?:[\s,]+|$)(.*)$")
+
+# Patterns of domains: in a name, after a pipe, and top-level domains of the extended profile.
+DOMAIN = rf"(?i)(?:https?://)?(?:www\.)?([a-zA-Z0-9][a-zA-Z0-9.-]*\.(?:{TLDS}))\b"
+PIPED_URL = rf"(?iU)\s*\|\s*(?:https?://)?(?:www\.)?[a-zA-Z0-9][a-zA-Z0-9.-]*\.(?:{TLDS})\S*"
+EXTENDED = rf"\.(?:{EXTENDED_TLDS})\b"
+
 # Scripts by code points (hexadecimal, inclusive), in the order that ties are broken by; what is elsewhere is "other".
 SCRIPTS = (
     ("latin", (("41", "5A"), ("61", "7A"), ("C0", "24F"))),

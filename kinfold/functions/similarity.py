@@ -86,3 +86,14 @@ def length_ratio(a: Column, b: Column) -> Column:
 
 def acronym(words: Column) -> Column:
     return F.array_join(F.transform(words, lambda t: F.substring(t, 1, 1)), "")
+
+
+def country_match(a: Column, b: Column) -> Column:
+    """1 if both countries are known and alike but for case, 0 if not, -1 if either isn't known."""
+    low = [F.lower(F.coalesce(x, F.lit(""))) for x in (a, b)]
+    known = [~x.isin("", "nan", "none", "null") for x in low]
+    return F.when(known[0] & known[1], flag(low[0] == low[1])).otherwise(-1.0)
+
+
+#: Other names.
+name_jaccard, name_edit_similarity, address_token_overlap = token_jaccard, edit_similarity, token_overlap

@@ -135,13 +135,11 @@ def legal_patterns(forms=C.LEGAL_FORMS) -> list[tuple[str, str, str, str]]:
     """Canonical form and the patterns for it at the end, start and middle; groups hold what is left of the name."""
     out = []
     for canon, spellings in forms:
-        any_of = f"(?:{_spellings(spellings)})"
-        out.append((canon, rf"^(.*?)[\s,]+{any_of}\.?\s*$", rf"^\s*{any_of}\.?[\s,]+(.*)$", rf"^(.*?)(?:^|[\s,]+){any_of}\.?(?:[\s,]+|$)(.*)$"))
+        out.append((canon, *(p.replace("{0}", _spellings(spellings)) for p in C.FORM_AT)))
     return out
 
 
 FLAGS = "(?iusU)"
-SPLIT_FORM = r"(?iuU)^\s*(?:pvt\.?|private)\s+(.*?)\s+(?:ltd\.?|limited)\.?\s*$"
 
 
 def legal_form(x: Column, forms=C.LEGAL_FORMS) -> Column:
@@ -154,7 +152,7 @@ def legal_form(x: Column, forms=C.LEGAL_FORMS) -> Column:
         return let(strip_chars(rest, EDGE), lambda r: F.when(r != "", F.concat(F.lit(canon + CUT), r)))
 
     patterns = legal_patterns(forms)
-    steps = [found("pvt_ltd", F.regexp_extract(x, SPLIT_FORM, 1))]
+    steps = [found("pvt_ltd", F.regexp_extract(x, C.SPLIT_FORM, 1))]
     steps += [found(canon, F.regexp_extract(x, FLAGS + end, 1)) for canon, end, _, _ in patterns]
     steps += [found(canon, F.regexp_extract(x, FLAGS + start, 1)) for canon, _, start, _ in patterns]
     steps += [F.when(x.rlike(FLAGS + inside), found(canon, F.regexp_replace(F.concat(F.regexp_extract(x, FLAGS + inside, 1), F.lit(" "), F.regexp_extract(x, FLAGS + inside, 2)), r"(?U)\s+", " "))) for canon, _, _, inside in patterns]
@@ -162,43 +160,36 @@ def legal_form(x: Column, forms=C.LEGAL_FORMS) -> Column:
     return F.when(x.rlike(rf"(?iuU)(?:^|[\s,])(?:{every}|pvt\.?|private)(?:\.|[\s,]|$)"), F.coalesce(*steps))
 
 
-DOMAIN = rf"(?i)(?:https?://)?(?:www\.)?([a-zA-Z0-9][a-zA-Z0-9.-]*\.(?:{C.TLDS}))\b"
-PIPED_URL = rf"(?iU)\s*\|\s*(?:https?://)?(?:www\.)?[a-zA-Z0-9][a-zA-Z0-9.-]*\.(?:{C.TLDS})\S*"
-
-
 def domain_stem(name: Column) -> Column:
     """The main label of the first domain in the name; null if there is none."""
-    domain = F.regexp_replace(F.lower(F.regexp_extract(name, DOMAIN, 1)), r"^www\.", "")
+    domain = F.regexp_replace(F.lower(F.regexp_extract(name, C.DOMAIN, 1)), r"^www\.", "")
     parts = F.split(F.regexp_replace(domain, rf"\.(?:{C.TLDS})$", ""), r"\.")
     main = let(parts, lambda p: F.when((F.size(p) > 1) & ~F.element_at(p, -1).isin("co", "com"), F.element_at(p, -1)).otherwise(p[0]))
-    return F.when(name.rlike(DOMAIN), main)
+    return F.when(name.rlike(C.DOMAIN), main)
 
 
 def without_url(name: Column, stem: Column) -> Column:
     """The name without a piped URL; the words of the stem if nothing is left."""
-    rest = strip_chars(F.regexp_replace(name, PIPED_URL, ""), " |,.-_")
+    rest = strip_chars(F.regexp_replace(name, C.PIPED_URL, ""), " |,.-_")
     return F.when(stem.isNull(), name).otherwise(let(rest, lambda r: F.when(r != "", r).otherwise(let(F.trim(F.regexp_replace(stem, "[-_.]", " ")), lambda w: F.when(w != "", w).otherwise(name)))))
 
 
-EXTENDED = rf"\.(?:{C.EXTENDED_TLDS})\b"
-
-
 def core_domain(name: Column) -> Column:
     """Struct of stem and compact: the core of the domain that the string is or has; empty strings if it has none."""
     text = strip(name)
     back = F.reverse(F.filter(F.transform(F.split(text, r"\|"), strip), lambda p: p != ""))
 
     def part(b: Column) -> Column:
-        sure = F.filter(b, lambda p: p.rlike(r"(?i)https?://|www\d*\.") | p.rlike("(?i)" + EXTENDED))
+        sure = F.filter(b, lambda p: p.rlike(r"(?i)https?://|www\d*\.") | p.rlike("(?i)" + C.EXTENDED))
         likely = F.filter(b, lambda p: p.rlike(r"(?i)\.[a-z]{2,}"))
         return F.coalesce(F.get(sure, F.lit(0)), F.get(likely, F.lit(0)), F.get(b, F.lit(0)))
 
     s = strip_accents(F.lower(F.when(text.contains("|"), let(back, part)).otherwise(text)))
 
     def read(s: Column) -> Column:
-        shown = s.rlike(r"^https?://") | s.rlike(r"\bwww\d*\.") | s.rlike(EXTENDED)
+        shown = s.rlike(r"^https?://") | s.rlike(r"\bwww\d*\.") | s.rlike(C.EXTENDED)
         host = strip(F.split(F.regexp_replace(s, r"^(?:https?://)?(?:www\d*\.)?", ""), r"(?U)[:/?#\s]", 2)[0])
-        return F.when(shown, strip_chars(F.regexp_replace(host, EXTENDED, ""), ".-_ "))
+        return F.when(shown, strip_chars(F.regexp_replace(host, C.EXTENDED, ""), ".-_ "))
 
     def core(bare: Column) -> Column:
         def choose(labels: Column) -> Column:
@@ -222,3 +213,18 @@ def address_tokens(lowered: Column, abbreviations: dict[str, str] = C.ADDRESS_AB
     boxed = F.regexp_replace(lowered, r"(?U)\bp\.?\s*o\.?\s*box\b", "pobox")
     kept = F.filter(tokens(clean(boxed)), lambda t: ~t.isin(*C.ADDRESS_NULL_TOKENS))
     return F.transform(kept, lambda t: F.coalesce(lookup(abbreviations, t), t))
+
+
+def domain_tokens(stem: Column) -> Column:
+    """The words of a domain's stem."""
+    return F.filter(F.split(F.coalesce(stem, F.lit("")), "[-_.]+"), lambda w: w != "")
+
+
+def normalise_name(x: Column) -> Column:
+    """A name's normal form, "" for a missing one."""
+    return F.when(is_missing(x), "").otherwise(F.coalesce(clean(spell_and(F.lower(strip(nfkc(x))))), F.lit("")))
+
+
+def normalise_address(x: Column) -> Column:
+    """An address's normal form, "" for a missing one."""
+    return F.when(is_missing(x), "").otherwise(F.coalesce(F.array_join(address_tokens(F.lower(strip(nfkc(x)))), " "), F.lit("")))

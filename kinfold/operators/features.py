@@ -133,14 +133,23 @@ def extended_records(records: DataFrame, idf: DataFrame | None = None) -> DataFr
     return rows if idf is None else with_weights(rows, idf)
 
 
+def _enriched(pairs: DataFrame) -> DataFrame:
+    missing = [c for side in ("s1", "cand") for c in (f"{side}_name_norm", f"{side}_address_norm", f"{side}_country_norm") if c not in pairs.columns]
+    if missing:
+        raise ValueError(f"pairs have no columns {missing}; enrich them from both sides' records first")
+    return pairs
+
+
 def basic_features(pairs: DataFrame) -> DataFrame:
     """pairs: enriched. Its ids, label if it has one, and BASIC as doubles."""
+    pairs = _enriched(pairs)
     kept = [c for c in ("s1_id", "candidate_id", "label") if c in pairs.columns]
     return pairs.select(*kept, *[x.cast("double").alias(n) for n, x in feature_columns().items()])
 
 
 def extended_features(pairs: DataFrame, default: float = UNFITTED_IDF) -> DataFrame:
     """The same with EXTENDED as floats. pairs: enriched from extended_records() of both sides. Tokens weigh what their record's idf_weights say, or `default`."""
+    pairs = _enriched(pairs)
     kept = [c for c in ("s1_id", "candidate_id", "label") if c in pairs.columns]
     for c in ("s1_idf_weights", "cand_idf_weights"):
         if c not in pairs.columns:

@@ -42,7 +42,7 @@ def _tokens(x: str) -> str:
     return f"list_filter(string_split({x}, ' '), lambda t: t <> '')"
 
 
-DOMAIN = rf"(?i)(?:https?://)?(?:www\.)?([a-zA-Z0-9][a-zA-Z0-9.-]*\.(?:{C.TLDS}))\b"
+DOMAIN = C.DOMAIN
 PIPED = rf"(?i)\s*\|\s*(?:https?://)?(?:www\.)?[a-zA-Z0-9][a-zA-Z0-9.-]*\.(?:{C.TLDS})\S*"
 
 

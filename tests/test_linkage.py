@@ -37,6 +37,16 @@ def test_countries(spark):
     assert values(spark, X.normalise_country, ["usa", " united states ", "ind", "brazil", "JPN", None, "n/a", "fr"]) == ["US", "US", "India", "Brazil", "JPN", "", "", "France"]
 
 
+def test_single_values(spark):
+    assert values(spark, X.normalise_name, [None, "n/a", "A & B  Co.", "ＡＣＭＥ!"]) == ["", "", "a and b co", "acme"]
+    assert values(spark, X.normalise_address, [None, "null none", "12 ELM St."]) == ["", "", "12 elm street"]
+    assert values(spark, X.domain_tokens, [None, "quiet-harbour_x.y"]) == [[], ["quiet", "harbour", "x", "y"]]
+    df = spark.createDataFrame([("US", "us"), ("US", "India"), (None, "US"), ("nan", "US")], "a string, b string")
+    assert [r[0] for r in df.select(S.country_match(F.col("a"), F.col("b"))).collect()] == [1.0, 0.0, -1.0, -1.0]
+    with pytest.raises(ValueError):
+        features.basic_features(df)
+
+
 def test_names(spark):
     rows = [
         ("Tamsin's Bicycle Repair LLC", "llc", "tamsin s bicycle repair", None), ("LLC Quillback Pottery Studio", "llc", "quillback pottery studio", None), ("Pvt. QRT Lantern Works Ltd.", "pvt_ltd", "qrt lantern works", None),
