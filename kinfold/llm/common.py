@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
+from ..sources.staging import shared_dir, stored
+
+__all__ = ["Memo", "SLICE", "settled", "shared_dir", "slices", "stored", "table", "text_slices"]
+
 #: Rows of an Arrow batch that Python keeps while it works on one piece.
 SLICE = 512
 
@@ -18,35 +20,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir. Where it is unset, one of our own, but only under a local master: a cluster's executors would not see it."""
-    at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not at:
-        master = spark.sparkContext.master
-        if master != "local" and not master.startswith("local["):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        at = tempfile.mkdtemp(prefix="kinfold-")
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(at)
-    return at
-
-
 def settled(df: DataFrame) -> DataFrame:
     """The rows, computed once, on reliable storage, with no lineage."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """Like settled(), as a compressed columnar table in the shared folder; later reads take single columns. It goes when the driver ends."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/kinfold-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(at)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def slices(batches: Iterable[pa.RecordBatch], rows: int = SLICE) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
