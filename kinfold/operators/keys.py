@@ -11,6 +11,8 @@ from ..functions import constants as C
 from ..functions import text as T
 
 RARE = "b_rare:"
+#: Tokens that are sent to all tasks.
+FREQUENT = 4096
 
 
 @dataclass(frozen=True)
@@ -140,7 +142,9 @@ def blocking_keys(records: DataFrame, config: Blocking = V1, vocabulary: DataFra
     every = fields.select("entity_id", F.posexplode(key_array(config)).alias("pos", "key"))
     if config.extended and config.rare_tokens and "B" in config.families and vocabulary is not None:
         rare = vocabulary.where((F.col("n") > 1) & (F.col("n") <= config.rare_most)).select("token")
-        found = _clean_tokens(records, config).join(rare, "token")
+        # the commonest tokens, most of all occurrences, go before the shuffle; they are at most FREQUENT rows
+        frequent = vocabulary.where(F.col("n") > config.rare_most).orderBy(F.desc("n"), "token").limit(FREQUENT).select("token")
+        found = _clean_tokens(records, config).join(F.broadcast(frequent), "token", "left_anti").join(rare, "token")
         every = every.unionByName(found.select("entity_id", (F.col("pos") + 1000).alias("pos"), F.concat(F.lit(RARE), "token").alias("key")))
     if config.drop_blank_keys:
         every = every.where(F.trim(F.substring_index("key", ":", -1)) != "")
