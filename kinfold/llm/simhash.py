@@ -534,7 +534,7 @@ def _groups(texts: DataFrame, radius: int, segments: int, seeds: int, shingle: i
     return found, named.select("digest", "component").join(firsts, "component").select("digest", "first")
 
 
-def similar_documents(docs: DataFrame, radius: int = 3, segments: int = 8, seeds: int = 6, shingle: int = 5, least: float = 0.8, block: int = 4096, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def similar_documents(docs: DataFrame, radius: int = 3, segments: int = 8, seeds: int = 8, shingle: int = 5, least: float = 0.8, block: int = 4096, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """doc_id, component_id: the smallest doc_id that links reach. Documents link if the Jaccard similarity of their sets of `shingle` words is `least` or more; the fingerprints of any seed only lead to the pairs that are held against it.
 
     Equal sets are one node. Candidates are first the neighbours within a bucket. Then, where a larger bucket still has several
@@ -546,7 +546,7 @@ def similar_documents(docs: DataFrame, radius: int = 3, segments: int = 8, seeds
     return found.join(groups, "digest").select(F.when(F.col("has"), F.col("id")).alias("doc_id"), F.when(~F.col("first.none"), F.col("first.id")).alias("component_id"))
 
 
-def first_of_each(docs: DataFrame, radius: int = 3, segments: int = 8, seeds: int = 6, shingle: int = 5, least: float = 0.8, block: int = 4096, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def first_of_each(docs: DataFrame, radius: int = 3, segments: int = 8, seeds: int = 8, shingle: int = 5, least: float = 0.8, block: int = 4096, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """The columns of docs, one row of each group of similar_documents(): the one with the smallest id (a null only where no row has an id); of rows with that id the one whose text has the smallest hash; of rows that have id and text in common, one of them."""
     _check(radius, segments)
     texts = _texts(docs, id_column, text_column)
