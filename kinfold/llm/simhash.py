@@ -508,23 +508,24 @@ def _groups(texts: DataFrame, radius: int, segments: int, seeds: int, shingle: i
     got = stored(dealt.mapInArrow(lambda batches: neighbour_pairs(batches, radius, segments, least, REACH), PAIRS))
     near = stored(verified(stored(sketched(got.where("a is not null").select("a", "b").distinct())), texts, rep, shingle, least))
     if not got.where("key is not null").isEmpty():
-        # then what larger buckets hold besides: their labels, the groups so far, are held against the one that has most of the bucket
+        # then what larger buckets hold besides: where groups so far (labels) meet in one, all but the largest of them are held against all
         groups = components(near).withColumnRenamed("node", "of")
         labelled = stored(classes.join(groups, F.col("node") == F.col("of"), "left").select("node", F.coalesce("component", "node").alias("label"), "size", "fingerprints", "sketch"))
         dealt = key_rows(labelled, "label").select("key", "label").repartition("key").sortWithinPartitions("key", "label")
         runs = stored(dealt.mapInArrow(lambda batches: label_runs(batches, REACH + 2), "key long, label long, n long"))
         mains = runs.groupBy("key").agg(F.max_by("label", F.struct("n", "label")).alias("main"))
-        met = stored(runs.join(mains, "key").where("label <> main").select("label", "main").distinct())
-        aside = met.join(labelled, "label").select("main", "node", "label", "size", "fingerprints", "sketch")
-        own = met.select("main").distinct().join(labelled, F.col("main") == F.col("label")).select("main", "node", "label", "size", "fingerprints", "sketch")
-        rows = stored(aside.withColumn("held", F.lit(0)).unionByName(own.withColumn("held", F.lit(1))))
-        sizes = rows.groupBy("main").agg(F.ceil(F.count("*") / (16 * block)).cast("int").alias("parts"), F.ceil(F.count_if(F.col("held") == 0) / block).cast("int").alias("blocks"))
-        mixed = rows.join(sizes, "main")
+        met = runs.join(mains, "key").where("label <> main").select(F.col("label").alias("a"), F.col("main").alias("b")).distinct()
+        # groups that meet anywhere are one cluster, in which each document stands once
+        clusters = components(met).select(F.col("node").alias("label"), F.col("component").alias("cluster"))
+        rows = stored(labelled.join(clusters, "label"))
+        sizes = rows.groupBy("cluster", "label").agg(F.count("*").alias("n")).groupBy("cluster").agg(F.max_by("label", F.struct("n", "label")).alias("main"), F.max("n").alias("n_main"), F.sum("n").alias("n"))
+        sizes = sizes.select("cluster", "main", F.ceil(F.col("n") / (16 * block)).cast("int").alias("parts"), F.ceil((F.col("n") - F.col("n_main")) / block).cast("int").alias("blocks"))
+        mixed = rows.join(sizes, "cluster")
         at, every = F.xxhash64("node", F.lit(1)), lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
         columns = ["node", "label", "size", "fingerprints", "sketch"]
-        holds = mixed.where("held = 0").select("main", F.lit(0).alias("held"), *columns, F.pmod(at, F.col("blocks")).cast("int").alias("i"), every("parts").alias("j"))
-        meets = mixed.select("main", F.lit(1).alias("held"), *columns, every("blocks").alias("i"), F.pmod(at, F.col("parts")).cast("int").alias("j"))
-        both = holds.unionByName(meets).select(F.xxhash64("main", "i", "j").alias("group"), "held", *columns)
+        holds = mixed.where("label <> main").select("cluster", F.lit(0).alias("held"), *columns, F.pmod(at, F.col("blocks")).cast("int").alias("i"), every("parts").alias("j"))
+        meets = mixed.select("cluster", F.lit(1).alias("held"), *columns, every("blocks").alias("i"), F.pmod(at, F.col("parts")).cast("int").alias("j"))
+        both = holds.unionByName(meets).select(F.xxhash64("cluster", "i", "j").alias("group"), "held", *columns)
         dealt = both.repartition("group").sortWithinPartitions("group", "held")
         more = stored(dealt.mapInArrow(lambda batches: crossed_pairs(batches, radius, least), "a long, b long").distinct())
         near = near.unionByName(verified(more, texts, rep, shingle, least))
@@ -537,8 +538,8 @@ def _groups(texts: DataFrame, radius: int, segments: int, seeds: int, shingle: i
 def similar_documents(docs: DataFrame, radius: int = 3, segments: int = 8, seeds: int = 8, shingle: int = 5, least: float = 0.8, block: int = 4096, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """doc_id, component_id: the smallest doc_id that links reach. Documents link if the Jaccard similarity of their sets of `shingle` words is `least` or more; the fingerprints of any seed only lead to the pairs that are held against it.
 
-    Equal sets are one node. Candidates are first the neighbours within a bucket. Then, where a larger bucket still has several
-    groups, the documents of all but its main one are held against all of these, in blocks of `block` rows, so that a large group of
+    Equal sets are one node. Candidates are first the neighbours within a bucket. Then, where groups still meet in larger
+    buckets, the documents of all but the largest are held against all of these, in blocks of `block` rows, so that a large group of
     near copies doesn't cost its pairs. Sketches of the sets drop pairs that can't be similar enough, before their sets are compared.
     """
     _check(radius, segments)
