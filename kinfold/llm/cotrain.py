@@ -300,15 +300,26 @@ class Judge:
         return [probability(m.odds(x) * a + b) for m, x, (a, b) in zip(self.models, (text, meta), self.scales)]
 
 
+def split(text: Texts, meta: np.ndarray) -> tuple:
+    """(rows, texts, metadata) of every fifth row, and of the others."""
+    aside = np.arange(len(meta)) % 5 == 0
+    return tuple((rows, text.take(rows), meta[rows]) for rows in (np.flatnonzero(aside), np.flatnonzero(~aside)))
+
+
+def both_parts(parts: tuple) -> tuple:
+    (a, x, m), (b, y, n) = parts
+    return np.concatenate((a, b)), x + y, np.concatenate((m, n))
+
+
 class CoTraining:
     """One target's two views over the rounds. y: 0 or 1. A fifth of the labelled rows is kept for calibration."""
 
-    def __init__(self, text: Texts, meta: np.ndarray, y: np.ndarray, share: float = 0.05):
-        aside = np.arange(len(y)) % 5 == 0
-        if len(set(y[aside])) < 2 or len(set(y[~aside])) < 2:
-            aside = np.zeros(len(y), bool)
-        held, learnt = np.flatnonzero(aside if aside.any() else ~aside), np.flatnonzero(~aside)
-        self.held, self.learnt = ((text.take(rows), meta[rows], y[rows]) for rows in (held, learnt))
+    def __init__(self, parts: tuple, y: np.ndarray, share: float = 0.05):
+        """parts: of split(), of the rows that y is for."""
+        if any(len(set(y[rows])) < 2 for rows, _, _ in parts):
+            rows, text, meta = both_parts(parts)
+            parts = ((rows, text, meta), (rows, text, meta))
+        self.held, self.learnt = ((text, meta, y[rows]) for rows, text, meta in parts)
         self.prior = float(np.log((y.sum() + 1) / ((1 - y).sum() + 1)))
         #: By class, how many rows a view hands on in a round at most.
         self.quota = [max(1, round(share * len(y) * part)) for part in (1 - y.mean(), y.mean())]
@@ -394,17 +405,18 @@ def fit(docs: DataFrame, labels: DataFrame, labelled: int = 8192, rounds: int =
     if not got.num_rows:
         return {}
     text, meta = _read(got, 1)
-    training = {}
+    training, parts = {}, split(text, meta)
     for i, t in enumerate(targets):
         y = np.array([-1 if v is None else int(v > 0) for v in got[f"y{i}"].to_pylist()], float)
         if (y == 1).any() and (y == 0).any():
             some = np.flatnonzero(y >= 0)
-            training[t] = CoTraining(text.take(some), meta[some], y[some], share)
+            # where all rows have all labels, targets share the rows' features
+            training[t] = CoTraining(parts if len(some) == len(y) else split(text.take(some), meta[some]), y[some], share)
     if not training:
         return {}
     spark, names = docs.sparkSession, list(training)
     sample = frozenset(got["doc_id"].to_pylist())
-    del got, text, meta
+    del got, text, meta, parts
     handed = [set() for _ in range(2 * len(names))]  # rows by the view that has them
     for _ in range(rounds):
         state = spark.sparkContext.broadcast((sample, handed, [training[t].judge() for t in names]))

@@ -272,7 +272,7 @@ def test_co_training_hands_labels_to_the_other_view():
 
     words = lambda x: cotrain.Texts(x, np.empty(0, int), np.empty(0, int), np.empty(0))
     meta = lambda x: np.column_stack((x, np.zeros((len(x), cotrain.META - cotrain.MEASURES))))
-    training = cotrain.CoTraining(words(see(y, 0.2)), meta(see(y, 0.6)), y)
+    training = cotrain.CoTraining(cotrain.split(words(see(y, 0.2)), meta(see(y, 0.6))), y)
     fresh = (rng.random(4000) < 0.5).astype(float)
     x = meta(see(fresh, 0.6))
     right = lambda: ((training.models[1].odds(x) > 0) == fresh).mean()
