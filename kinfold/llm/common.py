@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.staging import shared_dir, stored
 
-__all__ = ["Memo", "SLICE", "settled", "shared_dir", "slices", "stored", "table", "text_slices"]
+__all__ = ["Memo", "SLICE", "settled", "shared_dir", "slices", "stored", "table", "text_slices", "worker_kept"]
 
 #: Rows of an Arrow batch that Python keeps while it works on one piece.
 SLICE = 512
@@ -46,6 +46,17 @@ def text_slices(batches: Iterable[pa.RecordBatch], column: str = "text", max_byt
             yield batch.slice(start)
 
 
+_kept: dict = {}
+
+
+def worker_kept(key: object, make: Callable[[], object]):
+    """What a Python worker keeps from task to task; of one operator at a time, so that operators that run one after another don't add up."""
+    if key not in _kept:
+        _kept.clear()
+        _kept[key] = make()
+    return _kept[key]
+
+
 class Memo(dict):
     """A function's results by argument (a string or bytes); emptied at a bound of entries or of their arguments' length, so that memory stays level. Long arguments are not kept."""
 

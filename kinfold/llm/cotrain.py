@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from .common import slices, stored, text_slices
+from .common import slices, stored, text_slices, worker_kept
 
 #: Places of hashed words; their numbers are kept as the lower 16 bits, by the upper ones.
 PLACES = 1 << 18
@@ -364,7 +364,7 @@ def features(docs: DataFrame, id_column: str) -> DataFrame:
     rows = docs.select(docs[id_column].alias("doc_id"), *_seen(docs))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = Words()
+        memo = worker_kept("views", Words)
         for batch in text_slices(batches):
             out: list[list[bytes]] = [[], [], [], []]
             for text, lang, source, n_chars in zip(*(batch.column(i).to_pylist() for i in range(1, 5))):
@@ -466,7 +466,7 @@ def score(docs: DataFrame, models: dict[str, Views], threshold: float = 0.5, tox
     sent = docs.sparkSession.sparkContext.broadcast(models)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo, models = Words(), sent.value
+        memo, models = worker_kept("views", Words), sent.value
         for batch in text_slices(batches):
             views = _views(batch, 1, memo)
             found = {t: [probability(odds) for odds in m.odds(*views)] for t, m in models.items()}

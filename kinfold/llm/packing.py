@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from .common import Memo, slices
+from .common import Memo, slices, worker_kept
 
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
@@ -187,20 +187,16 @@ class WordTokenizer:
 
 #: ASCII characters that are neither letters, digits nor white space.
 MARKS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum())
-_kept: dict[str, WordTokenizer] = {}
 
 
 def word_tokenizer(path: str) -> WordTokenizer:
     """One for each Python worker, for its tasks one after another."""
-    if path not in _kept:
-        _kept.clear()
-        _kept[path] = WordTokenizer(path)
-    return _kept[path]
+    return worker_kept(("words", path), lambda: WordTokenizer(path))
 
 
 def pack(docs: DataFrame, tokenizer_path: str, end_id: int, capacity: int = 4096, group: int = 256, longest: int | None = None, linear: float = 1.0, quadratic: float = 1 / 4096, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """SCHEMA's row for each piece of each document; a document is its tokens and end_id."""
-    kept = docs.select(docs[id_column].cast("long").alias("doc_id"), docs[text_column].cast("string").alias("text"))
+    texts = docs.select(docs[id_column].cast("long").alias("doc_id"), docs[text_column].cast("string").alias("text"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = word_tokenizer(tokenizer_path)
@@ -212,4 +208,4 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int, capacity: int = 4096
 
         yield from pack_ids(rows(), TaskContext.get().partitionId(), capacity, group, longest, linear, quadratic)
 
-    return kept.mapInArrow(run, SCHEMA)
+    return texts.mapInArrow(run, SCHEMA)

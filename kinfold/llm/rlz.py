@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import slices, stored, text_slices
+from .common import slices, stored, text_slices, worker_kept
 
 U = np.uint64
 #: Odd multipliers of the hashes.
@@ -206,6 +206,7 @@ def _spread(doc: np.ndarray, start: np.ndarray) -> np.ndarray:
 
 def parse(batches: Iterable[pa.RecordBatch], window: int, gram: int, crowd: int) -> Iterator[pa.RecordBatch]:
     """ROW for each phrase: its anchor and hash, n windows from start on; kind KNOWN (and any key) if this slice has it from an earlier place, CROWDED (and any key) if its anchor has more than `crowd` phrases in a slice, else CHECK if it repeats itself inside, or 0. A crowded anchor gives one more row, of kind MARK."""
+    worker_kept("phrases", dict)  # frees what the worker keeps for others
     hot = np.empty(0, np.uint64)
     for batch in text_slices(batches):
         data, offsets = _buffers(batch, 1)

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Memo, slices, stored
+from .common import Memo, slices, stored, worker_kept
 from .components import components
 
 SEED = 42
@@ -459,7 +459,7 @@ def _profiles(texts: DataFrame, shingle: int, seeds: int) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from xxhash import xxh3_128_digest, xxh64_intdigest
 
-        memo = Memo(lambda word: xxh64_intdigest(word, SEED))
+        memo = worker_kept("word hashes", lambda: Memo(lambda word: xxh64_intdigest(word, SEED)))
         for batch in slices(batches, 256):
             digests, sizes, sketches, found = [], [], [], []
             for text in batch.column(3).to_pylist():
