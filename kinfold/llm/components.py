@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import settled
+from ..sources.staging import swept
+from .common import stored
 
 
 def _least(edges: DataFrame) -> DataFrame:
@@ -14,7 +15,8 @@ def _least(edges: DataFrame) -> DataFrame:
 
 
 def _state(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("*"), F.expr("bit_xor(xxhash64(u, v))")).first())
+    with swept(edges.sparkSession):
+        return tuple(edges.agg(F.count("*"), F.expr("bit_xor(xxhash64(u, v))")).first())
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -23,16 +25,16 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     Each round is two grouped minima and two equi-joins, whose hot nodes adaptive
     execution can split; the rounds are logarithmic in the number of links. Nulls
     and links of a node with itself are ignored. Each round is written to the
-    checkpoint folder.
+    checkpoint folder, and its shuffles go.
     """
-    edges = settled(links.where(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct())
+    edges = stored(links.where(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct())
     seen = _state(edges)
     while seen[0]:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = both.join(_least(both), F.col("u") == F.col("k")).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         joined = large.join(_least(large), F.col("u") == F.col("k"))
         small = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(joined.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
-        edges = settled(small)
+        edges = stored(small)
         now = _state(edges)
         if now == seen:
             break

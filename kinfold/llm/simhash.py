@@ -34,6 +34,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .common import Memo, slices, stored, worker_kept
 from .components import components
@@ -291,6 +292,8 @@ def _check(radius: int, segments: int) -> None:
 PAIRS = "a long, b long, key long"
 #: Places between the neighbours of a bucket that are compared first.
 REACH = 2
+#: Seeds whose key rows are on disk at a time; pairs of a node that are held against their sets before the others.
+PASS, FORE = 4, 4
 
 
 def _pairs(a: np.ndarray, b: np.ndarray, key: np.ndarray) -> pa.RecordBatch:
@@ -427,17 +430,21 @@ def _texts(docs: DataFrame, id_column: str, text_column: str, *more) -> DataFram
 IDENTITY = ["has", "id", "h"]
 
 
-def verified(pairs: DataFrame, texts: DataFrame, rep: DataFrame, shingle: int, least: float) -> DataFrame:
-    """The pairs a, b of nodes whose texts' sets of shingles have a Jaccard similarity of `least` or more. texts: of _texts(); rep: node and the IDENTITY of a row with its text."""
+def _sets(pairs: DataFrame, texts: DataFrame, rep: DataFrame, shingle: int) -> DataFrame:
+    """node, hashes: the sets of shingles of the pairs' nodes. texts: of _texts(); rep: node and the IDENTITY of a row with its text."""
     nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(rep, "node")
 
-    def sets_of(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 256):
             found = [np.unique(shingle_hashes(t, shingle)).tobytes() for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["node", "hashes"])
 
     wanted = texts.join(nodes, IDENTITY).select("node", "text")
-    sets = stored(wanted.mapInArrow(sets_of, "node long, hashes binary").dropDuplicates(["node"]))
+    return wanted.mapInArrow(run, "node long, hashes binary").dropDuplicates(["node"])
+
+
+def verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """The pairs a, b of nodes whose sets (of _sets()) have a Jaccard similarity of `least` or more."""
     both = pairs.join(sets.select(F.col("node").alias("a"), F.col("hashes").alias("x")), "a").join(sets.select(F.col("node").alias("b"), F.col("hashes").alias("y")), "b").select("a", "b", "x", "y")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -453,6 +460,24 @@ def verified(pairs: DataFrame, texts: DataFrame, rep: DataFrame, shingle: int, l
     return both.mapInArrow(run, "a long, b long")
 
 
+def apart(pairs: DataFrame, near: DataFrame) -> DataFrame:
+    """The pairs a, b that links in near don't connect."""
+    groups = components(near)
+    side = lambda c: groups.select(F.col("node").alias(c), F.col("component").alias(f"{c}_label"))
+    return pairs.join(side("a"), "a", "left").join(side("b"), "b", "left").where(F.coalesce("a_label", "a") != F.coalesce("b_label", "b")).select("a", "b")
+
+
+def joined_by(pairs: DataFrame, near: DataFrame | None, texts: DataFrame, rep: DataFrame, shingle: int, least: float) -> DataFrame:
+    """near (links a, b) and of the pairs those verified() that connect more. A few pairs of each node come first: in a group of near copies they connect most, and pairs within a group needn't have their sets sent."""
+    order = Window.partitionBy("a").orderBy(F.xxhash64("a", "b"))
+    ranked = stored(pairs.withColumn("rank", F.row_number().over(order)))
+    sets = stored(_sets(ranked, texts, rep, shingle))
+    first = stored(verified(ranked.where(F.col("rank") <= FORE).select("a", "b"), sets, least))
+    near = first if near is None else near.unionByName(first)
+    rest = ranked.where(F.col("rank") > FORE).select("a", "b")
+    return near if rest.isEmpty() else near.unionByName(stored(verified(stored(apart(rest, near)), sets, least)))
+
+
 def _profiles(texts: DataFrame, shingle: int, seeds: int) -> DataFrame:
     """IDENTITY, digest (of the set of shingles), size (of the set), sketch (of the set), fingerprints (by seed)."""
 
@@ -485,10 +510,12 @@ def _groups(texts: DataFrame, radius: int, segments: int, seeds: int, shingle: i
     rep = classes.select("node", (~F.col("first.none")).alias("has"), F.col("first.id").alias("id"), F.col("first.h").alias("h"))
     count, value_bits = tables(radius, segments)
 
-    def key_rows(of: DataFrame, *columns: str) -> DataFrame:
-        """key, fingerprint and the columns: a row for each table and seed."""
-        by_seed = of.select(*columns, F.posexplode("fingerprints").alias("seed", "fingerprint"))
-        at = F.shiftleft((F.col("seed") * count).cast("long"), value_bits)
+    passes = range(0, seeds, PASS)
+
+    def key_rows(of: DataFrame, low: int, *columns: str) -> DataFrame:
+        """key, fingerprint and the columns: a row for each table and each seed of the pass that begins at low."""
+        by_seed = of.select(*columns, F.posexplode(F.slice("fingerprints", low + 1, PASS)).alias("seed", "fingerprint"))
+        at = F.shiftleft(((F.col("seed") + low) * count).cast("long"), value_bits)
         return by_seed.select(F.explode(F.transform(keys(F.col("fingerprint"), radius, segments), lambda k: k + at)).alias("key"), "fingerprint", *columns)
 
     def sketched(pairs: DataFrame) -> DataFrame:
@@ -504,15 +531,23 @@ def _groups(texts: DataFrame, radius: int, segments: int, seeds: int, shingle: i
         return pairs.join(side("a", "x"), "a").join(side("b", "y"), "b").select("a", "b", "xn", "xs", "yn", "ys").mapInArrow(run, "a long, b long")
 
     # neighbours within a bucket first
-    dealt = key_rows(classes, "node", "size").select("key", "fingerprint", "node", "size").repartition("key").sortWithinPartitions("key", "fingerprint")
-    got = stored(dealt.mapInArrow(lambda batches: neighbour_pairs(batches, radius, segments, least, REACH), PAIRS))
-    near = stored(verified(stored(sketched(got.where("a is not null").select("a", "b").distinct())), texts, rep, shingle, least))
-    if not got.where("key is not null").isEmpty():
+    found_pairs, larger = None, False
+    for low in passes:
+        dealt = key_rows(classes, low, "node", "size").select("key", "fingerprint", "node", "size").repartition("key").sortWithinPartitions("key", "fingerprint")
+        got = stored(dealt.mapInArrow(lambda batches: neighbour_pairs(batches, radius, segments, least, REACH), PAIRS))
+        larger = larger or not got.where("key is not null").isEmpty()
+        some = got.where("a is not null").select("a", "b")
+        found_pairs = some if found_pairs is None else found_pairs.unionByName(some)
+    near = joined_by(sketched(found_pairs.distinct()), None, texts, rep, shingle, least)
+    if larger:
         # then what larger buckets hold besides: where groups so far (labels) meet in one, all but the largest of them are held against all
         groups = components(near).withColumnRenamed("node", "of")
         labelled = stored(classes.join(groups, F.col("node") == F.col("of"), "left").select("node", F.coalesce("component", "node").alias("label"), "size", "fingerprints", "sketch"))
-        dealt = key_rows(labelled, "label").select("key", "label").repartition("key").sortWithinPartitions("key", "label")
-        runs = stored(dealt.mapInArrow(lambda batches: label_runs(batches, REACH + 2), "key long, label long, n long"))
+        runs = None
+        for low in passes:
+            dealt = key_rows(labelled, low, "label").select("key", "label").repartition("key").sortWithinPartitions("key", "label")
+            some = stored(dealt.mapInArrow(lambda batches: label_runs(batches, REACH + 2), "key long, label long, n long"))
+            runs = some if runs is None else runs.unionByName(some)
         mains = runs.groupBy("key").agg(F.max_by("label", F.struct("n", "label")).alias("main"))
         met = runs.join(mains, "key").where("label <> main").select(F.col("label").alias("a"), F.col("main").alias("b")).distinct()
         # groups that meet anywhere are one cluster, in which each document stands once
@@ -528,7 +563,7 @@ def _groups(texts: DataFrame, radius: int, segments: int, seeds: int, shingle: i
         both = holds.unionByName(meets).select(F.xxhash64("cluster", "i", "j").alias("group"), "held", *columns)
         dealt = both.repartition("group").sortWithinPartitions("group", "held")
         more = stored(dealt.mapInArrow(lambda batches: crossed_pairs(batches, radius, least), "a long, b long").distinct())
-        near = near.unionByName(verified(more, texts, rep, shingle, least))
+        near = joined_by(more, near, texts, rep, shingle, least)
     groups = components(near).withColumnRenamed("node", "of")
     named = stored(classes.join(groups, F.col("node") == F.col("of"), "left").select("digest", "first", F.coalesce("component", "node").alias("component")))
     firsts = named.groupBy("component").agg(F.min("first").alias("first"))
@@ -538,7 +573,7 @@ def _groups(texts: DataFrame, radius: int, segments: int, seeds: int, shingle: i
 def similar_documents(docs: DataFrame, radius: int = 3, segments: int = 8, seeds: int = 8, shingle: int = 5, least: float = 0.8, block: int = 4096, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """doc_id, component_id: the smallest doc_id that links reach. Documents link if the Jaccard similarity of their sets of `shingle` words is `least` or more; the fingerprints of any seed only lead to the pairs that are held against it.
 
-    Equal sets are one node. Candidates are first the neighbours within a bucket. Then, where groups still meet in larger
+    Equal sets are one node. Candidates are first the neighbours within a bucket, sought for a few seeds at a time. Then, where groups still meet in larger
     buckets, the documents of all but the largest are held against all of these, in blocks of `block` rows, so that a large group of
     near copies doesn't cost its pairs. Sketches of the sets drop pairs that can't be similar enough, before their sets are compared.
     """

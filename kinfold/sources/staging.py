@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,11 +23,31 @@ def shared_dir(spark: SparkSession) -> str:
     return at
 
 
+#: With it a query's shuffle files go as it ends, not when the driver's collector comes to them.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def swept(spark: SparkSession) -> Iterator[None]:
+    """Queries made and run in here drop their shuffle files as they end."""
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
+
+
 def stored(df: DataFrame) -> DataFrame:
-    """The rows, computed once, as a columnar table without lineage; later reads take single columns. It goes when the driver ends."""
+    """The rows, computed once, as a columnar table without lineage; later reads take single columns. It goes when the driver ends, the shuffles that made it at once."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/kinfold-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with swept(spark):
+        df.write.parquet(path)
+    spark._jvm.System.gc()  # what ended queries hold would otherwise stay till the heap is full
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
     at.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(at)
     return spark.read.schema(df.schema).parquet(path)

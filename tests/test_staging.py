@@ -23,3 +23,13 @@ def test_a_cluster_needs_a_shared_folder():
 def test_stored_rows_have_no_lineage(spark):
     df = staging.stored(spark.range(10).withColumnRenamed("id", "a b"))
     assert sorted(r[0] for r in df.collect()) == list(range(10)) and "Range" not in df._jdf.queryExecution().toString()
+
+
+def test_stored_rows_leave_no_shuffle_files(spark):
+    def shuffles():
+        blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks()
+        return {n for n in (blocks.apply(i).name() for i in range(blocks.size())) if n.startswith("shuffle_")}
+
+    before = shuffles()
+    df = staging.stored(spark.range(1000).repartition(3, "id"))
+    assert not shuffles() - before and df.count() == 1000 and spark.conf.get(staging.CLEANUP) == "false"
