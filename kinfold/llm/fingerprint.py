@@ -185,7 +185,8 @@ def _met(queries: DataFrame, index: DataFrame, radius: int, blocks: int, most: i
             earlier = earlier | ((F.col("entry") > t) & whole)
         return ~earlier
 
-    return asked.join(arrays, ["entry", "front"]).select("q0", "q1", F.filter(F.filter("members", near), first).alias("hits")).where(F.size("hits") > 0)
+    # sorted, not sent to all: the planner takes what is asked for as small as the queries that it is made of
+    return asked.join(arrays.hint("merge"), ["entry", "front"]).select("q0", "q1", F.filter(F.filter("members", near), first).alias("hits")).where(F.size("hits") > 0)
 
 
 def within_radius(queries: DataFrame, index: DataFrame, radius: int = 3, blocks: int = 6, most: int = 1024) -> DataFrame:

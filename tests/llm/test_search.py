@@ -311,3 +311,13 @@ def test_wide_radius_loses_no_pair_and_counts_documents(spark):
     rows = {r.doc_id: r for r in fingerprint.document_fingerprints(docs, F.col("doc_id") % 2 == 0, 15, 8).collect()}
     for i in range(len(texts)):
         assert rows[i].n_near_docs == (sum(near(i, j) for j in range(len(texts)) if j != i) if i % 2 == 0 else None)
+
+
+def test_what_is_asked_of_block_tables_is_not_broadcast(spark):
+    fps = spark.range(400).select(F.xxhash64("id").alias("f0"), F.xxhash64("id", F.lit(1)).alias("f1"))
+    found = fingerprint.within_radius(fps.limit(40), fps, radius=15, blocks=8)
+    found.collect()
+    # a query of 8 blocks of 16 bits asks for 136 values, which the planner doesn't see
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    asked = next(line for line in plan.splitlines() if "Join [entry" in line)
+    assert "SortMergeJoin" in asked
