@@ -17,6 +17,10 @@ from .keys import V1, Blocking, blocking_keys, token_vocabulary
 from .preprocess import DERIVED, preprocess
 
 
+#: Pairs of keys' matches that a task adds up.
+PAIRS = 1 << 21
+
+
 def source_of(entity_id: Column) -> Column:
     return F.when(entity_id.startswith("S2"), "S2").when(entity_id.startswith("S3"), "S3").otherwise("other")
 
@@ -79,13 +83,16 @@ def score_pairs(queries: DataFrame, keys: DataFrame, config: Blocking = V1, voca
     found = postings(keys, config)
     if config.profile != "v1":
         asked, found = stored(asked), stored(found)  # read for the discounts, then for the pairs
-    met = asked.join(found, "key")
-    if config.profile != "v1":
-        met = met.join(discounts(found.join(asked.select("key").distinct(), "key", "left_semi"), config, vocabulary), ["key", "length"])
-        each = weight * F.col("asked") * F.col("times") * F.col("discount")
-    else:
-        each = weight * F.col("asked") * F.col("times")
-    return met.groupBy("s1_id", "candidate_id").agg(F.sum(each.cast("double")).alias("score"))
+    if config.profile == "v1":
+        return asked.join(found, "key").groupBy("s1_id", "candidate_id").agg(F.sum((weight * F.col("asked") * F.col("times")).cast("double")).alias("score"))
+    # a key's records, at most `cap`, are one array; pairs are made where their S1 record is, so arrays are dealt, once, and no pairs
+    lists = found.groupBy("key").agg(F.first("length").alias("length"), F.collect_list(F.struct("candidate_id", "times")).alias("members"))
+    discount = discounts(found.join(asked.select("key").distinct(), "key", "left_semi"), config, vocabulary)
+    n = asked.join(found.select("key", "length").distinct(), "key").agg(F.sum("length")).first()[0] or 0
+    parts = max(int(asked.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-n // PAIRS))
+    met = asked.join(lists, "key").join(discount, ["key", "length"]).select("s1_id", (weight * F.col("asked") * F.col("discount")).cast("double").alias("each"), "members")
+    pairs = met.repartition(parts, "s1_id").select("s1_id", "each", F.inline("members"))
+    return pairs.groupBy("s1_id", "candidate_id").agg(F.sum(F.col("each") * F.col("times")).alias("score"))
 
 
 def best(pairs: DataFrame, top_k: int) -> DataFrame:

@@ -232,3 +232,15 @@ def test_entry_point(spark):
 
     assert entry.entry(spark).columns == ["s1_id", "candidate_id", "score", "rnk"]
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_pairs_of_common_keys_are_not_dealt(spark):
+    rows = [(f"S1-{i}", "B", f"b_tok:{i % 3}", 0) for i in range(60)]
+    queries = spark.createDataFrame(rows, "entity_id string, tag string, key string, pos int")
+    pool = spark.createDataFrame([(f"S2-{i}", "B", f"b_tok:{i % 3}", 0) for i in range(300)] + [("S3-0", "B", "b_tok:0", 1)] * 2, queries.schema)
+    found = blocking.score_pairs(queries, pool, keys.V2)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert not [line for line in plan.splitlines() if "Exchange hashpartitioning(s1_id" in line and "candidate_id" in line]
+    got = {(r.s1_id, r.candidate_id): r.score for r in found.collect()}
+    assert len(got) == 20 * 101 + 40 * 100
+    assert len(set(got.values())) <= 3 and got["S1-0", "S3-0"] == pytest.approx(2 * got["S1-0", "S2-0"])
