@@ -36,6 +36,22 @@ def test_components(spark):
     assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_few_links_cost_two_tables_and_more_take_stars(spark, monkeypatch):
+    """A round of stars has some ten stages of all shuffle partitions: the driver's memory and event log are theirs."""
+    rng, made = random.Random(5), []
+    monkeypatch.setattr(components, "stored", lambda df, real=components.stored: made.append(df) or real(df))
+    links = [(rng.randrange(300), rng.randrange(300)) for _ in range(220)] + [(b, a) for a, b in zip(range(300, 360), range(301, 361))] + [(5, 5), (None, 3)]
+    df = spark.createDataFrame([*links, *links[:50]], "a int, b int")
+    few = components.components(df)
+    assert len(made) == 2 and few.schema.simpleString() == "struct<node:int,component:int>"
+    many = components.components(df, alone=20)
+    assert len(made) > 4
+    want = union_find(361, [x for x in links if None not in x])
+    touched = {x for a, b in links if None not in (a, b) and a != b for x in (a, b)}
+    for found in (few, many):
+        assert sorted(map(tuple, found.collect())) == sorted((x, want[x]) for x in touched)
+
+
 def brute_fingerprint(text, width):
     lowered = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
     words, word = [], ""
