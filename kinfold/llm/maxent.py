@@ -107,6 +107,17 @@ def _mixed(step: np.ndarray, kind: int, one: np.ndarray, two: np.ndarray | None
     return x >> np.uint64(33)
 
 
+def _row_sums(x: np.ndarray) -> np.ndarray:
+    return x @ np.ones(x.shape[1], x.dtype)
+
+
+def _add_runs(row: np.ndarray, x: np.ndarray, sums: np.ndarray) -> None:
+    """Adds rows of x to the rows of sums that row has, in order. Two numbers are added at a time, as a complex one."""
+    pairs = np.complex64 if x.dtype == np.float32 else np.complex128
+    first = np.flatnonzero(np.concatenate(([True], row[1:] != row[:-1])))
+    sums[row[first]] += np.add.reduceat(x.view(pairs), first, axis=0).view(x.dtype)
+
+
 @dataclass
 class Model:
     """weights: rows of WIDTH. Row 0 is the class step's bias, row 1 + c that of class c's step; then come the hashed rows."""
@@ -147,40 +158,88 @@ class Model:
             scores -= scores.max(axis=1, keepdims=True)
         return scores, np.exp(scores)
 
+    def contexts(self, step: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of the member step: the hashed row and step of each pair that occurs, in their order, how often it does, and for each token which pair is its own."""
+        first, width = WIDTH + 1, WIDTH * (len(self.weights) - WIDTH - 1)
+        key = (row - first) * np.int64(WIDTH) + (step - 1)
+        if width > max(8 * len(key), 1 << 20):  # a table of all pairs would be mostly empty
+            pairs, own, times = np.unique(key, return_inverse=True, return_counts=True)
+        else:
+            counts = np.bincount(key, minlength=width)
+            pairs = np.flatnonzero(counts)
+            times, place = counts[pairs], np.empty(width, np.int32)
+            place[pairs] = np.arange(len(pairs), dtype=np.int32)
+            own = place[key]
+        return np.stack((1 + pairs % WIDTH, first + pairs // WIDTH)), times, own
+
     def score(self, place: np.ndarray, before: np.ndarray, last: np.ndarray) -> np.ndarray:
         """Log-probability of each place."""
         out, plain = np.empty(len(place)), self.plain()
+        (own, hashed), pairs = [np.empty(len(place), np.int32) for _ in range(2)], place // WIDTH
         for at in range(0, len(place), CHUNK):
-            p = place[at : at + CHUNK]
-            n, total = np.arange(len(p)), 0.0
-            for rows, seen in zip(self.rows(p, before[at : at + CHUNK], last[at : at + CHUNK]), (p // WIDTH, p % WIDTH)):
-                scores, powers = self.scores(rows, plain)
-                total = total + scores[n, seen].astype(float) - np.log(powers.sum(axis=1).astype(float))
-            out[at : at + CHUNK] = total
-        return out
+            cut = slice(at, at + CHUNK)
+            p = place[cut]
+            n = np.arange(len(p))
+            rows, (own[cut], hashed[cut]) = self.rows(p, before[cut], last[cut])
+            scores, powers = self.scores(rows, plain)
+            out[cut] = scores[n, pairs[cut]].astype(float) - np.log(_row_sums(powers).astype(float))
+        # a member step's scores depend on the class and the token before only, so each pair of them is worked out once
+        pairs, _, which = self.contexts(own, hashed)
+        total = np.empty(pairs.shape[1])
+        for at in range(0, len(total), CHUNK):
+            total[at : at + CHUNK] = self.totals(pairs[:, at : at + CHUNK], plain)[1]
+        seen = place % WIDTH
+        return out + self.weights[own, seen] + self.weights[hashed, seen] - total[which]
+
+    def totals(self, rows: np.ndarray, plain: bool) -> tuple[np.ndarray, np.ndarray]:
+        """A step's probabilities, and the logarithms of the sums that they were divided by."""
+        scores = self.weights.take(rows[0], axis=0)
+        for r in rows[1:]:
+            scores += self.weights.take(r, axis=0)
+        most = 0.0
+        if not plain:
+            most = scores.max(axis=1)
+            scores -= most[:, None]
+        powers = np.exp(scores, out=scores)
+        whole = _row_sums(powers)
+        powers *= (1 / whole)[:, None]
+        return powers, np.log(whole.astype(float)) + most
 
     def gradient(self, place: np.ndarray, before: np.ndarray, last: np.ndarray, sums: np.ndarray, active: np.ndarray) -> float:
         """Adds to sums what was observed less what is expected, by row, and to active how often a row was; gives the log-likelihood."""
-        value, plain = 0.0, self.plain()
+        value, plain, first = 0.0, self.plain(), WIDTH + 1
+        own, hashed = [np.empty(len(place), np.int32) for _ in range(2)]
         for at in range(0, len(place), LARGE):
-            p = place[at : at + LARGE]
-            n = np.arange(len(p))
-            for rows, seen in zip(self.rows(p, before[at : at + LARGE], last[at : at + LARGE]), (p // WIDTH, p % WIDTH)):
-                scores, off = self.scores(rows, plain)
-                whole = off.sum(axis=1)
-                value += float(scores[n, seen].sum(dtype=float) - np.log(whole).sum(dtype=float))
-                off *= (-1 / whole)[:, None]
-                off[n, seen] += 1
-                for r in rows:
-                    if not r.any():  # the class step's bias
-                        sums[0] += off.sum(axis=0)
-                        active[0] += len(r)
-                        continue
-                    order = np.argsort(r.astype(np.uint16) if len(self.weights) <= 1 << 16 else r, kind="stable")
-                    ordered = r[order]
-                    first = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
-                    sums[ordered[first]] += np.add.reduceat(off.take(order, axis=0), first, axis=0)
-                    active[ordered[first]] += np.diff(np.append(first, len(r)))
+            cut = slice(at, at + LARGE)
+            p = place[cut]
+            n, seen = np.arange(len(p)), p // WIDTH
+            rows, (own[cut], hashed[cut]) = self.rows(p, before[cut], last[cut])
+            scores, off = self.scores(rows, plain)
+            whole = _row_sums(off)
+            value += float(scores[n, seen].sum(dtype=float) - np.log(whole).sum(dtype=float))
+            off *= (-1 / whole)[:, None]
+            off[n, seen] += 1
+            sums[0] += np.ones(len(p), off.dtype) @ off
+            active[0] += len(p)
+            for r in rows[1:]:
+                order = np.argsort(r.astype(np.uint16) if len(self.weights) <= 1 << 16 else r, kind="stable")
+                _add_runs(r[order], off.take(order, axis=0), sums)
+                active[first:] += np.bincount(r - first, minlength=len(active) - first)
+        # the member step: what was observed is counted; what is expected depends on the class and the token before only
+        seen = place % WIDTH
+        value += float(self.weights[own, seen].sum(dtype=float) + self.weights[hashed, seen].sum(dtype=float))
+        sums[1:first] += np.bincount(place, minlength=WIDTH * WIDTH).reshape(WIDTH, WIDTH)
+        sums[first:] += np.bincount((hashed - first) * np.int64(WIDTH) + seen, minlength=sums[first:].size).reshape(-1, WIDTH)
+        active[1:first] += np.bincount(own - 1, minlength=WIDTH)
+        active[first:] += np.bincount(hashed - first, minlength=len(active) - first)
+        pairs, times, _ = self.contexts(own, hashed)
+        for at in range(0, len(times), LARGE):
+            rows, n = pairs[:, at : at + LARGE], times[at : at + LARGE]
+            expected, total = self.totals(rows, plain)
+            value -= float(n @ total)
+            expected *= -n.astype(expected.dtype)[:, None]
+            sums[1:first] += np.eye(WIDTH, dtype=expected.dtype)[rows[0] - 1].T @ expected
+            _add_runs(rows[1], expected, sums)
         return value
 
     def step(self, sums: np.ndarray, active: np.ndarray) -> None:

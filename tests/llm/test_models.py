@@ -111,6 +111,18 @@ def test_language_model_gradient_is_that_of_the_likelihood():
         assert abs((up - value) / 1e-5 - sums[r, k]) < 1e-2
 
 
+def test_language_model_member_step_is_worked_out_once_a_history(monkeypatch):
+    """By the class and the token before, whose scores are the same wherever they occur; with a table of all pairs and without."""
+    rng, seen = np.random.default_rng(13), []
+    monkeypatch.setattr(maxent.Model, "totals", lambda self, rows, plain, real=maxent.Model.totals: seen.append(rows.shape[1]) or real(self, rows, plain))
+    for buckets in (16, 1 << 16):
+        model = maxent.Model(rng.normal(size=(maxent.WIDTH + 1 + buckets, maxent.WIDTH)).astype(np.float64))
+        place, before, last = rng.integers(0, 3 * maxent.WIDTH, 4000), *(rng.integers(0, 5, 4000).astype(np.uint64) for _ in range(2))
+        seen.clear()
+        value = model.gradient(place, before, last, np.zeros_like(model.weights), np.zeros(len(model.weights), np.int64))
+        assert sum(seen) <= 15 and abs(value - model.score(place, before, last).sum()) < 1e-6 and sum(seen) <= 30
+
+
 def test_language_model_is_a_distribution():
     """Over all places, after any history."""
     rng = np.random.default_rng(2)
