@@ -2,11 +2,13 @@
 
 P(token | history) = P(class | history) * P(member | class, history): two softmax steps of `WIDTH` each. The commonest
 tokens are members of their own, in classes by rank; the members of the last class are groups of all other
-tokens, by their endings. In a group a token has its count plus one, and one more place is kept for what
+tokens, by their endings. A group's commonest tokens are places of two steps more (`Deep`): of classes within the group, the last of which is
+for the rest, and of members. In the rest a token has its count plus one, and one more place is kept for what
 training has not seen, so the model is a proper distribution, and any token has its place in it, known or not.
 
 Features of a history are those of the tokens themselves: the one before (bigram) and, for the class, the one before that (skip) and
-both together (trigram), each with the step it is for hashed into a row of a table of weights; and each step has a bias.
+both together (trigram), each with the step it is for hashed into a row of a table of weights; and each step has a bias. The steps
+within groups have a table of their own.
 Weights start from the tokens' shares (the biases) and zeros. Training goes over the documents in `rounds` mini-batches,
 each document in one. In a round every partition sums the gradient over its documents of the batch, by row of the table; the sums
 meet in a shuffle, and the driver, which holds the table, takes a step scaled by how often a row was active.
@@ -44,6 +46,8 @@ END = ""
 LOG10 = math.log(10)
 #: Choices of a softmax step; tokens that are worked on together in scoring, and in training.
 WIDTH, CHUNK, LARGE = 32, 1 << 14, 1 << 16
+#: Tokens that can have a place of their own: by themselves, and in groups.
+OWN = WIDTH * (WIDTH - 1) * (1 + WIDTH)
 #: Share of a row's own step, for a score is the sum of several rows; counts that a row starts from.
 STEP, PRIOR = 1 / 3, 2.0
 
@@ -54,13 +58,24 @@ def tokens(text: str | None) -> list[bytes]:
 
 
 class Classes:
-    """Places of tokens: class * WIDTH + member. own: tokens with a place of their own, the commonest first; endings: groups of the others in the last class, whose last member is for the rest."""
+    """Places of tokens: class * WIDTH + member. own: tokens with a place of their own, the commonest first; endings: groups of the others in the last class, whose last member is for the rest. within: more tokens, the commonest first, of which `room` get places within their groups as long as those have any."""
 
-    def __init__(self, own: list[str], endings: list[str], width: int = 2):
+    def __init__(self, own: list[str], endings: list[str], width: int = 2, within: Iterable[str] = (), room: int = 0):
         self.own, self.endings, self.width = own[: WIDTH * (WIDTH - 1)], endings[: WIDTH - 1], width
         self.places = {w.encode(): i for i, w in enumerate(self.own)}
         self.groups = {e: WIDTH * (WIDTH - 1) + i for i, e in enumerate(self.endings)}
         self.other = WIDTH * WIDTH - 1
+        self.within, used = {}, Counter()
+        for word in map(str.encode, within):
+            place = self.group_of(word)
+            if used[place] < WIDTH * (WIDTH - 1) and len(self.within) < room:
+                self.within[word] = used[place]
+                used[place] += 1
+
+    def path(self, word: bytes) -> int:
+        """of(), and times WIDTH * WIDTH the place within the group; that of the last class there is for tokens without one."""
+        place = self.of(word)
+        return place if place < WIDTH * (WIDTH - 1) else place + WIDTH * WIDTH * self.within.get(word, WIDTH * (WIDTH - 1))
 
     def group_of(self, word: bytes) -> int:
         return self.groups.get(word.decode()[-self.width :], self.other)
@@ -107,6 +122,26 @@ def _mixed(step: np.ndarray, kind: int, one: np.ndarray, two: np.ndarray | None
     return x >> np.uint64(33)
 
 
+def contexts(step: np.ndarray, row: np.ndarray, steps: int, rows: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The pairs of step and row that occur, in the order of their rows, how often they do, and for each token which pair is its own."""
+    key, width = row * np.int64(steps) + step, steps * rows
+    if width > max(8 * len(key), 1 << 20):  # a table of all pairs would be mostly empty
+        pairs, own, times = np.unique(key, return_inverse=True, return_counts=True)
+    else:
+        counts = np.bincount(key, minlength=width)
+        pairs = np.flatnonzero(counts)
+        times, place = counts[pairs], np.empty(width, np.int32)
+        place[pairs] = np.arange(len(pairs), dtype=np.int32)
+        own = place[key]
+    return np.stack((pairs % steps, pairs // steps)), times, own
+
+
+def _hashed(buckets: int, *x) -> np.ndarray:
+    found = _mixed(*x)
+    found = found & np.uint64(buckets - 1) if buckets & (buckets - 1) == 0 else found % np.uint64(buckets)
+    return found.astype(np.int32)
+
+
 def _row_sums(x: np.ndarray) -> np.ndarray:
     return x @ np.ones(x.shape[1], x.dtype)
 
@@ -138,9 +173,7 @@ class Model:
         top, own = np.zeros(len(place), np.int32), (1 + place // WIDTH).astype(np.int32)
 
         def hashed(*x) -> np.ndarray:
-            found = _mixed(*x)
-            found = found & np.uint64(buckets - 1) if buckets & (buckets - 1) == 0 else found % np.uint64(buckets)
-            return found.astype(np.int32) + first
+            return _hashed(buckets, *x) + first
 
         return [top, hashed(top, 1, last), hashed(top, 2, before), hashed(top, 3, last, before)], [own, hashed(own, 1, last)]
 
@@ -158,20 +191,6 @@ class Model:
             scores -= scores.max(axis=1, keepdims=True)
         return scores, np.exp(scores)
 
-    def contexts(self, step: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Of the member step: the hashed row and step of each pair that occurs, in their order, how often it does, and for each token which pair is its own."""
-        first, width = WIDTH + 1, WIDTH * (len(self.weights) - WIDTH - 1)
-        key = (row - first) * np.int64(WIDTH) + (step - 1)
-        if width > max(8 * len(key), 1 << 20):  # a table of all pairs would be mostly empty
-            pairs, own, times = np.unique(key, return_inverse=True, return_counts=True)
-        else:
-            counts = np.bincount(key, minlength=width)
-            pairs = np.flatnonzero(counts)
-            times, place = counts[pairs], np.empty(width, np.int32)
-            place[pairs] = np.arange(len(pairs), dtype=np.int32)
-            own = place[key]
-        return np.stack((1 + pairs % WIDTH, first + pairs // WIDTH)), times, own
-
     def score(self, place: np.ndarray, before: np.ndarray, last: np.ndarray) -> np.ndarray:
         """Log-probability of each place."""
         out, plain = np.empty(len(place)), self.plain()
@@ -184,7 +203,9 @@ class Model:
             scores, powers = self.scores(rows, plain)
             out[cut] = scores[n, pairs[cut]].astype(float) - np.log(_row_sums(powers).astype(float))
         # a member step's scores depend on the class and the token before only, so each pair of them is worked out once
-        pairs, _, which = self.contexts(own, hashed)
+        first = WIDTH + 1
+        pairs, _, which = contexts(own - 1, hashed - first, WIDTH, len(self.weights) - first)
+        pairs += np.array([[1], [first]])
         total = np.empty(pairs.shape[1])
         for at in range(0, len(total), CHUNK):
             total[at : at + CHUNK] = self.totals(pairs[:, at : at + CHUNK], plain)[1]
@@ -232,7 +253,8 @@ class Model:
         sums[first:] += np.bincount((hashed - first) * np.int64(WIDTH) + seen, minlength=sums[first:].size).reshape(-1, WIDTH)
         active[1:first] += np.bincount(own - 1, minlength=WIDTH)
         active[first:] += np.bincount(hashed - first, minlength=len(active) - first)
-        pairs, times, _ = self.contexts(own, hashed)
+        pairs, times, _ = contexts(own - 1, hashed - first, WIDTH, len(self.weights) - first)
+        pairs += np.array([[1], [first]])
         for at in range(0, len(times), LARGE):
             rows, n = pairs[:, at : at + LARGE], times[at : at + LARGE]
             expected, total = self.totals(rows, plain)
@@ -251,8 +273,84 @@ class Model:
         self.weights += (STEP * sums / (expected + 0.5 * np.abs(sums) + PRIOR)).astype(np.float32)
 
 
+class Deep(Model):
+    """The steps within groups: weights begin with the biases of each group's classes, then of each class's members; then come the hashed rows, by step and the token before."""
+
+    BIASES = WIDTH + WIDTH * WIDTH
+
+    @classmethod
+    def new(cls, buckets: int, shares: np.ndarray) -> Deep:
+        """shares: by group and place in it; those of the last class are all of the rest."""
+        shares = shares.reshape(WIDTH, WIDTH, WIDTH)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            bias = np.log(np.concatenate((shares.sum(2), shares.reshape(-1, WIDTH))))
+        return cls(np.concatenate((np.maximum(np.where(np.isnan(bias), -1e4, bias), -1e4), np.zeros((buckets, WIDTH)))).astype(np.float32))
+
+    def plain(self) -> bool:
+        return False
+
+    def steps(self, path: np.ndarray, last: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+        """Of each step: which tokens take it, its bias, hashed row and choice; and the number of its biases, the first of them."""
+        buckets = len(self.weights) - self.BIASES
+        inside = np.flatnonzero((path & (WIDTH * WIDTH - 1)) >= WIDTH * (WIDTH - 1))
+        group, place = path[inside] & (WIDTH - 1), path[inside] // (WIDTH * WIDTH)
+        yield inside, group, _hashed(buckets, group, 4, last[inside]), place // WIDTH, WIDTH, 0
+        own = place < WIDTH * (WIDTH - 1)
+        inside, node, choice = inside[own], group[own] * WIDTH + place[own] // WIDTH, place[own] % WIDTH
+        yield inside, node, _hashed(buckets, node, 5, last[inside]), choice, WIDTH * WIDTH, WIDTH
+
+    def score(self, path: np.ndarray, last: np.ndarray) -> np.ndarray:
+        """Log-probability of each place within its group; 0 of tokens in none."""
+        out, weights = np.zeros(len(path)), self.weights
+        for which, step, row, choice, steps, first in self.steps(path, last):
+            pairs, own = (first + step, self.BIASES + row), slice(None)
+            if steps == WIDTH:  # of members few histories come twice
+                pairs, _, own = contexts(step, row, steps, len(weights) - self.BIASES)
+                pairs += np.array([[first], [self.BIASES]])
+            total = np.empty(len(pairs[0]))
+            for at in range(0, len(total), CHUNK):
+                total[at : at + CHUNK] = self.totals([x[at : at + CHUNK] for x in pairs], False)[1]
+            out[which] += weights[first + step, choice] + weights[self.BIASES + row, choice] - total[own]
+        return out
+
+    def gradient(self, path: np.ndarray, last: np.ndarray, sums: np.ndarray, active: np.ndarray) -> float:
+        """As Model's."""
+        value, weights = 0.0, self.weights
+        for which, step, row, choice, steps, first in self.steps(path, last):
+            if not len(which):
+                continue
+            for r in (first + step, self.BIASES + row):
+                value += float(weights[r, choice].sum(dtype=float))
+                low, high = int(r.min()), int(r.max()) + 1
+                active[low:high] += np.bincount(r - low, minlength=high - low)
+                sums[low:high] += np.bincount((r - low) * np.int64(WIDTH) + choice, minlength=(high - low) * WIDTH).reshape(-1, WIDTH)
+            if steps == WIDTH:
+                pairs, times, _ = contexts(step, row, steps, len(weights) - self.BIASES)
+                pairs += np.array([[first], [self.BIASES]])
+            else:
+                order = np.argsort(row.astype(np.uint16) if len(weights) <= 1 << 16 else row, kind="stable")
+                pairs, times = np.stack((first + step[order], self.BIASES + row[order])), np.ones(len(order))
+            for at in range(0, len(times), LARGE):
+                rows, n = pairs[:, at : at + LARGE], times[at : at + LARGE]
+                expected, total = self.totals(rows, False)
+                value -= float(n @ total)
+                expected *= -n.astype(expected.dtype)[:, None]
+                order = np.argsort(rows[0].astype(np.uint16), kind="stable")
+                _add_runs(rows[0][order], expected.take(order, axis=0), sums)
+                _add_runs(rows[1], expected, sums)
+        return value
+
+    def step(self, sums: np.ndarray, active: np.ndarray) -> None:
+        bias = self.weights[: self.BIASES]
+        share = np.exp(bias - bias.max(1, keepdims=True))
+        share /= share.sum(1, keepdims=True)
+        expected = np.repeat(active[:, None] / WIDTH, WIDTH, axis=1)
+        expected[: self.BIASES] = active[: self.BIASES, None] * share
+        self.weights += (STEP * sums / (expected + 0.5 * np.abs(sums) + PRIOR)).astype(np.float32)
+
+
 class Encoder(dict):
-    """Numbers of words; by number their place, their hash and the logarithm of their count plus one (-1 for those that aren't in top)."""
+    """Numbers of words; by number their path, their hash and the logarithm of their count plus one (-1 for those that aren't in top)."""
 
     BOUND, HELD = 400_000, 1 << 25
 
@@ -269,39 +367,43 @@ class Encoder(dict):
         number = self[word] = len(self)
         self.held += len(word)
         self.words.append(word)
-        self.known.append((zlib.crc32(word) + 1) << 16 | self.classes.of(word))
+        self.known.append((zlib.crc32(word) + 1) << 24 | self.classes.path(word))
         self.gains.append(math.log10(self.top[word] + 1) if word in self.top else -1.0)
         return number
 
     def encode(self, texts: list[list[bytes]]) -> tuple[np.ndarray, ...]:
-        """Of texts one after another: places, hashes of the token before the last and of the last one (0 where there is none), gains, numbers, and where texts begin. Empties itself between calls, so that memory stays level."""
+        """Of texts one after another: paths, hashes of the token before the last and of the last one (0 where there is none), gains, numbers, and where texts begin. Empties itself between calls, so that memory stays level."""
         if len(self) > self.BOUND or self.held > self.HELD:
             self.reset()
         lengths = np.fromiter(map(len, texts), np.int64, len(texts))
         numbers = np.fromiter(map(self.__getitem__, chain.from_iterable(texts)), np.int64, lengths.sum())
         both = np.frombuffer(self.known, np.int64)[numbers]
         gains = np.frombuffer(self.gains, float)[numbers]
-        hashes, starts = (both >> 16).astype(np.uint64), np.cumsum(lengths) - lengths
+        hashes, starts = (both >> 24).astype(np.uint64), np.cumsum(lengths) - lengths
         last, before = np.zeros_like(hashes), np.zeros_like(hashes)
         last[1:], before[2:] = hashes[:-1], hashes[:-2]
         last[starts] = before[starts] = 0
         before[starts[lengths > 1] + 1] = 0
-        return both & 0xFFFF, before, last, gains, numbers, starts
+        return both & 0xFFFFFF, before, last, gains, numbers, starts
 
 
-def train(docs: DataFrame, classes: Classes, model: Model, rounds: int) -> list[float]:
-    """docs: doc_id, text. Updates the model; gives each round's mean log-likelihood of a token, over documents that it had not yet learnt from."""
+def train(docs: DataFrame, classes: Classes, model: Model, deep: Deep | None, rounds: int) -> list[float]:
+    """docs: doc_id, text. Updates the model and, if there is one, deep, whose rows come after the model's; gives each round's mean log-likelihood of a token, over documents that it had not yet learnt from."""
     spark, likelihood = docs.sparkSession, []
+    split = len(model.weights)
+    whole = split + (len(deep.weights) if deep else 0)
     for done in range(rounds):
-        state = spark.sparkContext.broadcast((classes, model))
+        state = spark.sparkContext.broadcast((classes, model, deep))
 
         def sums_of(batches: Iterable[pa.RecordBatch], state=state) -> Iterator[pa.RecordBatch]:
-            classes, model = state.value
+            classes, model, deep = state.value
             encoder = Encoder(classes)
-            sums, active, total = np.zeros_like(model.weights), np.zeros(len(model.weights), np.int64), 0.0
+            sums, active, total = np.zeros((whole, WIDTH), np.float32), np.zeros(whole, np.int64), 0.0
             for batch in text_slices(batches):
-                place, before, last, *_ = encoder.encode([tokens(t) for t in batch.column(0).to_pylist()])
-                total += model.gradient(place, before, last, sums, active)
+                path, before, last, *_ = encoder.encode([tokens(t) for t in batch.column(0).to_pylist()])
+                total += model.gradient(path & (WIDTH * WIDTH - 1), before, last, sums[:split], active[:split])
+                if deep:
+                    total += deep.gradient(path, last, sums[split:], active[split:])
             row = np.flatnonzero(active)
             if len(row):
                 yield pa.RecordBatch.from_arrays([pa.array(row.astype(np.int32)), pa.array([x.tobytes() for x in sums[row]], pa.binary()), pa.array(active[row]), pa.array(np.where(row == 0, total, 0.0))], names=["row", "sums", "active", "total"])
@@ -325,16 +427,18 @@ def train(docs: DataFrame, classes: Classes, model: Model, rounds: int) -> list[
         state.unpersist()
         if not got.num_rows:
             continue
-        sums, active, row = np.zeros_like(model.weights), np.zeros(len(model.weights), np.int64), got["row"].to_numpy()
+        sums, active, row = np.zeros((whole, WIDTH), np.float32), np.zeros(whole, np.int64), got["row"].to_numpy()
         sums[row], active[row] = np.frombuffer(b"".join(got["sums"].to_pylist()), np.float32).reshape(-1, WIDTH), got["active"].to_numpy()
         likelihood.append(float(got["total"].to_numpy().sum()) / float(active[0]))
-        model.step(sums, active)
+        model.step(sums[:split], active[:split])
+        if deep:
+            deep.step(sums[split:], active[split:])
     return likelihood
 
 
 @dataclass
 class Language:
-    """What training gives. counts: token, c (a table); top: counts of the most common tokens; sizes: by place of a group, its tokens' counts and their number."""
+    """What training gives. counts: token, c (a table); top: counts of the most common tokens; sizes: by place of a group, the counts and the number of its tokens without a place of their own."""
 
     counts: DataFrame
     n: int
@@ -344,9 +448,10 @@ class Language:
     sizes: dict[int, int]
     model: Model
     likelihood: list[float]
+    deep: Deep | None = None
 
 
-def fit(training: DataFrame, common: int = 1 << 18, own: int = WIDTH * (WIDTH - 1), width: int = 2, buckets: int = 1 << 14, rounds: int = 4) -> Language:
+def fit(training: DataFrame, common: int = 1 << 18, own: int = OWN, width: int = 2, buckets: int = 1 << 14, rounds: int = 4) -> Language:
     """training: doc_id, text.
 
     common, own, buckets bound what tasks and driver hold: tokens with their counts, tokens with a place of their own, hashed rows."""
@@ -371,18 +476,28 @@ def fit(training: DataFrame, common: int = 1 << 18, own: int = WIDTH * (WIDTH -
     names = counts.sparkSession.createDataFrame([(w,) for w in own_words], "token string")
     rest = counts.join(F.broadcast(names), "token", "left_anti")
     endings = rest.groupBy(F.right("token", F.lit(width)).alias("ending")).agg(F.sum("c").alias("c")).orderBy(F.desc("c"), "ending").limit(WIDTH - 1).collect()
-    classes = Classes(own_words, [r.ending for r in endings], width)
+    taken = set(own_words)
+    classes = Classes(own_words, [r.ending for r in endings], width, (w for w in order if w not in taken), max(0, own - WIDTH * (WIDTH - 1)))
     sizes = {r.place: r.n + r.v for r in rest.groupBy(classes.group_column(F.col("token")).alias("place")).agg(F.sum("c").alias("n"), F.count("*").alias("v")).collect()}
+    inside = np.zeros((WIDTH, WIDTH * WIDTH))  # by group; the rest of a group follows its own places
+    for w, at in classes.within.items():
+        place, c = classes.group_of(w), top[w.decode()]
+        inside[place % WIDTH, at] = c
+        sizes[place] -= c + 1
+    sizes = {place: n for place, n in sizes.items() if n}
     shares = np.zeros(WIDTH * WIDTH)
     shares[: len(own_words)] = [top[w] for w in own_words]
     for place in range(WIDTH * (WIDTH - 1), WIDTH * WIDTH):  # a group has a place for what is unknown
-        shares[place] = sizes.get(place, 0) + 1 if place in sizes or place == classes.other else 0
+        others, own_places = sizes.get(place, 0), inside[place % WIDTH].sum()
+        shares[place] = others + own_places + 1 if others or own_places or place == classes.other else 0
+        inside[place % WIDTH, WIDTH * (WIDTH - 1)] = others + 1
     model = Model.new(buckets, shares / shares.sum())
-    likelihood = train(training, classes, model, rounds)
-    return Language(counts, n, v, {w.encode(): c for w, c in top.items()}, classes, sizes, model, likelihood)
+    deep = Deep.new(buckets, inside / inside.sum(1, keepdims=True)) if classes.within else None
+    likelihood = train(training, classes, model, deep, rounds)
+    return Language(counts, n, v, {w.encode(): c for w, c in top.items()}, classes, sizes, model, likelihood, deep)
 
 
-def score(docs: DataFrame, held_out: Column, common: int = 1 << 18, own: int = WIDTH * (WIDTH - 1), width: int = 2, buckets: int = 1 << 14, rounds: int = 4, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def score(docs: DataFrame, held_out: Column, common: int = 1 << 18, own: int = OWN, width: int = 2, buckets: int = 1 << 14, rounds: int = 4, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score (log10). held_out: a condition on doc_id; the other rows are learnt from."""
     kept = docs.select(docs[id_column].alias("doc_id"), docs[text_column].cast("string").alias("text"))
     language = fit(kept.where(~F.coalesce(held_out, F.lit(True))), common, own, width, buckets, rounds)
@@ -393,10 +508,10 @@ def score_with(kept: DataFrame, language: Language, held_out: Column) -> DataFra
     """kept: doc_id, text. The result of score()."""
     n, v = language.n, language.v
     base_total = math.log10(n + v + 1)
-    sent = kept.sparkSession.sparkContext.broadcast((language.top, language.classes, language.sizes, language.model))
+    sent = kept.sparkSession.sparkContext.broadcast((language.top, language.classes, language.sizes, language.model, language.deep))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        top, classes, sizes, model = sent.value
+        top, classes, sizes, model, deep = sent.value
         encoder, part, row = Encoder(classes, top), TaskContext.get().partitionId() << 40, 0
         groups = np.zeros(WIDTH * WIDTH)
         for place in range(WIDTH * (WIDTH - 1), WIDTH * WIDTH):
@@ -405,11 +520,15 @@ def score_with(kept: DataFrame, language: Language, held_out: Column) -> DataFra
         for batch in text_slices(batches):
             found = [tokens(t) for t in batch.column(1).to_pylist()]
             lengths = np.array([len(f) for f in found])
-            place, before, last, gain, numbers, ends = encoder.encode(found)
-            rare, grouped = gain < 0, place >= in_group
+            path, before, last, gain, numbers, ends = encoder.encode(found)
+            place = path & (WIDTH * WIDTH - 1)
+            rare, grouped = gain < 0, path >= in_group * (1 + WIDTH * WIDTH)
             gain[rare] = 0
-            # of a group's token: its share; the count of a rare one comes by the join
-            logs = model.score(place, before, last) / LOG10 + np.where(grouped, gain - groups[place], 0.0)
+            # of a token in a group's rest: its share there; the count of a rare one comes by the join
+            logs = model.score(place, before, last)
+            if deep:
+                logs += deep.score(path, last)
+            logs = logs / LOG10 + np.where(grouped, gain - groups[place], 0.0)
             total = lambda x: np.add.reduceat(x, ends)
             n_rare = total(rare.astype(np.int64))
             rows = part + row + np.arange(len(found))

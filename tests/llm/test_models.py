@@ -136,6 +136,57 @@ def test_language_model_is_a_distribution():
     assert [classes.of(w) for w in (b"", b"a", b"b", b"sing", b"led", b"zz")] == [0, 1, 2, last, last + 1, maxent.WIDTH**2 - 1]
 
 
+def test_language_model_gives_group_tokens_places_too(spark):
+    """By default all tokens have one until their group is full; against plain loops, and with the rest a distribution."""
+    rng = random.Random(41)
+    words = [f"w{i}{end}" for i in range(700) for end in ("ed", "ng", "x", "ü")]
+    texts = [" ".join(rng.choices(words, [1 / (i + 3) for i in range(len(words))], k=60)) for _ in range(150)] + ["never seen w1ed words", ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    fitted, width = docs.where("doc_id < 150"), maxent.WIDTH
+    language = maxent.fit(fitted, buckets=256, rounds=2)
+    classes, deep, counts = language.classes, language.deep, {r.token.encode(): r.c for r in language.counts.collect()}
+    assert len(counts) > 1400 and set(classes.places) | set(classes.within) == set(counts) and not language.sizes
+    few = maxent.fit(fitted, own=1200, buckets=256, rounds=2)  # fewer places: a rest in some groups
+    assert len(few.classes.places) + len(few.classes.within) == 1200 and sum(few.sizes.values()) == sum(c + 1 for w, c in counts.items() if w not in few.classes.places and w not in few.classes.within)
+    for language in (language, few):
+        classes, deep = language.classes, language.deep
+        got = {r.doc_id: r.score for r in maxent.score_with(docs, language, F.col("doc_id") >= 150).collect()}
+        for i in (0, 1, 150, 151):
+            split, want = maxent.tokens(texts[i]), 0.0
+            for k, w in enumerate(split):
+                place, tops, members = plain_features(language, split, k)
+                want += plain_log(language.model.weights, tops, place // width) + plain_log(language.model.weights, members, place % width)
+                if w not in classes.places:
+                    group, at, last = place % width, classes.within.get(w, width * (width - 1)), zlib.crc32(split[k - 1]) + 1 if k else 0
+                    want += plain_log(deep.weights, [group, deep.BIASES + plain_mix(group, 4, last) % 256], at // width)
+                    if w in classes.within:
+                        node = group * width + at // width
+                        want += plain_log(deep.weights, [width + node, deep.BIASES + plain_mix(node, 5, last) % 256], at % width)
+                    else:
+                        want += math.log((counts.get(w, 0) + 1) / (language.sizes.get(place, 0) + 1))
+            assert abs(got[i] - want / math.log(10)) < 1e-4 * max(1, abs(want)), (i, got[i], want)
+        every = np.array([*range(width * (width - 1)), *(p + width * width * x for p in range(width * (width - 1), width * width) for x in range(width * (width - 1) + 1))])
+        last = np.full(len(every), zlib.crc32(b"w0ed") + 1, np.uint64)
+        assert abs(np.exp(language.model.score(every % (width * width), last, last) + deep.score(every, last)).sum() - 1) < 1e-4
+
+
+def test_language_model_gradient_within_groups():
+    rng, width, n = np.random.default_rng(14), maxent.WIDTH, 400
+    deep = maxent.Deep(rng.normal(size=(maxent.Deep.BIASES + 40, width)))
+    path = rng.integers(width * (width - 3), width * width, n)
+    path += width * width * np.where(path >= width * (width - 1), rng.integers(0, width * (width - 1) + 1, n), 0)
+    last = rng.integers(0, 5, n).astype(np.uint64)
+    sums, active = np.zeros_like(deep.weights), np.zeros(len(deep.weights), np.int64)
+    value = deep.gradient(path, last, sums, active)
+    assert abs(value - deep.score(path, last).sum()) < 1e-6
+    for r in [*rng.choice(np.flatnonzero(active), 30), *rng.integers(0, len(active), 5)]:
+        k = rng.integers(width)
+        deep.weights[r, k] += 1e-5
+        up = deep.score(path, last).sum()
+        deep.weights[r, k] -= 1e-5
+        assert abs((up - value) / 1e-5 - sums[r, k]) < 1e-2
+
+
 def test_language_model_rounds_raise_likelihood(spark):
     docs = spark.createDataFrame(list(enumerate(small_corpus(random.Random(3), 400))), "doc_id long, text string").repartition(2)
     few, more = (maxent.fit(docs, rounds=r, buckets=1 << 10) for r in (1, 8))
