@@ -30,7 +30,7 @@ from array import array
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -357,6 +357,8 @@ class Encoder(dict):
     def __init__(self, classes: Classes, top: dict[bytes, int] | None = None):
         super().__init__()
         self.classes, self.top = classes, top or {}
+        self.fixed = classes.places | {word: classes.path(word) for word in classes.within}
+        self.tails: dict[bytes, int] = {}  # paths of all other words by their last letters, where those are ASCII
         self.reset()
 
     def reset(self) -> None:
@@ -365,18 +367,39 @@ class Encoder(dict):
 
     def __missing__(self, word: bytes) -> int:
         number = self[word] = len(self)
-        self.held += len(word)
         self.words.append(word)
-        self.known.append((zlib.crc32(word) + 1) << 24 | self.classes.path(word))
-        self.gains.append(math.log10(self.top[word] + 1) if word in self.top else -1.0)
         return number
 
+    def path(self, word: bytes) -> int:
+        found = self.fixed.get(word)
+        if found is None:
+            tail = word[-self.classes.width :]
+            found = self.tails.get(tail)
+            if found is None:
+                found = self.classes.path(word)
+                if tail.isascii():
+                    self.tails[tail] = found
+        return found
+
+    def learn(self) -> None:
+        """What is kept of words that have a number only."""
+        new = self.words[len(self.known) :]
+        self.held += sum(map(len, new))
+        crc, path = (np.fromiter(map(f, new), np.int64, len(new)) for f in (zlib.crc32, self.path))
+        self.known.frombytes(((crc + 1) << 24 | path).tobytes())
+        if self.top:
+            counts = np.fromiter(map(self.top.get, new, repeat(-1)), np.int64, len(new))
+            self.gains.frombytes(np.where(counts < 0, -1.0, np.log10(np.maximum(counts, 0) + 1.0)).tobytes())
+        else:
+            self.gains.frombytes(np.full(len(new), -1.0).tobytes())
+
     def encode(self, texts: list[list[bytes]]) -> tuple[np.ndarray, ...]:
         """Of texts one after another: paths, hashes of the token before the last and of the last one (0 where there is none), gains, numbers, and where texts begin. Empties itself between calls, so that memory stays level."""
         if len(self) > self.BOUND or self.held > self.HELD:
             self.reset()
         lengths = np.fromiter(map(len, texts), np.int64, len(texts))
         numbers = np.fromiter(map(self.__getitem__, chain.from_iterable(texts)), np.int64, lengths.sum())
+        self.learn()
         both = np.frombuffer(self.known, np.int64)[numbers]
         gains = np.frombuffer(self.gains, float)[numbers]
         hashes, starts = (both >> 24).astype(np.uint64), np.cumsum(lengths) - lengths

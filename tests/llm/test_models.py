@@ -170,6 +170,21 @@ def test_language_model_gives_group_tokens_places_too(spark):
         assert abs(np.exp(language.model.score(every % (width * width), last, last) + deep.score(every, last)).sum() - 1) < 1e-4
 
 
+def test_language_model_encoder_learns_new_words_at_once():
+    """Paths by the last letters, which needn't be ASCII or two; the same as word by word, after a reset too."""
+    classes = maxent.Classes(["", "a"], ["ed", "üd", "d", "ng"], 2, ["xed", "üd"], 2)
+    encoder = maxent.Encoder(classes, {b"a": 9, b"bed": 1})
+    words = "a bed led xed üd rüd d ng öd x é ed ring".encode().split()
+    for _ in range(2):
+        path, before, last, gain, numbers, starts = encoder.encode([[*words, b""], [b"led", b"new", b""]])
+        all_words = [*words, b"", b"led", b"new", b""]
+        assert path.tolist() == [classes.path(w) for w in all_words] and [encoder.words[i] for i in numbers] == all_words
+        assert np.allclose(gain, [1.0 if w == b"a" else math.log10(2) if w == b"bed" else -1 for w in all_words])
+        assert last.tolist()[1:3] == [zlib.crc32(w) + 1 for w in words[:2]] and encoder.held == sum(map(len, set(all_words)))
+        encoder.reset()
+    assert len(encoder.tails) > 3 and all(t.isascii() for t in encoder.tails)
+
+
 def test_language_model_gradient_within_groups():
     rng, width, n = np.random.default_rng(14), maxent.WIDTH, 400
     deep = maxent.Deep(rng.normal(size=(maxent.Deep.BIASES + 40, width)))
