@@ -34,6 +34,7 @@ from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -44,8 +45,8 @@ from .common import stored, text_slices
 #: The end token. No word is empty.
 END = ""
 LOG10 = math.log(10)
-#: Choices of a softmax step; tokens that are worked on together in scoring, and in training.
-WIDTH, CHUNK, LARGE = 32, 1 << 14, 1 << 16
+#: Choices of a softmax step; tokens whose scores are worked on together, few enough for a core's cache; tokens whose rows are put in order together.
+WIDTH, CHUNK, LARGE = 32, 1 << 12, 1 << 17
 #: Tokens that can have a place of their own: by themselves, and in groups.
 OWN = WIDTH * (WIDTH - 1) * (1 + WIDTH)
 #: Share of a row's own step, for a score is the sum of several rows; counts that a row starts from.
@@ -57,6 +58,21 @@ def tokens(text: str | None) -> list[bytes]:
     return [*(text or "").encode().lower().split(), b""]
 
 
+def split_tokens(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """tokens() of an array's texts, one after another, and each text's number of them."""
+    empty, space = (pa.scalar(x, texts.type) for x in ("", " "))
+    trimmed = pc.ascii_trim_whitespace(pc.ascii_lower(pc.fill_null(texts, empty)))
+    # after a last space the empty end follows; an empty text is split into it alone
+    found = pc.ascii_split_whitespace(pc.if_else(pc.equal(trimmed, empty), trimmed, pc.binary_join_element_wise(trimmed, empty, space)))
+    return pc.list_value_length(found).to_numpy().astype(np.int64), found.flatten()
+
+
+def _words(distinct: pa.Array) -> list[bytes]:
+    """to_pylist() of words, sooner: they have no spaces."""
+    whole = pa.ListArray.from_arrays(pa.array([0, len(distinct)], pa.int32()), distinct)
+    return pc.binary_join(whole, b" ")[0].as_buffer().to_pybytes().split(b" ")
+
+
 class Classes:
     """Places of tokens: class * WIDTH + member. own: tokens with a place of their own, the commonest first; endings: groups of the others in the last class, whose last member is for the rest. within: more tokens, the commonest first, of which `room` get places within their groups as long as those have any."""
 
@@ -92,23 +108,31 @@ class Classes:
         return F.coalesce(F.try_element_at(table, F.right(word, F.lit(self.width))), F.lit(self.other))
 
 
-def count_tokens(docs: DataFrame) -> DataFrame:
-    """token, c: over all rows of docs (doc_id, text)."""
+def count_tokens(docs: DataFrame, held: int = 600_000) -> DataFrame:
+    """token, c: over all rows of docs (doc_id, text). A task that has more than `held` tokens gives them out."""
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter = Counter()
-
-        def out() -> pa.RecordBatch:
-            batch = pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()).cast(pa.string()), pa.array(list(counts.values()), pa.int64())], names=["token", "c"])
-            counts.clear()
-            return batch
+    def merged(parts: list[pa.Table]) -> pa.Table:
+        whole = pa.concat_tables(parts)
+        parts.clear()
+        whole = whole.group_by("token", use_threads=False).aggregate([("c", "sum")]).select(["token", "c_sum"]).rename_columns(["token", "c"])
+        pa.default_memory_pool().release_unused()  # the worker's next tasks need the memory for other things
+        return whole
 
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, rows = [], 0
         for batch in text_slices(batches):
-            for text in batch.column(1).to_pylist():
-                counts.update(tokens(text))
-            if len(counts) > 600_000:
-                yield out()
-        yield out()
+            found = split_tokens(batch.column(1))[1].value_counts()
+            parts.append(pa.table({"token": found.field(0), "c": found.field(1)}))
+            rows += len(found)
+            if rows > 2 * held:
+                parts.append(merged(parts))
+                rows = len(parts[0])
+                if rows > held:
+                    yield from parts.pop().to_batches(max_chunksize=50_000)
+                    rows = 0
+        if parts:
+            yield from merged(parts).to_batches(max_chunksize=50_000)
+        pa.default_memory_pool().release_unused()
 
     return docs.mapInArrow(run, "token string, c long").groupBy("token").agg(F.sum("c").alias("c"))
 
@@ -146,11 +170,18 @@ def _row_sums(x: np.ndarray) -> np.ndarray:
     return x @ np.ones(x.shape[1], x.dtype)
 
 
-def _add_runs(row: np.ndarray, x: np.ndarray, sums: np.ndarray) -> None:
-    """Adds rows of x to the rows of sums that row has, in order. Two numbers are added at a time, as a complex one."""
+def _order(row: np.ndarray, rows: int) -> np.ndarray:
+    return np.argsort(row.astype(np.uint16) if rows <= 1 << 16 else row, kind="stable")
+
+
+def _add_runs(row: np.ndarray, x: np.ndarray, sums: np.ndarray, order: np.ndarray | None = None) -> None:
+    """Adds rows of x to the rows of sums that row has, which are in order or come so by order. Two numbers are added at a time, as a complex one, and as many rows as stay in the cache."""
     pairs = np.complex64 if x.dtype == np.float32 else np.complex128
-    first = np.flatnonzero(np.concatenate(([True], row[1:] != row[:-1])))
-    sums[row[first]] += np.add.reduceat(x.view(pairs), first, axis=0).view(x.dtype)
+    for at in range(0, len(row), CHUNK):
+        part = slice(at, at + CHUNK)
+        r, some = (row[part], x[part]) if order is None else (row[order[part]], x.take(order[part], axis=0))
+        first = np.flatnonzero(np.concatenate(([True], r[1:] != r[:-1])))
+        sums[r[first]] += np.add.reduceat(some.view(pairs), first, axis=0).view(x.dtype)
 
 
 @dataclass
@@ -230,21 +261,23 @@ class Model:
         """Adds to sums what was observed less what is expected, by row, and to active how often a row was; gives the log-likelihood."""
         value, plain, first = 0.0, self.plain(), WIDTH + 1
         own, hashed = [np.empty(len(place), np.int32) for _ in range(2)]
+        pairs, off = place // WIDTH, np.empty((min(len(place), LARGE), WIDTH), self.weights.dtype)
         for at in range(0, len(place), LARGE):
             cut = slice(at, at + LARGE)
-            p = place[cut]
-            n, seen = np.arange(len(p)), p // WIDTH
-            rows, (own[cut], hashed[cut]) = self.rows(p, before[cut], last[cut])
-            scores, off = self.scores(rows, plain)
-            whole = _row_sums(off)
-            value += float(scores[n, seen].sum(dtype=float) - np.log(whole).sum(dtype=float))
-            off *= (-1 / whole)[:, None]
-            off[n, seen] += 1
-            sums[0] += np.ones(len(p), off.dtype) @ off
-            active[0] += len(p)
+            rows, (own[cut], hashed[cut]) = self.rows(place[cut], before[cut], last[cut])
+            for start in range(0, len(rows[0]), CHUNK):
+                part, seen = slice(start, start + CHUNK), pairs[cut][start : start + CHUNK]
+                n = np.arange(len(seen))
+                scores, powers = self.scores([r[part] for r in rows], plain)
+                whole = _row_sums(powers)
+                value += float(scores[n, seen].sum(dtype=float) - np.log(whole).sum(dtype=float))
+                powers *= (-1 / whole)[:, None]
+                powers[n, seen] += 1
+                sums[0] += np.ones(len(n), powers.dtype) @ powers
+                off[: len(rows[0])][part] = powers
+            active[0] += len(rows[0])
             for r in rows[1:]:
-                order = np.argsort(r.astype(np.uint16) if len(self.weights) <= 1 << 16 else r, kind="stable")
-                _add_runs(r[order], off.take(order, axis=0), sums)
+                _add_runs(r, off, sums, _order(r, len(self.weights)))
                 active[first:] += np.bincount(r - first, minlength=len(active) - first)
         # the member step: what was observed is counted; what is expected depends on the class and the token before only
         seen = place % WIDTH
@@ -255,8 +288,8 @@ class Model:
         active[first:] += np.bincount(hashed - first, minlength=len(active) - first)
         pairs, times, _ = contexts(own - 1, hashed - first, WIDTH, len(self.weights) - first)
         pairs += np.array([[1], [first]])
-        for at in range(0, len(times), LARGE):
-            rows, n = pairs[:, at : at + LARGE], times[at : at + LARGE]
+        for at in range(0, len(times), CHUNK):
+            rows, n = pairs[:, at : at + CHUNK], times[at : at + CHUNK]
             expected, total = self.totals(rows, plain)
             value -= float(n @ total)
             expected *= -n.astype(expected.dtype)[:, None]
@@ -280,14 +313,16 @@ class Deep(Model):
 
     @classmethod
     def new(cls, buckets: int, shares: np.ndarray) -> Deep:
-        """shares: by group and place in it; those of the last class are all of the rest."""
+        """shares: by group and place in it; those of the last class are all of the rest. A step without tokens has all choices alike."""
         shares = shares.reshape(WIDTH, WIDTH, WIDTH)
         with np.errstate(divide="ignore", invalid="ignore"):
             bias = np.log(np.concatenate((shares.sum(2), shares.reshape(-1, WIDTH))))
+        bias[~(bias > -np.inf).any(1)] = 0
         return cls(np.concatenate((np.maximum(np.where(np.isnan(bias), -1e4, bias), -1e4), np.zeros((buckets, WIDTH)))).astype(np.float32))
 
     def plain(self) -> bool:
-        return False
+        most, hashed = self.weights[: self.BIASES].max(1), self.weights[self.BIASES :]
+        return bool(most.max() + hashed.max(initial=0) < 60 and most.min() + hashed.min(initial=0) > -60)
 
     def steps(self, path: np.ndarray, last: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
         """Of each step: which tokens take it, its bias, hashed row and choice; and the number of its biases, the first of them."""
@@ -301,7 +336,7 @@ class Deep(Model):
 
     def score(self, path: np.ndarray, last: np.ndarray) -> np.ndarray:
         """Log-probability of each place within its group; 0 of tokens in none."""
-        out, weights = np.zeros(len(path)), self.weights
+        out, weights, plain = np.zeros(len(path)), self.weights, self.plain()
         for which, step, row, choice, steps, first in self.steps(path, last):
             pairs, own = (first + step, self.BIASES + row), slice(None)
             if steps == WIDTH:  # of members few histories come twice
@@ -309,13 +344,13 @@ class Deep(Model):
                 pairs += np.array([[first], [self.BIASES]])
             total = np.empty(len(pairs[0]))
             for at in range(0, len(total), CHUNK):
-                total[at : at + CHUNK] = self.totals([x[at : at + CHUNK] for x in pairs], False)[1]
+                total[at : at + CHUNK] = self.totals([x[at : at + CHUNK] for x in pairs], plain)[1]
             out[which] += weights[first + step, choice] + weights[self.BIASES + row, choice] - total[own]
         return out
 
     def gradient(self, path: np.ndarray, last: np.ndarray, sums: np.ndarray, active: np.ndarray) -> float:
         """As Model's."""
-        value, weights = 0.0, self.weights
+        value, weights, plain = 0.0, self.weights, self.plain()
         for which, step, row, choice, steps, first in self.steps(path, last):
             if not len(which):
                 continue
@@ -328,16 +363,19 @@ class Deep(Model):
                 pairs, times, _ = contexts(step, row, steps, len(weights) - self.BIASES)
                 pairs += np.array([[first], [self.BIASES]])
             else:
-                order = np.argsort(row.astype(np.uint16) if len(weights) <= 1 << 16 else row, kind="stable")
+                order = _order(row, len(weights))
                 pairs, times = np.stack((first + step[order], self.BIASES + row[order])), np.ones(len(order))
+            off = np.empty((min(len(times), LARGE), WIDTH), weights.dtype)
             for at in range(0, len(times), LARGE):
-                rows, n = pairs[:, at : at + LARGE], times[at : at + LARGE]
-                expected, total = self.totals(rows, False)
-                value -= float(n @ total)
-                expected *= -n.astype(expected.dtype)[:, None]
-                order = np.argsort(rows[0].astype(np.uint16), kind="stable")
-                _add_runs(rows[0][order], expected.take(order, axis=0), sums)
-                _add_runs(rows[1], expected, sums)
+                rows = pairs[:, at : at + LARGE]
+                for start in range(0, rows.shape[1], CHUNK):
+                    some, n = rows[:, start : start + CHUNK], times[at + start : at + LARGE][:CHUNK]
+                    expected, total = self.totals(some, plain)
+                    value -= float(n @ total)
+                    expected *= -n.astype(expected.dtype)[:, None]
+                    off[start : start + len(n)] = expected
+                _add_runs(rows[0], off, sums, _order(rows[0], self.BIASES))
+                _add_runs(rows[1], off[: rows.shape[1]], sums)
         return value
 
     def step(self, sums: np.ndarray, active: np.ndarray) -> None:
@@ -365,28 +403,27 @@ class Encoder(dict):
         self.clear()
         self.held, self.known, self.gains, self.words = 0, array("q"), array("d"), []
 
-    def __missing__(self, word: bytes) -> int:
-        number = self[word] = len(self)
-        self.words.append(word)
-        return number
-
-    def path(self, word: bytes) -> int:
-        found = self.fixed.get(word)
-        if found is None:
-            tail = word[-self.classes.width :]
-            found = self.tails.get(tail)
-            if found is None:
-                found = self.classes.path(word)
-                if tail.isascii():
-                    self.tails[tail] = found
+    def paths(self, words: list[bytes]) -> np.ndarray:
+        found = np.fromiter(map(self.fixed.get, words, repeat(-1)), np.int64, len(words))
+        at, width = np.flatnonzero(found < 0), self.classes.width
+        rest = [words[i] for i in at.tolist()]
+        by_tail = map(self.tails.get, [w[-width:] for w in rest])
+        found[at] = [self.tail_path(w) if path is None else path for w, path in zip(rest, by_tail)]
         return found
 
+    def tail_path(self, word: bytes) -> int:
+        path, tail = self.classes.path(word), word[-self.classes.width :]
+        if tail.isascii():
+            self.tails[tail] = path
+        return path
+
     def learn(self) -> None:
         """What is kept of words that have a number only."""
         new = self.words[len(self.known) :]
+        self.update(zip(new, range(len(self), len(self.words))))
         self.held += sum(map(len, new))
-        crc, path = (np.fromiter(map(f, new), np.int64, len(new)) for f in (zlib.crc32, self.path))
-        self.known.frombytes(((crc + 1) << 24 | path).tobytes())
+        crc = np.fromiter(map(zlib.crc32, new), np.int64, len(new))
+        self.known.frombytes(((crc + 1) << 24 | self.paths(new)).tobytes())
         if self.top:
             counts = np.fromiter(map(self.top.get, new, repeat(-1)), np.int64, len(new))
             self.gains.frombytes(np.where(counts < 0, -1.0, np.log10(np.maximum(counts, 0) + 1.0)).tobytes())
@@ -394,12 +431,21 @@ class Encoder(dict):
             self.gains.frombytes(np.full(len(new), -1.0).tobytes())
 
     def encode(self, texts: list[list[bytes]]) -> tuple[np.ndarray, ...]:
-        """Of texts one after another: paths, hashes of the token before the last and of the last one (0 where there is none), gains, numbers, and where texts begin. Empties itself between calls, so that memory stays level."""
+        """encode_words() of tokens by text."""
+        return self.encode_words(np.fromiter(map(len, texts), np.int64, len(texts)), pa.array(chain.from_iterable(texts), pa.binary()))
+
+    def encode_words(self, lengths: np.ndarray, words: pa.Array) -> tuple[np.ndarray, ...]:
+        """Of texts one after another, as split_tokens() gives them: paths, hashes of the token before the last and of the last one (0 where there is none), gains, numbers, and where texts begin. Empties itself between calls, so that memory stays level."""
         if len(self) > self.BOUND or self.held > self.HELD:
             self.reset()
-        lengths = np.fromiter(map(len, texts), np.int64, len(texts))
-        numbers = np.fromiter(map(self.__getitem__, chain.from_iterable(texts)), np.int64, lengths.sum())
+        found = words.cast(pa.binary()).dictionary_encode()
+        distinct = _words(found.dictionary)
+        numbers = np.fromiter(map(self.get, distinct, repeat(-1)), np.int64, len(distinct))
+        at = np.flatnonzero(numbers < 0)
+        numbers[at] = np.arange(len(self), len(self) + len(at))
+        self.words.extend(map(distinct.__getitem__, at.tolist()))
         self.learn()
+        numbers = numbers[found.indices.to_numpy()]
         both = np.frombuffer(self.known, np.int64)[numbers]
         gains = np.frombuffer(self.gains, float)[numbers]
         hashes, starts = (both >> 24).astype(np.uint64), np.cumsum(lengths) - lengths
@@ -423,7 +469,7 @@ def train(docs: DataFrame, classes: Classes, model: Model, deep: Deep | None, ro
             encoder = Encoder(classes)
             sums, active, total = np.zeros((whole, WIDTH), np.float32), np.zeros(whole, np.int64), 0.0
             for batch in text_slices(batches):
-                path, before, last, *_ = encoder.encode([tokens(t) for t in batch.column(0).to_pylist()])
+                path, before, last, *_ = encoder.encode_words(*split_tokens(batch.column(0)))
                 total += model.gradient(path & (WIDTH * WIDTH - 1), before, last, sums[:split], active[:split])
                 if deep:
                     total += deep.gradient(path, last, sums[split:], active[split:])
@@ -541,9 +587,8 @@ def score_with(kept: DataFrame, language: Language, held_out: Column) -> DataFra
             groups[place] = math.log10(sizes.get(place, 0) + 1)
         in_group = WIDTH * (WIDTH - 1)
         for batch in text_slices(batches):
-            found = [tokens(t) for t in batch.column(1).to_pylist()]
-            lengths = np.array([len(f) for f in found])
-            path, before, last, gain, numbers, ends = encoder.encode(found)
+            lengths, words = split_tokens(batch.column(1))
+            path, before, last, gain, numbers, ends = encoder.encode_words(lengths, words)
             place = path & (WIDTH * WIDTH - 1)
             rare, grouped = gain < 0, path >= in_group * (1 + WIDTH * WIDTH)
             gain[rare] = 0
@@ -554,8 +599,8 @@ def score_with(kept: DataFrame, language: Language, held_out: Column) -> DataFra
             logs = logs / LOG10 + np.where(grouped, gain - groups[place], 0.0)
             total = lambda x: np.add.reduceat(x, ends)
             n_rare = total(rare.astype(np.int64))
-            rows = part + row + np.arange(len(found))
-            row += len(found)
+            rows = part + row + np.arange(len(lengths))
+            row += len(lengths)
             ids = batch.column(0)
             yield pa.RecordBatch.from_arrays([pa.array(rows), ids, pa.array([f" {r}" for r in rows.tolist()], pa.string()), pa.array((lengths - n_rare).astype(np.int64)), pa.array(total(gain)), pa.array(total(logs)), pa.array(lengths)], names=["row", "doc_id", "token", "times", "gain", "score", "length"])
             at = np.flatnonzero(rare)

@@ -1,8 +1,10 @@
 import math
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from kinfold.llm import cotrain, maxent, pagediff
@@ -185,6 +187,61 @@ def test_language_model_encoder_learns_new_words_at_once():
     assert len(encoder.tails) > 3 and all(t.isascii() for t in encoder.tails)
 
 
+def test_language_model_splits_arrays_as_texts():
+    """The words and the end of each text, whatever surrounds them."""
+    texts = [None, "", " ", "A", "\t\x0b a  B\r\n", "\x0cÄb\x1cC\x85d\u2003e f\x00G ", "a " * 3000 + "a", "ẞ İ K"]
+    for kind in (pa.string(), pa.large_string()):
+        lengths, words = maxent.split_tokens(pa.array([None, *texts], kind).slice(1))
+        assert words.cast(pa.binary()).to_pylist() == [w for t in texts for w in maxent.tokens(t)]
+        assert lengths.dtype == np.int64 and lengths.tolist() == [len(maxent.tokens(t)) for t in texts]
+    assert maxent._words(pa.array([b"", b"a", b"\xc3\xa4"])) == [b"", b"a", b"\xc3\xa4"] and maxent._words(pa.array([b""])) == [b""]
+    tokens = [["x", "y", ""], ["x", ""]]
+    encoder = maxent.Encoder(maxent.Classes(["", "x"], []))
+    lengths, words = maxent.split_tokens(pa.array([" ".join(t) for t in tokens]))
+    assert all((a == b).all() for a, b in zip(encoder.encode_words(lengths, words), encoder.encode([[w.encode() for w in t] for t in tokens])))
+
+
+def test_language_model_counts_come_in_parts(spark):
+    """Over a partition's slices, and where a partition has more tokens than it holds."""
+    texts = [f"w{i % 7} w{i} W{i + 1}" for i in range(300)] + [None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    want = Counter(w.decode() for t in texts for w in maxent.tokens(t))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "20")
+    try:
+        for held in (1 << 20, 200, 10):
+            assert {r.token: r.c for r in maxent.count_tokens(docs, held).collect()} == want
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_language_model_adds_rows_in_any_order_and_blocks():
+    rng, n = np.random.default_rng(15), 2 * maxent.CHUNK + 77
+    row, x = rng.integers(0, 900, n), rng.integers(-9, 9, (n, maxent.WIDTH)).astype(np.float32)
+    row[:5000] = 3  # a run over more than one block
+    want, got, sorted_got = (np.zeros((900, maxent.WIDTH), np.float32) for _ in range(3))
+    np.add.at(want, row, x)
+    order = maxent._order(row, 900)
+    maxent._add_runs(row, x, got, order)
+    maxent._add_runs(row[order], x[order], sorted_got)
+    assert (got == want).all() and (sorted_got == want).all()
+
+
+def test_language_model_steps_within_groups_need_no_scaling():
+    """Unless scores are large; in classes without tokens, whose choices are all alike, too."""
+    width = maxent.WIDTH
+    shares = np.zeros((width, width * width))
+    shares[:, width * (width - 1)] = 1
+    shares[3, :40] = 1
+    deep = maxent.Deep.new(40, shares / shares.sum(1, keepdims=True))
+    assert deep.plain()
+    assert abs(np.exp(deep.score(np.array([3 + width * (width - 1) + width * width * x for x in range(width * (width - 1) + 1)]), np.ones(width * (width - 1) + 1, np.uint64))).sum() - 1) < 1e-4
+    path = np.array([3 + width * (width - 1) + width * width * x for x in (0, 39, width * (width - 1))])
+    plain = deep.score(path, np.arange(3, dtype=np.uint64))
+    assert np.allclose(plain, [math.log(1 / 41)] * 3, atol=1e-4)
+    deep.weights[maxent.Deep.BIASES :] = 70  # alike for all choices: the same probabilities
+    assert not deep.plain() and np.allclose(deep.score(path, np.arange(3, dtype=np.uint64)), plain, atol=1e-4)
+
+
 def test_language_model_gradient_within_groups():
     rng, width, n = np.random.default_rng(14), maxent.WIDTH, 400
     deep = maxent.Deep(rng.normal(size=(maxent.Deep.BIASES + 40, width)))
